@@ -75,13 +75,18 @@ def decode_avro_frames(
 
 def json_schema_text(message: Column) -> Column:
     """Schema text of a self-describing JSON message."""
-    return F.get_json_object(message.cast("string"), "$.schema")
+    return decode_json(message)["schema"]
 
 
-def decode_json(message: Column, payload_type: T.DataType) -> Column:
-    """Payload of a self-describing JSON message as a struct."""
-    envelope = T.StructType([T.StructField("payload", payload_type)])
-    return F.from_json(message.cast("string"), envelope, {"mode": "FAILFAST"}).getField("payload")
+def decode_json(message: Column, payload_type: T.DataType | None = None) -> Column:
+    """Self-describing JSON message to struct(schema, payload).
+
+    The schema stays text. Without a payload type only the schema is read.
+    """
+    envelope = T.StructType([T.StructField("schema", T.StringType())])
+    if payload_type is not None:
+        envelope = envelope.add("payload", payload_type)
+    return F.from_json(message.cast("string"), envelope, {"mode": "FAILFAST"})
 
 
 def decode_json_messages(
@@ -93,12 +98,17 @@ def decode_json_messages(
     """
     key_type = schemas.merge_types([schemas.connect_type(s) for s in key_schemas])
     value_type = schemas.merge_types([schemas.connect_type(s) for s in value_schemas])
-    return messages.select(
-        decode_json(F.col("key"), key_type).alias("key"),
-        decode_json(F.col("value"), value_type).alias("value"),
+    decoded = messages.select(
+        decode_json(F.col("key"), key_type).alias("_key"),
+        decode_json(F.col("value"), value_type).alias("_value"),
+        *KAFKA_COLUMNS,
+    )
+    return decoded.select(
+        F.col("_key.payload").alias("key"),
+        F.col("_value.payload").alias("value"),
         *KAFKA_COLUMNS,
-        json_schema_text(F.col("key")).alias("keySchema"),
-        json_schema_text(F.col("value")).alias("valueSchema"),
+        F.col("_key.schema").alias("keySchema"),
+        F.col("_value.schema").alias("valueSchema"),
     )
 
 

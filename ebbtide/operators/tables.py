@@ -42,7 +42,7 @@ class Version:
         return source is not None and self.applied.get(source, -1) >= batch_id
 
 
-def _version_file(path: str, version: int) -> str:
+def version_file(path: str, version: int) -> str:
     return f"{path}/_versions/{version:020d}.json"
 
 
@@ -52,7 +52,7 @@ def list_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def load_version(spark: SparkSession, path: str, version: int) -> Version:
-    return Version(**json.loads(read_text(spark, _version_file(path, version))))
+    return Version(**json.loads(read_text(spark, version_file(path, version))))
 
 
 def newest_version(spark: SparkSession, path: str) -> Version | None:
@@ -120,7 +120,7 @@ def publish(
         sizeInBytes=sum(files.values()),
         applied=dict(applied or {}),
     )
-    create_text(spark, _version_file(path, version), json.dumps(asdict(new)))
+    create_text(spark, version_file(path, version), json.dumps(asdict(new)))
     return new
 
 
@@ -142,7 +142,7 @@ def overwrite_table(
 ) -> Version:
     """Replace the whole content; the first version of a new table is 0."""
     base = newest_version(spark, path)
-    if base is None and path_exists(spark, path):
+    if base is None and path_exists(spark, path) and not path_exists(spark, f"{path}/data"):
         raise ValueError(f"{path} exists but is not a versioned table")
     version = base.version + 1 if base else 0
     files = write_files(df, path, version)
@@ -222,8 +222,8 @@ def merge_table(
 ) -> Version:
     """Merge changes into a table, rewriting only the files they touch.
 
-    All other files are carried over by name. ``changes`` is used several
-    times: persist it. More than one change per key is an error.
+    All other files are carried over by name. ``changes`` is read several
+    times: pass a stored table. More than one change per key is an error.
     """
     base = require_version(spark, path)
     if base.has_applied(source, batch_id):

@@ -58,7 +58,7 @@ from ebbtide.sources.layers import (
     write_layer,
 )
 from ebbtide.sources.records import generate_products, ingest_records
-from ebbtide.sources.storage import scratch_path
+from ebbtide.sources.storage import scratch_path, stored
 from ebbtide.streaming.land import land_messages
 from ebbtide.streaming.stage import raw_to_staged, read_staged
 
@@ -116,7 +116,7 @@ def cdc_merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("weight"),
         F.col("c_mktsegment").alias("description"),
     )
-    changes = change_rows(latest_per_key(_changes(spark, sf_dir)))
+    changes = stored(change_rows(latest_per_key(_changes(spark, sf_dir))), "changes")
     return merge_changes(customers, changes, ["id"]).select(*IMAGE, "op")
 
 
@@ -130,7 +130,8 @@ def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return merge_changes(orders, _order_changes(spark, sf_dir), ["o_orderkey"]).select(
+    changes = stored(_order_changes(spark, sf_dir), "changes")
+    return merge_changes(orders, changes, ["o_orderkey"]).select(
         *ORDER_COLUMNS, "o_orderpriority", "op"
     )
 
@@ -146,7 +147,8 @@ def cdc_merge_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = latest_per_key(lines.filter("l_linestatus = 'F'"), LINE_KEY, oldest)
     op = F.when(F.col("l_returnflag") == "R", "d").otherwise("u").alias("op")
     changes = latest_per_key(lines, LINE_KEY, LINE_ORDER).select(*LINE_KEY, *LINE_COLUMNS, op)
-    return merge_changes(target.select(*LINE_KEY, *LINE_COLUMNS), changes, LINE_KEY)
+    target = stored(target.select(*LINE_KEY, *LINE_COLUMNS), "lines")
+    return merge_changes(target, stored(changes, "changes"), LINE_KEY)
 
 
 def cdc_schema_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,9 +305,7 @@ def _orders_table(spark: SparkSession, sf_dir: str, name: str) -> str:
 def table_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy-on-write merge, then clean-up of what only old versions need."""
     path = _orders_table(spark, sf_dir, "merge")
-    changes = _order_changes(spark, sf_dir).persist()
-    merge_table(spark, path, changes, ["o_orderkey"])
-    changes.unpersist()
+    merge_table(spark, path, stored(_order_changes(spark, sf_dir), "changes"), ["o_orderkey"])
     vacuum(spark, path, retention_hours=0)
     return read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
 
@@ -320,9 +320,7 @@ def table_append_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first version after a merge made a second one."""
     path = _orders_table(spark, sf_dir, "travel")
-    changes = _order_changes(spark, sf_dir).persist()
-    merge_table(spark, path, changes, ["o_orderkey"])
-    changes.unpersist()
+    merge_table(spark, path, stored(_order_changes(spark, sf_dir), "changes"), ["o_orderkey"])
     return read_table(spark, path, version=0)
 
 
@@ -338,9 +336,7 @@ def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the files the reader manifest names, after a merge."""
     path = _orders_table(spark, sf_dir, "manifest")
-    changes = _order_changes(spark, sf_dir).persist()
-    merge_table(spark, path, changes, ["o_orderkey"])
-    changes.unpersist()
+    merge_table(spark, path, stored(_order_changes(spark, sf_dir), "changes"), ["o_orderkey"])
     names = [row.value for row in spark.read.text(write_manifest(spark, path)).collect()]
     schema = newest_version(spark, path).struct_type
     return spark.read.schema(schema).parquet(*names).select(

@@ -95,3 +95,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     fs, hadoop_path = _open_fs(spark, shared)
     shared = hadoop_path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """The same rows from a working table, for plans that use them several times.
+
+    Unlike cached rows, these outlive executors, can be read by column, and
+    have a size the planner knows.
+    """
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

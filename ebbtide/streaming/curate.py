@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.address import TableRef
@@ -10,7 +9,7 @@ from ebbtide.config import DEFAULT, Settings
 from ebbtide.operators.changes import change_rows, key_fields, latest_per_key, live_rows
 from ebbtide.operators.tables import merge_table, newest_version, overwrite_table
 from ebbtide.operators.upkeep import compact_files, record_history, vacuum, write_manifest
-from ebbtide.sources.storage import delete_path, path_exists
+from ebbtide.sources.storage import delete_path, stored
 from ebbtide.streaming.stage import running_stream_id, staged_schema, stream_staged
 
 
@@ -27,7 +26,9 @@ def apply_changes(
     if base is not None and base.has_applied(source, batch_id):
         return False
     keys = key_fields(batch)
-    changes = change_rows(latest_per_key(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    control = settings.url(settings.spark_control)
+    work = f"{control}/_work/{source}-{batch_id}"
+    changes = stored(change_rows(latest_per_key(batch)), "changes", work)
     try:
         if base is None:
             rows = live_rows(changes)
@@ -38,7 +39,7 @@ def apply_changes(
         else:
             merge_table(spark, path, changes, keys, source, batch_id)
     finally:
-        changes.unpersist()
+        delete_path(spark, work, within=control)
     compact_files(spark, path, settings)
     return True
 
@@ -72,8 +73,6 @@ def staged_to_curated(
     path, checkpoint = ref.path("curated", settings), ref.checkpoint("curated", settings)
     if staged_schema(spark, ref, settings) is None:
         return
-    if not path_exists(spark, path):
-        delete_path(spark, checkpoint, within=settings.url(settings.spark_control))
 
     def number() -> int:
         newest = newest_version(spark, path)
@@ -84,6 +83,8 @@ def staged_to_curated(
         record_history(batch.sparkSession, path, ref.history("curated", settings))
 
     before = number()
+    if before < 0:
+        delete_path(spark, checkpoint, within=settings.url(settings.spark_control))
     (
         stream_staged(spark, ref, settings)
         .writeStream.trigger(availableNow=True)
