@@ -228,6 +228,7 @@ def merge_table(
     base = require_version(spark, path)
     if base.has_applied(source, batch_id):
         return base
+    changes = changes.filter(F.col("op").isNotNull())
     stats = change_stats(changes, keys)
     if stats.per_key > 1:
         raise ValueError("several changes for one key: take the latest per key first")

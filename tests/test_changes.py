@@ -1,0 +1,189 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ebbtide.operators.changes import (
+    change_rows,
+    current_state,
+    key_fields,
+    latest_per_key,
+    merge_changes,
+    route_schema_pair,
+    schema_pairs,
+)
+from tests.helpers import rows, staged
+
+
+def test_ties_go_to_the_higher_offset(spark):
+    df = staged(spark, [(1, "c", "a", 5, 5), (1, "u", "b", 5, 6), (2, "c", "c", 1, 7)])
+    got = latest_per_key(df).select("key.id", "offset")
+    assert rows(got) == [(1, 6), (2, 7)]
+
+
+def test_upsert_then_delete(spark):
+    df = staged(spark, [(1, "c", "a", 1, 1), (1, "d", "a", 2, 2), (2, "c", "b", 1, 3)])
+    assert rows(current_state(df)) == [(2, "b", "c")]
+
+
+def test_op_null_is_ignored(spark):
+    df = staged(spark, [(1, None, "a", 1, 1), (2, "r", "b", 1, 2)])
+    assert rows(change_rows(df)) == [(2, "b", "r")]
+
+
+def test_images_match_by_name(spark):
+    df = spark.createDataFrame(
+        [((("x", 1), (2, "y"), "d"),), ((("x", 1), (2, "y"), "u"),)],
+        "value struct<before:struct<name:string,id:int>,after:struct<id:int,name:string>,op:string>",
+    )
+    assert rows(change_rows(df), "id", "name", "op") == [(1, "x", "d"), (2, "y", "u")]
+    bad = spark.createDataFrame(
+        [], "value struct<before:struct<id:string>,after:struct<id:int>,op:string>"
+    )
+    with pytest.raises(ValueError, match="two types"):
+        change_rows(bad)
+
+
+def test_schema_pairs_and_routes(spark):
+    df = staged(spark, [(1, "c", "a", 1, 1), (2, "c", "b", 1, 2)])
+    df = df.withColumn("valueSchemaId", F.when(F.col("offset") == 1, 3).otherwise(None))
+    assert [tuple(r) for r in schema_pairs(df).collect()] == [(1, None), (1, 3)]
+    assert route_schema_pair(df, 1, 3).count() == 1
+    assert route_schema_pair(df, 1, None).count() == 0
+
+
+def test_key_fields(spark):
+    df = staged(spark, [])
+    assert key_fields(df) == ["id"]
+    with pytest.raises(ValueError):
+        key_fields(spark.createDataFrame([], "key int"))
+
+
+TARGET = "id int, name string, only_here int"
+CHANGES = "id int, name string, extra string, op string"
+
+
+def merged(spark, target, changes):
+    got = merge_changes(
+        spark.createDataFrame(target, TARGET), spark.createDataFrame(changes, CHANGES), ["id"]
+    )
+    return rows(got, "id", "name", "only_here", "extra", "op")
+
+
+def test_merge_cases(spark):
+    target = [(1, "a", 10), (2, "b", 20), (3, "c", 30), (4, "d", 40)]
+    changes = [
+        (1, "A", "x", "u"),  # matched upsert
+        (2, "b", None, "d"),  # matched delete
+        (3, "C", "y", None),  # no op
+        (8, "h", "z", "c"),  # insert
+        (9, "i", None, "d"),  # unseen delete
+    ]
+    assert merged(spark, target, changes) == [
+        (1, "A", 10, "x", "u"),
+        (3, "c", 30, None, None),
+        (4, "d", 40, None, None),
+        (8, "h", None, "z", "c"),
+    ]
+
+
+def test_merge_null_keys(spark):
+    target = [(None, "old", 1), (1, "a", 2)]
+    changes = [(None, "new", None, "u"), (1, "a", None, "d")]
+    assert merged(spark, target, changes) == [
+        (None, "new", None, None, "u"),
+        (None, "old", 1, None, None),
+    ]
+
+
+def test_merge_updates_every_copy_of_a_key(spark):
+    assert merged(spark, [(1, "a", 1), (1, "b", 2)], [(1, "z", None, "u")]) == [
+        (1, "z", 1, None, "u"),
+        (1, "z", 2, None, "u"),
+    ]
+
+
+def test_merge_composite_key(spark):
+    target = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "k1 int, k2 int, v string")
+    changes = spark.createDataFrame(
+        [(1, 2, "B", "u"), (2, 1, "C", "c"), (1, None, "D", "c")],
+        "k1 int, k2 int, v string, op string",
+    )
+    assert rows(merge_changes(target, changes, ["k1", "k2"])) == [
+        (1, 1, "a", None),
+        (1, 2, "B", "u"),
+        (1, None, "D", "c"),
+        (2, 1, "C", "c"),
+    ]
+
+
+def test_merge_keeps_the_type_of_the_target(spark):
+    target = spark.createDataFrame([(1, 2.5)], "id bigint, weight double")
+    changes = spark.createDataFrame([(1, 3, "u")], "id int, weight int, op string")
+    got = merge_changes(target, changes, ["id"])
+    assert got.schema.simpleString() == "struct<id:bigint,weight:double,op:string>"
+    assert rows(got) == [(1, 3.0, "u")]
+
+
+def test_merge_adds_nested_fields(spark):
+    target = spark.createDataFrame([(1, (1,)), (2, (2,))], "id int, s struct<a:int>")
+    changes = spark.createDataFrame(
+        [(1, (5, "x"), "u")], "id int, s struct<a:int,b:string>, op string"
+    )
+    got = {r.id: r.s and tuple(r.s) for r in merge_changes(target, changes, ["id"]).collect()}
+    assert got == {1: (5, "x"), 2: (2, None)}
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """A third of all rows share one key; the plan limits rows per task first."""
+    hot = spark.range(30000).select(
+        F.struct(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id")).alias("key"),
+        F.col("id").alias("offset"),
+        F.lit(0).alias("partition"),
+        F.lit(0).alias("timestamp"),
+    )
+    newest = latest_per_key(hot)
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+    assert newest.filter("key.id = 0").first().offset == 29997
+    assert newest.count() == 20001
+
+
+def test_merge_plan_prunes_and_pushes(spark, tmp_path):
+    spark.range(100).select("id", F.lit("x").alias("name"), F.lit(1).alias("w")).write.parquet(
+        str(tmp_path / "t")
+    )
+    changes = spark.createDataFrame([(5, "y", "u")], "id bigint, name string, op string")
+    got = merge_changes(spark.read.parquet(str(tmp_path / "t")), changes, ["id"]).select("name")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(id)" in plan and "IsNull(id)" in plan
+    assert "w:int" not in plan
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+LOG = st.lists(
+    st.tuples(st.integers(0, 4), st.sampled_from(["c", "u", "d", "r"]), st.sampled_from("xyz")),
+    min_size=1,
+    max_size=12,
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(log=LOG, cuts=st.sets(st.integers(1, 11), max_size=2))
+def test_batches_equal_one_batch(spark, log, cuts):
+    """In-order batches give the table that one batch gives; replays change nothing."""
+    numbered = [(k, op, name, i, i) for i, (k, op, name) in enumerate(log)]
+    bounds = [0, *sorted(c for c in cuts if c < len(log)), len(log)]
+    expected = rows(current_state(staged(spark, numbered)))
+
+    table = None
+    for start, end in zip(bounds, bounds[1:]):
+        batch = latest_per_key(staged(spark, numbered[start:end]))
+        for _ in range(2):
+            if table is None:
+                table = change_rows(batch).filter("op <> 'd'")
+            else:
+                schema = table.schema
+                table = spark.createDataFrame(table.collect(), schema)
+                table = merge_changes(table, change_rows(batch), ["id"])
+    assert rows(table) == expected
