@@ -7,6 +7,7 @@ the Python cost is per field and batch, not per row.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from decimal import Decimal, localcontext
 
 import numpy as np
@@ -220,17 +221,20 @@ def widen(values: pa.Array, target: pa.DataType) -> pa.Array:
 
 
 def decode_by_id(
-    ids: pa.Array, payloads: pa.Array, schemas: dict[int, str], target: pa.DataType
+    ids: pa.Array,
+    payloads: pa.Array,
+    decoders: Mapping[int, Callable[[pa.Array], pa.Array]],
+    target: pa.DataType,
 ) -> pa.Array:
-    """Decode each payload with the schema of its id, all to one type."""
+    """Decode each payload with the decoder of its schema id, all to one type."""
     present = payloads.is_valid().to_numpy(zero_copy_only=False)
     schema_ids = ids.fill_null(-1).to_numpy(zero_copy_only=False)
     parts, rows = [], []
     for schema_id in np.unique(schema_ids[present]):
-        if int(schema_id) not in schemas:
+        if int(schema_id) not in decoders:
             raise ValueError(f"schema id {schema_id} is not registered")
         chosen = np.flatnonzero(present & (schema_ids == schema_id))
-        decoded = decode(payloads.take(pa.array(chosen)), schemas[int(schema_id)])
+        decoded = decoders[int(schema_id)](payloads.take(pa.array(chosen)))
         parts.append(widen(decoded, target))
         rows.append(chosen)
     if not parts:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import base64
+from collections.abc import Callable, Mapping
+from functools import partial
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -14,23 +16,59 @@ from pyspark.sql.avro.functions import from_avro
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.protobuf.functions import from_protobuf
 
-from ebbtide.functions import avro_columns, schemas
+from ebbtide.functions import avro_columns, protobuf_columns, schemas
 
-# The decoder travels with its function, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(avro_columns)
-cloudpickle.register_pickle_by_value(schemas)
+# The decoders travel with their functions, so executors need no installed copy.
+for _module in (avro_columns, protobuf_columns, schemas):
+    cloudpickle.register_pickle_by_value(_module)
 
 KAFKA_COLUMNS = ["topic", "partition", "offset", "timestamp", "timestampType"]
 
 
-def avro_connector_loaded(spark: SparkSession) -> bool:
+def _loaded(spark: SparkSession, decoded: Callable[[], Column]) -> bool:
     try:
-        spark.range(0).select(from_avro(F.lit(b""), '"int"')).schema
+        spark.range(0).select(decoded()).schema
         return True
     except AnalysisException:
         return False
 
 
+def avro_connector_loaded(spark: SparkSession) -> bool:
+    return _loaded(spark, lambda: from_avro(F.lit(b""), '"int"'))
+
+
+def protobuf_connector_loaded(spark: SparkSession, descriptor_set: bytes) -> bool:
+    name = protobuf_columns.first_message(descriptor_set).full_name
+    return _loaded(
+        spark, lambda: from_protobuf(F.lit(b""), name, binaryDescriptorSet=descriptor_set)
+    )
+
+
+def _decode_by_id(
+    schema_id: Column,
+    payload: Column,
+    types: Mapping[int, T.DataType],
+    connector: Callable[[int], Column] | None,
+    decoder: Callable[[int], Callable[[pa.Array], pa.Array]],
+) -> Column:
+    """One column of the merged type: by the connector, or else in Arrow batches."""
+    merged = schemas.merge_types(list(types.values()))
+    if connector is not None:
+        decoded = F.when(payload.isNull(), F.lit(None).cast(merged))
+        for i, t in types.items():
+            decoded = decoded.when(schema_id == i, schemas.align(connector(i), t, merged))
+        return decoded.otherwise(
+            F.raise_error(F.concat(F.lit("schema id is not registered: "), schema_id))
+        )
+    decoders, arrow_type = {i: decoder(i) for i in types}, to_arrow_type(merged)
+
+    @F.arrow_udf(merged)
+    def decode(ids: pa.Array, payloads: pa.Array) -> pa.Array:
+        return avro_columns.decode_by_id(ids, payloads, decoders, arrow_type)
+
+    return decode(schema_id, payload)
+
+
 def decode_avro(
     spark: SparkSession, schema_id: Column, payload: Column, by_id: Mapping[int, str]
 ) -> Column:
@@ -40,34 +78,63 @@ def decode_avro(
     ``by_id``, so a batch of many schema ids takes one pass. Malformed payloads
     and ids outside ``by_id`` fail.
     """
-    types = {i: schemas.avro_type(text) for i, text in by_id.items()}
-    merged = schemas.merge_types(list(types.values()))
-    if avro_connector_loaded(spark):
-        decoded = F.when(payload.isNull(), F.lit(None).cast(merged))
-        for i, text in by_id.items():
-            value = from_avro(payload, text, {"mode": "FAILFAST"})
-            decoded = decoded.when(schema_id == i, schemas.align(value, types[i], merged))
-        return decoded.otherwise(
-            F.raise_error(F.concat(F.lit("schema id is not registered: "), schema_id))
+    return _decode_by_id(
+        schema_id,
+        payload,
+        {i: schemas.avro_type(text) for i, text in by_id.items()},
+        (lambda i: from_avro(payload, by_id[i], {"mode": "FAILFAST"}))
+        if avro_connector_loaded(spark)
+        else None,
+        lambda i: partial(avro_columns.decode, schema=by_id[i]),
+    )
+
+
+def decode_protobuf(
+    spark: SparkSession, schema_id: Column, payload: Column, by_id: Mapping[int, str]
+) -> Column:
+    """As decode_avro; schemas are descriptor sets in base 64.
+
+    The message is the first type of the last file of a set.
+    """
+    sets = {i: base64.b64decode(text) for i, text in by_id.items()}
+    types = {i: protobuf_columns.protobuf_type(data) for i, data in sets.items()}
+
+    def by_connector(i: int) -> Column:
+        # Between header and message stands the position of the message type.
+        first = F.substring(payload, 1, 1) == F.lit(b"\x00")
+        body = F.when(first, F.substring(payload, 2, 2**31 - 1)).otherwise(
+            F.raise_error(F.lit("only the first message type of a file is supported"))
         )
-    texts, arrow_type = dict(by_id), to_arrow_type(merged)
+        name = protobuf_columns.first_message(sets[i]).full_name
+        options = {"mode": "FAILFAST"}
+        return from_protobuf(body, name, binaryDescriptorSet=sets[i], options=options)
+
+    loaded = all(protobuf_connector_loaded(spark, data) for data in sets.values())
+    return _decode_by_id(
+        schema_id,
+        payload,
+        types,
+        by_connector if loaded else None,
+        lambda i: partial(
+            protobuf_columns.decode, descriptor_set=sets[i], target=to_arrow_type(types[i])
+        ),
+    )
 
-    @F.arrow_udf(merged)
-    def decode(ids: pa.Array, payloads: pa.Array) -> pa.Array:
-        return avro_columns.decode_by_id(ids, payloads, texts, arrow_type)
 
-    return decode(schema_id, payload)
+FRAME_DECODERS = {"avro": decode_avro, "protobuf": decode_protobuf}
 
 
-def decode_avro_frames(
+def decode_frames(
     spark: SparkSession,
     messages: DataFrame,
     key_schemas: Mapping[int, str],
     value_schemas: Mapping[int, str],
+    content_type: str = "avro",
 ) -> DataFrame:
     """Split frames (see frames.split_frames) to staged rows."""
-    key = decode_avro(spark, F.col("keySchemaId"), F.col("key"), key_schemas)
-    value = decode_avro(spark, F.col("valueSchemaId"), F.col("value"), value_schemas)
+    decode = FRAME_DECODERS[content_type]
+    key = decode(spark, F.col("keySchemaId"), F.col("key"), key_schemas)
+    value = decode(spark, F.col("valueSchemaId"), F.col("value"), value_schemas)
     return messages.select(
         key.alias("key"), value.alias("value"), *KAFKA_COLUMNS, "keySchemaId", "valueSchemaId"
     )
@@ -110,19 +177,3 @@ def decode_json_messages(
         F.col("_key.schema").alias("keySchema"),
         F.col("_value.schema").alias("valueSchema"),
     )
-
-
-def decode_protobuf(payload: Column, message: str, descriptor: bytes) -> Column:
-    """Decode Protobuf payloads; needs the Protobuf connector.
-
-    A registry frame carries the position of the message type in its file
-    between header and message; one zero byte names the first type, which is
-    the only one accepted.
-    """
-    first_type = F.substring(payload, 1, 1) == F.lit(b"\x00")
-    body = F.when(payload.isNull() | first_type, F.substring(payload, 2, 2**31 - 1)).otherwise(
-        F.raise_error(F.lit("only the first message type of a file is supported"))
-    )
-    return from_protobuf(
-        body, message, binaryDescriptorSet=descriptor, options={"mode": "FAILFAST"}
-    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.address import TableRef
 from ebbtide.config import DEFAULT, Settings
-from ebbtide.functions.envelopes import decode_avro_frames, decode_json_messages
+from ebbtide.functions.envelopes import decode_frames, decode_json_messages
 from ebbtide.functions.frames import frame, split_frames
 from ebbtide.functions.topics import topic_parts, topic_path
 from ebbtide.operators.changes import (
@@ -203,7 +203,7 @@ def avro_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = split_frames(avro_messages(_changes(spark, sf_dir)))
     key_schemas = {1: AVRO_SCHEMAS[1]}
     value_schemas = {i: AVRO_SCHEMAS[i] for i in (2, 3)}
-    return _flat(decode_avro_frames(spark, messages, key_schemas, value_schemas))
+    return _flat(decode_frames(spark, messages, key_schemas, value_schemas))
 
 
 def json_envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:

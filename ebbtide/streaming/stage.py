@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from ebbtide.address import TableRef
 from ebbtide.config import DEFAULT, Settings, schema_text
 from ebbtide.functions.envelopes import (
-    decode_avro_frames,
+    FRAME_DECODERS,
+    decode_frames,
     decode_json_messages,
     json_schema_text,
 )
@@ -28,7 +29,7 @@ from ebbtide.sources.capture import KAFKA_SCHEMA, file_limits
 from ebbtide.sources.layers import stream_layer
 from ebbtide.sources.storage import create_text, list_names, read_text
 
-CONTENT_TYPES = ("avro", "json")
+CONTENT_TYPES = ("avro", "json", "protobuf")
 _COMMITS = "_commits"
 
 
@@ -92,7 +93,8 @@ def decode_batch(messages: DataFrame, content_type: str, lookup) -> tuple[DataFr
     since there is nothing to merge it on.
     """
     spark = messages.sparkSession
-    if content_type == "avro":
+    framed = content_type in FRAME_DECODERS
+    if framed:
         key_id, value_id = "keySchemaId", "valueSchemaId"
         messages = split_frames(messages)
     else:
@@ -125,13 +127,12 @@ def decode_batch(messages: DataFrame, content_type: str, lookup) -> tuple[DataFr
     messages = messages.filter(F.col("value").isNotNull())
     if not live:
         return messages.limit(0), 0, tombstones
-    if content_type == "avro":
+    if framed:
         key_schemas, value_schemas = (
             {i: schema_text(lookup, i) for i in sorted(ids)} for ids in (keys, values)
         )
-        return (
-            decode_avro_frames(spark, messages, key_schemas, value_schemas), rows, tombstones,
-        )
+        decoded = decode_frames(spark, messages, key_schemas, value_schemas, content_type)
+        return decoded, rows, tombstones
     return decode_json_messages(messages, sorted(keys), sorted(values)), rows, tombstones
 
 
@@ -147,7 +148,7 @@ def raw_to_staged(
     """Decode all raw messages not yet decoded, and return."""
     if content_type not in CONTENT_TYPES:
         raise NotImplementedError(f"content type {content_type!r}, known are {CONTENT_TYPES}")
-    lookup = settings.schema_lookup(environment) if content_type == "avro" else None
+    lookup = settings.schema_lookup(environment) if content_type in FRAME_DECODERS else None
     ref = TableRef(project_name, database, table_name)
     path = ref.path("staged", settings)
 

@@ -1,26 +1,35 @@
+import base64
 import json
+from dataclasses import replace
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.functions.envelopes import decode_avro, decode_avro_frames, decode_json_messages
+from ebbtide.functions.envelopes import decode_avro, decode_frames, decode_json_messages
 from ebbtide.functions.frames import frame, split_frames
+from ebbtide.functions.protobuf_columns import first_message
 from ebbtide.functions.schemas import align, avro_type, connect_type, merge_types
+from ebbtide.operators.tables import read_table
+from ebbtide.plans.pipeline import run_table
+from ebbtide.sources.capture import captured_messages
 from tests.helpers import (
     KEY_SCHEMA,
+    REF,
     SAMPLE_KEY,
     SAMPLE_VALUE,
     VALUE_SCHEMA,
     encode_with_library,
     messages,
+    new_lake,
+    rows,
 )
 
 
 def test_sample_frame(spark):
     split = split_frames(messages(spark, [(SAMPLE_KEY, SAMPLE_VALUE, 1)]))
-    row = decode_avro_frames(spark, split, {1: KEY_SCHEMA}, {2: VALUE_SCHEMA}).first()
+    row = decode_frames(spark, split, {1: KEY_SCHEMA}, {2: VALUE_SCHEMA}).first()
     assert row.key.id == 1001
     assert row.value.before is None
     assert tuple(row.value.after) == (1001, "ab", 2.5)
@@ -47,13 +56,13 @@ def test_bad_frame(spark, key):
 def test_cut_payload(spark, cut):
     split = split_frames(messages(spark, [(SAMPLE_KEY, cut, 1)]))
     with pytest.raises(Exception, match="ends too early"):
-        decode_avro_frames(spark, split, {1: KEY_SCHEMA}, {2: VALUE_SCHEMA}).collect()
+        decode_frames(spark, split, {1: KEY_SCHEMA}, {2: VALUE_SCHEMA}).collect()
 
 
 def test_unregistered_id(spark):
     split = split_frames(messages(spark, [(SAMPLE_KEY, SAMPLE_VALUE, 1)]))
     with pytest.raises(Exception, match="not registered"):
-        decode_avro_frames(spark, split, {1: KEY_SCHEMA}, {3: VALUE_SCHEMA}).collect()
+        decode_frames(spark, split, {1: KEY_SCHEMA}, {3: VALUE_SCHEMA}).collect()
 
 
 WIDE = {
@@ -224,3 +233,75 @@ def test_frame_roundtrip(spark):
     got = split_frames(df).collect()
     assert [r.keySchemaId for r in got] == [0, 1000000, 2000000]
     assert {bytes(r.key) for r in got} == {b"xy"}
+
+
+def product_descriptors():
+    """Descriptor sets of a key and of an envelope around a product."""
+    descriptor_pb2 = pytest.importorskip("google.protobuf.descriptor_pb2")
+    kinds = descriptor_pb2.FieldDescriptorProto
+
+    def message(name, *fields):
+        out = descriptor_pb2.DescriptorProto(name=name)
+        for number, (field, kind, type_name, label) in enumerate(fields, 1):
+            out.field.add(name=field, number=number, type=kind, label=label, type_name=type_name or None)
+        return out
+
+    def as_set(name, *messages):
+        file = descriptor_pb2.FileDescriptorProto(name=name, package="shop", syntax="proto3")
+        file.message_type.extend(messages)
+        return descriptor_pb2.FileDescriptorSet(file=[file]).SerializeToString()
+
+    one, many = kinds.LABEL_OPTIONAL, kinds.LABEL_REPEATED
+    product = message(
+        "Product",
+        ("id", kinds.TYPE_INT32, "", one),
+        ("name", kinds.TYPE_STRING, "", one),
+        ("weight", kinds.TYPE_DOUBLE, "", one),
+        ("tags", kinds.TYPE_STRING, "", many),
+    )
+    envelope = message(
+        "Envelope",
+        ("before", kinds.TYPE_MESSAGE, ".shop.Product", one),
+        ("after", kinds.TYPE_MESSAGE, ".shop.Product", one),
+        ("op", kinds.TYPE_STRING, "", one),
+    )
+    key = message("Key", ("id", kinds.TYPE_INT32, "", one))
+    return as_set("key.proto", key), as_set("value.proto", envelope, product)
+
+
+def test_protobuf_run(spark):
+    key_set, value_set = product_descriptors()
+    message_factory = pytest.importorskip("google.protobuf.message_factory")
+    new_key, new_value = (
+        message_factory.GetMessageClass(first_message(data)) for data in (key_set, value_set)
+    )
+
+    def framed(schema_id, message, position=b"\x00"):
+        return b"\x00" + schema_id.to_bytes(4, "big") + position + message.SerializeToString()
+
+    product = {"id": 7, "name": "é", "weight": 2.5, "tags": ["x", "y"]}
+    created = new_value(after=product, op="c")
+    gone = new_value(before={"id": 8, "name": "b"}, op="d")
+    sent = [(framed(1, new_key(id=7)), framed(2, created), 1)]
+    sent += [(framed(1, new_key(id=8)), framed(2, gone), 2)]
+    texts = {1: base64.b64encode(key_set).decode(), 2: base64.b64encode(value_set).decode()}
+    split = split_frames(messages(spark, sent))
+    got = decode_frames(spark, split, {1: texts[1]}, {2: texts[2]}, "protobuf").orderBy("offset")
+    first, second = got.collect()
+    assert (first.key.id, second.key.id) == (7, 8)
+    assert first.value.asDict(True) == {"before": None, "after": product, "op": "c"}
+    assert tuple(second.value.before) == (8, "b", None, None)
+
+    settings = new_lake(spark)
+    settings = replace(settings, schema_registry={"local": texts})
+    messages(spark, sent).write.parquet(settings.url("capture"))
+    stream = captured_messages(spark, settings.url("capture"))
+    run_table(spark, REF, "local", "protobuf", lambda ref: stream, settings)
+    table = read_table(spark, REF.path("curated", settings))
+    assert rows(table, "id", "name", "op") == [(7, "é", "c")]
+
+    other = messages(spark, [(sent[0][0], framed(2, created, b"\x02\x01"), 1)])
+    with pytest.raises(Exception, match="first message type"):
+        decode_frames(
+            spark, split_frames(other), {1: texts[1]}, {2: texts[2]}, "protobuf"
+        ).collect()
