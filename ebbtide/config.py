@@ -27,6 +27,7 @@ class Settings:
 
     prefix_protocol: str = "s3"
     base: str = ""
+    # The buckets of the layers and of checkpoints and histories.
     raw: str = "datalake-raw"
     staged: str = "datalake-staged"
     curated: str = "datalake-curated"
@@ -40,7 +41,7 @@ class Settings:
     # compacted table of any size is again below the limit.
     max_num_files_allowed: int = 10_000
     target_file_bytes: int = MIB
-    max_target_file_bytes: int = 1024 * MIB
+    max_target_file_bytes: int = 256 * MIB
 
     vacuum_every_versions: int = 25
     vacuum_retention_hours: float = 768

@@ -102,7 +102,11 @@ def all_set(keys: Sequence[str]) -> Column:
 
 
 def merge_changes(
-    target: DataFrame, changes: DataFrame, keys: Sequence[str], op: str = "op"
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    op: str = "op",
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """The target after upserts and deletes.
 
@@ -116,6 +120,9 @@ def merge_changes(
     its joins, which run as broadcast joins when the changes prove small, and
     otherwise can be split by AQE where a key is hot. Rows with a NULL key
     need no join and skip it.
+
+    ``known`` holds the keys that are both in the target and in the changes,
+    where the caller has them already.
     """
     keys = list(keys)
     changes = changes.filter(F.col(op).isNotNull())
@@ -135,8 +142,10 @@ def merge_changes(
         ]
     )
 
-    known = target.select(*map(_q, keys)).join(keyed.select(*map(_q, keys)), keys, "left_semi")
-    inserts = live_rows(keyed, op).join(known.distinct(), keys, "left_anti")
+    if known is None:
+        changed = keyed.select(*map(_q, keys))
+        known = target.select(*map(_q, keys)).join(changed, keys, "left_semi").distinct()
+    inserts = live_rows(keyed, op).join(known, keys, "left_anti")
     without_key = live_rows(changes.filter(any_null(keys)), op)
 
     added = inserts.unionByName(without_key)

@@ -19,7 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.changes import all_set, merge_changes
-from ebbtide.sources.storage import create_text, list_files, list_names, path_exists, read_text
+from ebbtide.sources.storage import (
+    create_text,
+    delete_path,
+    list_files,
+    list_names,
+    path_exists,
+    read_text,
+    stored,
+)
 
 
 @dataclass(frozen=True)
@@ -88,6 +96,16 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     return read_files(spark, path, base, base.files)
 
 
+def file_names(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
+    """Names of the data files some versions consist of."""
+    return (
+        spark.read.schema("files map<string,long>")
+        .option("mode", "FAILFAST")
+        .json([version_file(path, n) for n in versions])
+        .select(F.explode(F.map_keys("files")).alias("name"))
+    )
+
+
 def write_files(df: DataFrame, path: str, version: int) -> dict[str, int]:
     """Write rows to a fresh folder of a table: file -> bytes."""
     folder = f"{version:08d}-{uuid.uuid4().hex[:12]}"
@@ -189,18 +207,16 @@ def change_stats(changes: DataFrame, keys: Sequence[str], op: str = "op"):
     ).first()
 
 
-def files_with_keys(
+def key_hits(
     spark: SparkSession, path: str, base: Version, changes: DataFrame, keys: Sequence[str], stats
-) -> set[str]:
-    """Files of a version that hold at least one of the changed keys.
+) -> DataFrame:
+    """Changed keys a version holds, each with a hash of the name of its file.
 
-    Reads the key columns only, skips row groups outside the range of the
-    changed keys, and brings home one name per hit file.
+    Reads the key columns only and skips row groups outside the range of the
+    changed keys.
     """
-    if stats.low is None:
-        return set()
     rows = read_files(spark, path, base, base.files).select(
-        *keys, F.substring_index("_metadata.file_path", "/", -3).alias("_file")
+        *keys, F.xxhash64("_metadata.file_name").alias("_file")
     )
     key_type = base.struct_type[keys[0]].dataType
     if key_type == changes.schema[keys[0]].dataType and isinstance(
@@ -208,8 +224,19 @@ def files_with_keys(
     ):
         rows = rows.filter(F.col(keys[0]).between(stats.low, stats.high))
     changed = changes.filter(all_set(keys)).select(*keys)
-    hits = rows.join(changed, list(keys), "left_semi").select("_file").distinct()
-    return {row._file for row in hits.collect()}
+    return rows.join(changed, list(keys), "left_semi")
+
+
+def hit_files(spark: SparkSession, path: str, base: Version, hits: DataFrame) -> set[str]:
+    """Names of the files of key_hits.
+
+    Two names with one hash would both count as hit, which does no harm.
+    """
+    names = file_names(spark, path, [base.version]).withColumn(
+        "_file", F.xxhash64(F.substring_index("name", "/", -1))
+    )
+    touched = names.join(hits.select("_file").distinct(), "_file", "left_semi")
+    return {row.name for row in touched.select("name").collect()}
 
 
 def merge_table(
@@ -232,11 +259,19 @@ def merge_table(
     stats = change_stats(changes, keys)
     if stats.per_key > 1:
         raise ValueError("several changes for one key: take the latest per key first")
-    touched = files_with_keys(spark, path, base, changes, keys, stats)
-    merged = merge_changes(read_files(spark, path, base, touched), changes, keys)
+    touched, known = set(), None
+    # Beside the data files, so that clean-up finds what a lost run leaves here.
+    work = f"{path}/data/work-{uuid.uuid4().hex[:12]}"
+    if base.files and stats.low is not None:
+        known = stored(key_hits(spark, path, base, changes, keys, stats), "hits", work)
+        touched = hit_files(spark, path, base, known)
+        known = known.select(*keys).distinct()
+    target = read_files(spark, path, base, touched)
+    merged = merge_changes(target, changes, keys, known=known)
     files = {name: size for name, size in base.files.items() if name not in touched}
     if touched or stats.upserts:
         files.update(write_files(merged, path, base.version + 1))
+    delete_path(spark, work, within=path)
     metrics = {
         "numUpserts": stats.upserts,
         "numDeletes": stats.deletes,

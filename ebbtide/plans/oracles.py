@@ -124,6 +124,8 @@ SELECT event_id, CAST(user_id + 1 AS INTEGER) AS "keySchemaId",
        event_type AS key_text, props AS value_text
 FROM events""",
     "avro_decode": _FLAT,
+    "protobuf_decode": f"""
+SELECT * EXCLUDE (before_revision, after_revision) FROM ({_FLAT})""",
     "json_envelope_decode": _FLAT,
     "topic_address": """
 SELECT doc_id, 'dbserver1' AS project_name, source AS database, lang AS table_name,

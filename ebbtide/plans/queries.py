@@ -47,6 +47,8 @@ from ebbtide.plans.change_logs import (
     event_changes,
     json_messages,
     order_changes,
+    protobuf_messages,
+    protobuf_schemas,
 )
 from ebbtide.plans.pipeline import run_table, run_tables
 from ebbtide.sources.capture import captured_messages
@@ -189,13 +191,13 @@ def frame_decode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _flat(staged: DataFrame) -> DataFrame:
+def _flat(staged: DataFrame, fields: list[str] = IMAGE) -> DataFrame:
     return staged.select(
         F.col("offset").alias("offset_no"),
         F.col("key.id").alias("key_id"),
         F.col("value.op").alias("op"),
-        *[F.col(f"value.before.{f}").alias(f"before_{f}") for f in IMAGE],
-        *[F.col(f"value.after.{f}").alias(f"after_{f}") for f in IMAGE],
+        *[F.col(f"value.before.{f}").alias(f"before_{f}") for f in fields],
+        *[F.col(f"value.after.{f}").alias(f"after_{f}") for f in fields],
     )
 
 
@@ -206,6 +208,13 @@ def avro_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(decode_frames(spark, messages, key_schemas, value_schemas))
 
 
+def protobuf_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = split_frames(protobuf_messages(_changes(spark, sf_dir)))
+    texts = protobuf_schemas()
+    staged = decode_frames(spark, messages, {1: texts[1]}, {2: texts[2]}, "protobuf")
+    return _flat(staged, IMAGE[:-1])
+
+
 def json_envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = json_messages(_changes(spark, sf_dir))
     return _flat(decode_json_messages(messages, [CONNECT_KEY], list(CONNECT_VALUES.values())))
@@ -328,7 +337,9 @@ def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many small files into few: the rows stay."""
     settings = replace(lake(spark, "compact"), max_num_files_allowed=16)
     path = TableRef("shop", "public", "part").path("curated", settings)
-    overwrite_table(spark, path, table(spark, sf_dir, "part").repartition(32), "CREATE")
+    part = table(spark, sf_dir, "part")
+    small_files = max(32, 4 * part.rdd.getNumPartitions())
+    overwrite_table(spark, path, part.repartition(small_files), "CREATE")
     compact_files(spark, path, settings)
     return read_table(spark, path)
 
@@ -403,12 +414,10 @@ def stream_staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw and staged only, with a tombstone after each delete."""
     settings = lake(spark, "staged")
     folder, stream = _capture(spark, settings)
-    messages = avro_messages(_changes(spark, sf_dir))
-    deletes = messages.join(
-        _changes(spark, sf_dir).filter("value.op = 'd'").select("offset"), "offset", "left_semi"
-    )
+    changes = _changes(spark, sf_dir)
+    deletes = avro_messages(changes.filter("value.op = 'd'"))
     tombstones = deletes.withColumn("value", F.lit(None).cast("binary"))
-    messages.unionByName(tombstones).write.parquet(folder)
+    avro_messages(changes).unionByName(tombstones).write.parquet(folder)
     land_messages(stream(PRODUCTS), "raw", PRODUCTS, settings)
     raw_to_staged(spark, *TOPIC.split("."), "local", "avro", settings)
     return _flat(read_staged(spark, PRODUCTS, settings))
@@ -447,12 +456,12 @@ def multi_table_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture folder with a topic per event type, run as many tables."""
     settings = lake(spark, "tables")
     folder, stream = _capture(spark, settings)
-    events = table(spark, sf_dir, "events")
-    topic = F.concat(F.lit("dbserver1.inventory."), F.col("event_type"))
-    ids = events.select(F.col("event_id").alias("offset"), topic.alias("topic"))
-    changes = _changes(spark, sf_dir).drop("topic").join(ids, "offset")
-    json_messages(changes).write.partitionBy("topic").parquet(f"{folder}")
-    topics = [r.topic for r in ids.select("topic").distinct().collect()]
+    kind = F.coalesce("value.after.name", "value.before.name")
+    changes = _changes(spark, sf_dir).withColumn(
+        "topic", F.concat(F.lit("dbserver1.inventory."), kind)
+    )
+    json_messages(changes).write.partitionBy("topic").parquet(folder)
+    topics = [r.topic for r in changes.select("topic").distinct().collect()]
     refs = run_tables(spark, topics, "local", "json", stream, settings)
     result = None
     for ref in refs:
@@ -474,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "cdc_schema_route": cdc_schema_route,
     "frame_decode_ids": frame_decode_ids,
     "avro_decode": avro_decode,
+    "protobuf_decode": protobuf_decode,
     "json_envelope_decode": json_envelope_decode,
     "topic_address": topic_address,
     "synthetic_products": synthetic_products,

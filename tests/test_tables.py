@@ -8,7 +8,10 @@ from ebbtide.config import DEFAULT
 from ebbtide.operators import upkeep
 from ebbtide.operators.tables import (
     append_table,
+    change_stats,
+    hit_files,
     is_versioned,
+    key_hits,
     list_versions,
     merge_table,
     newest_version,
@@ -49,6 +52,7 @@ def test_merge_rewrites_only_touched_files(spark):
     got = {r.id: r.name for r in read_table(spark, path).collect()}
     assert len(got) == 99 and got[5] == "five" and 7 not in got
     assert read_table(spark, path, version=0).count() == 100
+    assert not list_names(spark, f"{path}/data", r"work-[^,}]*")
 
 
 def test_merge_that_touches_nothing_keeps_all_files(spark):
@@ -61,6 +65,18 @@ def test_merge_that_touches_nothing_keeps_all_files(spark):
     assert read_table(spark, path).count() == 11
 
 
+def test_search_for_files_reads_keys_only(spark):
+    path = new_path(spark)
+    base = overwrite_table(spark, path, numbers(spark, 0, 100))
+    update = changes(spark, [(5, "five", "u"), (40, "", "d")])
+    hits = key_hits(spark, path, base, update, ["id"], change_stats(update, ["id"]))
+    assert len(hit_files(spark, path, base, hits)) == 2
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,5), LessThanOrEqual(id,40)" in plan
+    assert "ReadSchema: struct<id:bigint>" in plan and "name:string" not in plan
+    assert {r.id for r in hits.collect()} == {5, 40}
+
+
 def test_merge_of_null_keys(spark):
     path = new_path(spark)
     overwrite_table(spark, path, numbers(spark, 0, 10))
@@ -156,7 +172,7 @@ def test_compaction_carries_full_files_over(spark):
 
 @pytest.mark.parametrize(
     "size, target",
-    [(1, 2**20), (10_000 * 2**20, 2**20), (10**13, 10**9), (10**14, 2**30)],
+    [(1, 2**20), (10_000 * 2**20, 2**20), (10**12, 10**8), (10**14, 256 * 2**20)],
 )
 def test_compaction_target_grows_with_the_table(size, target):
     assert upkeep.compaction_target(size, DEFAULT) == target
