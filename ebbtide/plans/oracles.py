@@ -119,8 +119,8 @@ SELECT DISTINCT CAST(1 AS INTEGER) AS "keySchemaId", "valueSchemaId" FROM cl""",
 WITH {_CL}
 SELECT event_id AS offset_no, "valueSchemaId", id, name, weight, description, revision FROM cl""",
     "frame_decode_ids": """
-SELECT event_id, CAST(user_id + 1 AS INTEGER) AS "keySchemaId",
-       CAST(event_id * 1000 AS INTEGER) AS "valueSchemaId",
+SELECT event_id, CAST((user_id + 1) % 2147483647 AS INTEGER) AS "keySchemaId",
+       CAST(event_id * 1000 % 2147483647 AS INTEGER) AS "valueSchemaId",
        event_type AS key_text, props AS value_text
 FROM events""",
     "avro_decode": _FLAT,

@@ -69,6 +69,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PRODUCTS = TableRef.from_topic(TOPIC)
 IMAGE = ["id", "name", "weight", "description", "revision"]
 CHANGE_BATCHES = 4
+MAX_ID = 2**31 - 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -176,7 +177,8 @@ def cdc_schema_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_decode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    key_id, value_id = (F.col("user_id") + 1).cast("int"), (F.col("event_id") * 1000).cast("int")
+    key_id = ((F.col("user_id") + 1) % MAX_ID).cast("int")
+    value_id = (F.col("event_id") * 1000 % MAX_ID).cast("int")
     framed = events.select(
         "event_id",
         frame(key_id, F.col("event_type").cast("binary")).alias("key"),
