@@ -17,7 +17,6 @@ from ebbtide.operators.changes import (
     change_rows,
     current_state,
     latest_per_key,
-    live_rows,
     merge_changes,
     route_schema_pair,
     schema_pair_columns,
