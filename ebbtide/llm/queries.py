@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import langid, mixing, quality, tokencounts, winnow
+from ebbtide.llm import langid, mixing, quality, setjoin, tokencounts, winnow
 from ebbtide.sources.storage import stored
 
 
@@ -45,6 +45,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.score(docs, model).withColumn("held_out", held_out)
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_groups(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "text")
     return tokencounts.length_histogram(tokencounts.token_lengths(docs))
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_document_fingerprints,
         op3_source_mixing,
         op4_language_id,
+        op5_ngram_jaccard_join,
         op6_token_counts,
     )
 }

@@ -77,13 +77,17 @@ def slices(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int,
         yield start, held
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    texts: list[str], lower: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, word starts, word ends, first word of each text and the end) of some texts.
 
     A word is a run of bytes other than space and 0x09 to 0x0D; the texts are
-    laid out one after the other, a line break apart.
+    laid out one after the other, a line break apart. ``lower`` is for A to Z.
     """
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    if lower:
+        encoded = [e.lower() for e in encoded]
     data = np.frombuffer(b"\n".join([*encoded, b""]) or b"\n", dtype=np.uint8)
     gap = _SPACE[data]
     edges = np.flatnonzero(np.diff(np.concatenate(([True], gap)).view(np.int8)))
