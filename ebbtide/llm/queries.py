@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import langid, mixing, quality, setjoin, tokencounts, winnow
+from ebbtide.llm import langid, mixing, quality, setjoin, suffixes, tokencounts, winnow
 from ebbtide.sources.storage import stored
 
 
@@ -54,6 +54,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.length_histogram(tokencounts.token_lengths(docs))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return suffixes.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_language_id,
         op5_ngram_jaccard_join,
         op6_token_counts,
+        op9_suffix_dedup,
     )
 }
 
