@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import langid, mixing, quality, setjoin, suffixes, tokencounts, winnow
+from ebbtide.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    pii,
+    quality,
+    setjoin,
+    suffixes,
+    tokencounts,
+    winnow,
+)
 from ebbtide.sources.storage import stored
 
 
@@ -54,6 +64,25 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.length_histogram(tokencounts.token_lengths(docs))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
+    counts = {
+        f"n_{kind}": F.size(F.filter("base", lambda s: s["order"] == order)).cast("long")
+        for order, (kind, _, _) in enumerate(pii.KINDS)
+    }
+    return found.select(
+        "doc_id",
+        *(count.alias(name) for name, count in counts.items()),
+        F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+        pii.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return suffixes.remove_repeats(docs).select(
@@ -70,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_language_id,
         op5_ngram_jaccard_join,
         op6_token_counts,
+        op7_benchmark_decontamination,
+        op8_personal_data,
         op9_suffix_dedup,
     )
 }
