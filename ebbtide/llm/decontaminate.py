@@ -182,6 +182,5 @@ def _slots(docs: DataFrame, items: DataFrame, held: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The documents, with all their columns, that hold no item."""
     ids = stored(found.select(F.col("doc_id").alias("leaked")).distinct(), "leak-ids")
-    if ids.count() * 16 <= _SMALL:
-        ids = F.broadcast(ids)
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("leaked")), "left_anti")
+    same = docs["doc_id"].eqNullSafe(ids["leaked"])
+    return docs.join(F.broadcast(ids) if ids.count() * 16 <= _SMALL else ids, same, "left_anti")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm import (
     decontaminate,
     langid,
+    licenses,
     mixing,
     pii,
     quality,
@@ -90,6 +91,16 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files below source/lang; short ones on licensing are their licence files."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
+    notice = (mixing.word_count(F.col("text")) <= 25) & F.col("text").rlike("(?i)licen[cs]e")
+    name = F.when(notice, "LICENSE").otherwise(F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", "source", "lang", name)
+    files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
+    return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_benchmark_decontamination,
         op8_personal_data,
         op9_suffix_dedup,
+        op10_license_scan,
     )
 }
 

@@ -279,3 +279,17 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     alone = sets.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ("doc_id", "n_shingles", "component_id")
     return joined.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """The documents, with all their columns, whose id is their component's.
+
+    Rows that share an id stay or go together; rows with a NULL id stay.
+    """
+    groups = jaccard_groups(docs)
+    gone = stored(
+        groups.where("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct(),
+        "set-join-gone",
+    )
+    same = docs["doc_id"] == gone["gone"]
+    return docs.join(F.broadcast(gone) if gone.count() * 16 <= _SMALL else gone, same, "left_anti")
