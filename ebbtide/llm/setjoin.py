@@ -5,11 +5,16 @@ hashes that fall into each of ``K`` equal ranges of hash values (blocks): each
 element toggles the bits of one block, so sketches of two sets differ in at most
 as many blocks as the sets differ in elements. A link allows at most
 (a + b) / 9 differing elements for sizes a and b; ``K`` is above that for all
-sizes of a band, so linked sets agree in a block (pigeonhole), and blocks are
+sizes of a band, so linked sets agree in some blocks (pigeonhole), and blocks are
 joined by content. Sets of up to 13 elements, with at most two elements beside
 the common ones, are joined by the XOR of what is left without any two. All
 candidate pairs are verified on the whole sets.
 
+As ``K`` is half as large again as it must be, linked sets agree in a third of
+their blocks. So a set that has fewer blocks in common with any others has no
+link, and of the others each leaves out as many of its most frequent blocks as
+it could miss: a passage that very many documents share makes no candidates.
+
 An empty block says nothing and is not joined; ``K`` is large enough that common
 elements all fall into differing blocks with a chance below 1e-12, like that of
 equal 64-bit hashes of different shingles.
@@ -33,7 +38,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
@@ -87,7 +92,7 @@ def _bands() -> list[tuple[int, int]]:
     while low < 1 << 40:
         high = math.ceil(low * _BAND)
         most = 2 * (high - 1) // 9
-        out.append((low, max(most + 1, math.ceil(most * 10 ** (3 / most)))))
+        out.append((low, math.ceil(most * max(1.5, 10 ** (3 / most)))))
         low = high
     return out
 
@@ -104,40 +109,51 @@ def _blocks(hashes: np.ndarray, band: int) -> np.ndarray:
     return mix(content + mix(at[first] + np.uint64(band + 1) * np.uint64(1 << 40)))
 
 
-def signatures(hashes: np.ndarray) -> np.ndarray:
-    """What two linked sets have at least one of in common."""
-    n, out = len(hashes), []
+def signatures(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """What linked sets have in common, and how many of these at least.
+
+    A signature's last bit is that of its band's number: a set is in one or two
+    neighbouring bands. The second result is by that bit; 1 where all must be kept.
+    """
+    n, out, least = len(hashes), [], [1, 1]
+    differ = (n + 5 * n // 4) // 9
     band = int(np.searchsorted(_LOWS, n, side="right")) - 1
-    if band < 0:
-        whole = np.bitwise_xor.reduce(hashes)
-        left = [
-            np.bitwise_xor.reduce([whole, *some])
-            for size in range(n // 5 + 1)
-            for some in combinations(hashes, size)
-        ]
-        out.append(mix(np.array(left, dtype=np.uint64)))
-    else:
-        out.append(_blocks(hashes, band))
-    if 5 * n >= 4 * _LOWS[band + 1]:
-        out.append(_blocks(hashes, band + 1))
-    return np.concatenate(out)
+    bands = [band] + [band + 1] * (5 * n >= 4 * _LOWS[band + 1])
+    for b in bands:
+        if b < 0:
+            whole = np.bitwise_xor.reduce(hashes)
+            left = [
+                np.bitwise_xor.reduce([whole, *some])
+                for size in range(n // 5 + 1)
+                for some in combinations(hashes, size)
+            ]
+            found = mix(np.array(left, dtype=np.uint64))
+        else:
+            found = _blocks(hashes, b)
+            least[b % 2] = max(1, len(found) - differ)
+        out.append((found & ~np.uint64(1)) | np.uint64(b % 2))
+    return np.concatenate(out), least
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, k): each document's set size and key."""
+    """(doc_id, n_shingles, k, least0, least1): each document's set size, key, and signatures to share."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [(len(s), set_key(s)) for s in shingle_sets(batch["text"].tolist())]
-            rows = pd.DataFrame(sets, columns=["n_shingles", "k"], dtype="int64")
-            yield rows.assign(doc_id=batch["doc_id"].to_numpy())[["doc_id", "n_shingles", "k"]]
+            sets = [
+                (len(s), set_key(s), *(signatures(s)[1] if len(s) else (1, 1)))
+                for s in shingle_sets(batch["text"].tolist())
+            ]
+            rows = pd.DataFrame(sets, columns=names[1:], dtype="int64")
+            yield rows.assign(doc_id=batch["doc_id"].to_numpy())[names]
 
-    return docs.mapInPandas(found, f"doc_id {kind}, n_shingles long, k long")
+    names = ["doc_id", "n_shingles", "k", "least0", "least1"]
+    return docs.mapInPandas(found, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]))
 
 
 def _shared(docs: DataFrame, parts: int) -> DataFrame:
-    """(sig, k, leader): the sets of each signature that several sets have.
+    """(sig, k, sets): the sets of each signature that several sets have, and how many.
 
     Signatures travel as packed arrays, one for each batch and part.
     """
@@ -149,7 +165,7 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
             for s in shingle_sets(batch["text"].tolist()):
                 if len(s) and (key := set_key(s)) not in seen:
                     seen.add(key)
-                    sigs.append(signatures(s))
+                    sigs.append(signatures(s)[0])
                     keys.append(np.full(len(sigs[-1]), key))
             if not sigs:
                 continue
@@ -169,12 +185,30 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
         sig, k = sig[new], k[new]
         first = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
         count = np.diff(np.append(first, len(sig)))
-        several = np.repeat(count > 1, count)
-        leader = np.repeat(k[first], count)
-        return pd.DataFrame({"sig": sig[several], "k": k[several], "leader": leader[several]})
+        several, sets = np.repeat(count > 1, count), np.repeat(count, count)
+        return pd.DataFrame({"sig": sig[several], "k": k[several], "sets": sets[several]})
 
     blobs = docs.select("text").mapInPandas(packed, "part int, data binary")
-    return blobs.groupBy("part").applyInPandas(joined, "sig long, k long, leader long")
+    return blobs.groupBy("part").applyInPandas(joined, "sig long, k long, sets long")
+
+
+def _candidates(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(sig, k, leader): the signatures that can show a link, with their smallest set."""
+    bit = F.col("sig").bitwiseAND(F.lit(1))
+    least = F.when(bit == 0, F.col("least0")).otherwise(F.col("least1"))
+    own = Window.partitionBy("k", "bit")
+    rarest = own.orderBy("sets", "sig")
+    kept = (
+        shared.join(classes.select("k", "least0", "least1"), "k")
+        .select("sig", "k", "sets", bit.alias("bit"), least.alias("least"))
+        .withColumn("have", F.count("*").over(own))
+        .withColumn("place", F.row_number().over(rarest))
+        .where("place <= have - least + 1")
+        .select("sig", "k")
+    )
+    kept = stored(kept, "set-join-kept")
+    leaders = kept.groupBy("sig").agg(F.min("k").alias("leader"), F.max("k").alias("last"))
+    return kept.join(leaders.where("leader < last").drop("last"), "sig")
 
 
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -233,12 +267,17 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     classes = stored(
         sets.where("n_shingles > 0")
         .groupBy("k")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")),
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("n_shingles").alias("n"),
+            *(F.first(c).alias(c) for c in ("least0", "least1")),
+        ),
         "set-join-classes",
     )
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     deals = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = stored(_shared(docs, max(deals, total * 8 // _PART_BYTES)), "set-join-shared")
+    shared = stored(_shared(docs, max(deals, total * 11 // _PART_BYTES)), "set-join-shared")
+    shared = stored(_candidates(shared, classes), "set-join-candidates")
 
     stars = stored(
         shared.where("k != leader")
