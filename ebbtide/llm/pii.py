@@ -146,7 +146,7 @@ def _confident_values(seen: DataFrame) -> DataFrame:
     """Values that are no seeds but keep their company, from occurrences (c, seed)."""
     left, shape = F.col("c.left"), F.col("c.shape")
     patterns = F.array(
-        F.struct(F.lit("words").alias("of"), F.concat_ws(" ", "c.left2", left).alias("a"), shape.alias("b")),
+        F.struct(F.lit("words").alias("of"), F.col("c.left2").alias("a"), left.alias("b")),
         F.struct(F.lit("around").alias("of"), left.alias("a"), F.col("c.right").alias("b")),
         F.struct(F.lit("word").alias("of"), left.alias("a"), shape.alias("b")),
     )
