@@ -12,8 +12,8 @@ MIB = 1024 * 1024
 
 # Where the messages of each environment come from.
 KAFKA_SERVERS = {
-    "local": {"bootstrap_servers": "localhost:9092", "tls": False},
-    "example": {"bootstrap_servers": "broker:29092", "tls": False},
+    "local": {"bootstrap_servers": "localhost:9092"},
+    "example": {"bootstrap_servers": "broker:29092"},
 }
 
 
@@ -36,12 +36,14 @@ class Settings:
     schema_registry: Mapping[str, SchemaLookup] = field(default_factory=dict)
     kafka: Mapping[str, Mapping] = field(default_factory=lambda: dict(KAFKA_SERVERS))
 
-    # Compaction starts above this many files and aims at files of this size.
-    # The aim grows with the table (up to max_target_file_bytes), so that a
-    # compacted table of any size is again below the limit.
+    # Compaction starts above this many files and aims at files of this size,
+    # whatever the size of the table.
     max_num_files_allowed: int = 10_000
-    target_file_bytes: int = MIB
-    max_target_file_bytes: int = 256 * MIB
+    target_file_bytes: int = 128 * MIB
+
+    # Buckets of a curated table, fixed when it is made: take about one for each
+    # gigabyte that the table will grow to.
+    buckets: int = 8
 
     vacuum_every_versions: int = 25
     vacuum_retention_hours: float = 768

@@ -56,10 +56,16 @@ def latest_per_key(
     return changes.withColumn("_row_num", newest).filter("_row_num = 1").drop("_row_num")
 
 
-def change_rows(staged: DataFrame, value: str = "value") -> DataFrame:
+def change_rows(
+    staged: DataFrame, value: str = "value", key: str = "key", keep: Sequence[Column] = ()
+) -> DataFrame:
     """One flat row per change: ``after`` or, for deletes, ``before``, and op.
 
-    Images are matched by field name; rows without op are no change.
+    Key columns come from the message key, which every change has; a source may
+    log deletes without an image, and their other columns are NULL then. Any
+    other op without ``after`` fails: there would be nothing to write. Images are
+    matched by field name; rows without op are no change. ``keep`` are further
+    columns of the staged rows.
     """
     envelope = staged.schema[value].dataType
     images = {name: envelope[name].dataType for name in ("after", "before")}
@@ -68,19 +74,22 @@ def change_rows(staged: DataFrame, value: str = "value") -> DataFrame:
         for f in image:
             if fields[f.name] != f.dataType:
                 raise ValueError(f"field {f.name!r} has two types in before and after")
+    keys = key_fields(staged, key) if key in staged.columns else []
 
-    op = F.col(f"{value}.op")
+    op, after = F.col(f"{value}.op"), F.col(value).getField("after")
+    lost = F.concat(F.lit("a change without image that is no delete: op "), op)
+    checked = F.when((op != DELETE) & after.isNull(), F.raise_error(lost)).otherwise(op)
 
     def pick(image: str, field: str) -> Column:
         if field in images[image].names:
             return F.col(value).getField(image).getField(field)
         return F.lit(None).cast(fields[field])
 
-    columns = [
-        F.when(op == DELETE, pick("before", f)).otherwise(pick("after", f)).alias(f)
-        for f in fields
-    ]
-    return staged.filter(op.isNotNull()).select(*columns, op.alias("op"))
+    columns = [F.col(key).getField(k).alias(k) for k in keys if k not in fields]
+    for f in fields:
+        image = F.when(op == DELETE, pick("before", f)).otherwise(pick("after", f))
+        columns.append((F.col(key).getField(f) if f in keys else image).alias(f))
+    return staged.filter(op.isNotNull()).select(*columns, checked.alias("op"), *keep)
 
 
 def live_rows(changes: DataFrame, op: str = "op") -> DataFrame:
@@ -106,7 +115,7 @@ def merge_changes(
     changes: DataFrame,
     keys: Sequence[str],
     op: str = "op",
-    known: DataFrame | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """The target after upserts and deletes.
 
@@ -116,49 +125,67 @@ def merge_changes(
     only the changes have are added, columns only the target has keep their
     value.
 
-    The target is never regrouped by key as a whole: it is the streamed side of
-    its joins, which run as broadcast joins when the changes prove small, and
-    otherwise can be split by AQE where a key is hot. Rows with a NULL key
-    need no join and skip it.
+    ``order`` names a column of both sides that tells when a row was changed.
+    With it, a change is applied only if it is newer than the row it meets, and
+    a delete leaves its row with op 'd' behind, so that changes may come in any
+    order.
 
-    ``known`` holds the keys that are both in the target and in the changes,
-    where the caller has them already.
+    Target and changes meet in one full outer join; rows with a NULL key need no
+    join and skip it.
     """
     keys = list(keys)
     changes = changes.filter(F.col(op).isNotNull())
     target, changes = _same_types(target, changes)
 
-    keyed = changes.filter(all_set(keys))
-    change = keyed.select(*[_q(k) for k in keys], F.struct(*changes.columns).alias("_change"))
-    joined = target.filter(all_set(keys)).join(change, keys, "left_outer")
-    kept = joined.filter(F.col("_change").isNull() | (F.col(f"_change.{op}") != DELETE)).select(
-        *[
-            F.when(F.col("_change").isNotNull(), F.col("_change").getField(c))
-            .otherwise(F.col(_q(c)))
-            .alias(c)
-            if c in changes.columns
-            else F.col(_q(c))
-            for c in target.columns
-        ]
+    change = changes.filter(all_set(keys)).select(
+        *[_q(k) for k in keys], F.struct(*map(_q, changes.columns)).alias("_change")
     )
-
-    if known is None:
-        changed = keyed.select(*map(_q, keys))
-        known = target.select(*map(_q, keys)).join(changed, keys, "left_semi").distinct()
-    inserts = live_rows(keyed, op).join(known, keys, "left_anti")
-    without_key = live_rows(changes.filter(any_null(keys)), op)
-
-    added = inserts.unionByName(without_key)
+    row = target.filter(all_set(keys)).select(
+        *[_q(k) for k in keys], F.struct(*map(_q, target.columns)).alias("_row")
+    )
+    joined = row.join(change, keys, "full_outer")
+    applies = F.col("_change").isNotNull()
+    if order:
+        old, new = F.col("_row").getField(order), F.col("_change").getField(order)
+        applies = applies & (old.isNull() | (new > old))
+    else:
+        joined = joined.filter(
+            F.col("_change").isNull() | (F.col("_change").getField(op) != DELETE)
+        )
+
+    def value(name: str) -> Column:
+        if name in keys:
+            return F.col(_q(name))
+        if name not in changes.columns:
+            return F.col("_row").getField(name).alias(name)
+        changed = F.when(applies, F.col("_change").getField(name))
+        return changed.otherwise(F.col("_row").getField(name)).alias(name)
+
+    without_key = changes.filter(any_null(keys))
+    if not order:
+        without_key = live_rows(without_key, op)
     return (
-        kept.unionByName(target.filter(any_null(keys)))
-        .unionByName(added, allowMissingColumns=True)
+        joined.select(*map(value, target.columns))
+        .unionByName(target.filter(any_null(keys)))
+        .unionByName(without_key, allowMissingColumns=True)
     )
 
 
+# What each type can be stored as without loss, beside itself.
+_WIDER = {
+    "tinyint": {"smallint", "int", "bigint", "float", "double"},
+    "smallint": {"int", "bigint", "float", "double"},
+    "int": {"bigint", "double"},
+    "float": {"double"},
+    "date": {"timestamp_ntz"},
+}
+
+
 def _same_types(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give the target the columns it lacks, and shared columns one type.
 
-    Changes are cast to the type of the target; nested fields are added.
+    Changes are cast to the type of the target where it holds all their values,
+    and fail otherwise; nested fields are added.
     """
     have = {f.name: f.dataType for f in target.schema}
     come = {f.name: f.dataType for f in changes.schema}
@@ -166,6 +193,12 @@ def _same_types(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataF
     for name, t in {**come, **have}.items():
         nested = isinstance(t, (T.StructType, T.ArrayType, T.MapType))
         final[name] = merge_types([t, come[name]]) if nested and name in come else t
+        if name in come and not nested and come[name] != t:
+            if t.simpleString() not in _WIDER.get(come[name].simpleString(), ()):
+                raise ValueError(
+                    f"column {name!r} is {t.simpleString()} and cannot hold "
+                    f"{come[name].simpleString()}"
+                )
 
     def change(name: str) -> Column:
         value = align(F.col(_q(name)), come[name], final[name])

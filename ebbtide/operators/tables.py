@@ -1,9 +1,12 @@
 """Versioned Parquet tables: what one run writes appears as a whole or not at all.
 
-A version is one small file ``_versions/<n>.json`` that names the data files it
-consists of. Data files are written first, under a fresh folder, and are never
-changed; publishing the version file makes them part of the table. One writer
-per table, any number of readers.
+Rows are dealt into a fixed number of buckets by a hash of the table's keys. A
+version is one small file ``_versions/<n>.json`` that names, for each bucket, the
+folders that hold its rows. Data is written first, under a fresh folder, and
+never changed; publishing the version file makes it part of the table. A merge
+reads and rewrites the buckets of the changed keys only, and what a version
+names is bounded by the buckets and by the appends since the last compaction,
+not by the number of files. One writer per table, any number of readers.
 """
 
 from __future__ import annotations
@@ -14,21 +17,21 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.changes import all_set, merge_changes
 from ebbtide.sources.storage import (
     create_text,
-    delete_path,
     list_files,
     list_names,
     path_exists,
     read_text,
-    stored,
 )
 
+BUCKET = "_b"
+
 
 @dataclass(frozen=True)
 class Version:
@@ -37,7 +40,9 @@ class Version:
     operation: str
     operationMetrics: Mapping[str, str]
     schema: Mapping
-    files: Mapping[str, int]  # path below the table -> bytes
+    keys: Sequence[str]  # none: rows are dealt by all their columns
+    buckets: int
+    folders: Mapping[str, Mapping[str, Sequence[int]]]  # bucket -> folder -> [files, bytes]
     numFiles: int
     sizeInBytes: int
     applied: Mapping[str, int] = field(default_factory=dict)  # stream -> last batch
@@ -79,12 +84,23 @@ def require_version(spark: SparkSession, path: str) -> Version:
     return newest
 
 
-def read_files(spark: SparkSession, path: str, base: Version, files: Iterable[str]) -> DataFrame:
-    """Rows of some files of a version, in the schema of the version.
+def folder_paths(path: str, base: Version, buckets: Iterable[str] | None = None) -> list[str]:
+    chosen = base.folders if buckets is None else buckets
+    return [
+        f"{path}/data/{folder}/{BUCKET}={bucket}"
+        for bucket in chosen
+        for folder in base.folders.get(bucket, {})
+    ]
+
+
+def read_buckets(
+    spark: SparkSession, path: str, base: Version, buckets: Iterable[str] | None = None
+) -> DataFrame:
+    """Rows of all or some buckets of a version, in the schema of the version.
 
     Fields a file was written without are NULL.
     """
-    paths = [f"{path}/{name}" for name in files]
+    paths = folder_paths(path, base, buckets)
     if not paths:
         return spark.createDataFrame([], base.struct_type)
     return spark.read.schema(base.struct_type).parquet(*paths)
@@ -93,27 +109,43 @@ def read_files(spark: SparkSession, path: str, base: Version, files: Iterable[st
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest version of a table, or an older one by number."""
     base = require_version(spark, path) if version is None else load_version(spark, path, version)
-    return read_files(spark, path, base, base.files)
+    return read_buckets(spark, path, base)
 
 
-def file_names(spark: SparkSession, path: str, versions: list[int]) -> DataFrame:
-    """Names of the data files some versions consist of."""
-    return (
-        spark.read.schema("files map<string,long>")
-        .option("mode", "FAILFAST")
-        .json([version_file(path, n) for n in versions])
-        .select(F.explode(F.map_keys("files")).alias("name"))
-    )
+def bucket_of(columns: Sequence[str], keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row: by its keys, or by all columns where a key is NULL."""
+    whole = F.xxhash64(*(F.col(f"`{c}`") for c in columns))
+    hashed = F.xxhash64(*(F.col(f"`{k}`") for k in keys)) if keys else whole
+    chosen = F.when(all_set(keys), hashed).otherwise(whole) if keys else hashed
+    return F.pmod(chosen, F.lit(buckets)).cast("int")
+
 
+def write_buckets(
+    df: DataFrame, path: str, version: int, keys: Sequence[str], buckets: int
+) -> dict[str, dict[str, list[int]]]:
+    """Write rows to a fresh folder: bucket -> folder -> [files, bytes].
 
-def write_files(df: DataFrame, path: str, version: int) -> dict[str, int]:
-    """Write rows to a fresh folder of a table: file -> bytes."""
+    The rebalancing hint puts a bucket's rows together and splits what is too
+    large for one file.
+    """
     folder = f"{version:08d}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(f"{path}/data/{folder}")
-    listing = list_files(df.sparkSession, f"{path}/data/{folder}").select(
-        F.substring_index("path", "/", -1).alias("name"), "length"
+    hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
+    dealt = df.withColumn(BUCKET, bucket_of(hashable, keys, buckets))
+    if buckets > 1:
+        dealt = dealt.hint("rebalance", F.col(BUCKET))
+    return _written(dealt, path, folder)
+
+
+def _written(dealt: DataFrame, path: str, folder: str) -> dict[str, dict[str, list[int]]]:
+    dealt.write.partitionBy(BUCKET).parquet(f"{path}/data/{folder}")
+    bucket = F.regexp_extract("path", rf"/{BUCKET}=(\d+)/", 1).alias("bucket")
+    sizes = (
+        list_files(dealt.sparkSession, f"{path}/data/{folder}")
+        .select(bucket, "length")
+        .groupBy("bucket")
+        .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
     )
-    return {f"data/{folder}/{row.name}": row.length for row in listing.collect()}
+    return {r.bucket: {folder: [r.files, r.bytes]} for r in sizes.collect()}  # one for each bucket
 
 
 def publish(
@@ -122,20 +154,25 @@ def publish(
     version: int,
     operation: str,
     schema: T.StructType,
-    files: Mapping[str, int],
+    folders: Mapping[str, Mapping[str, Sequence[int]]],
     metrics: Mapping[str, object] | None = None,
     applied: Mapping[str, int] | None = None,
+    keys: Sequence[str] = (),
+    buckets: int = 1,
 ) -> Version:
     """Make a version visible; fails if that number is already taken."""
+    sizes = [size for some in folders.values() for size in some.values()]
     new = Version(
         version=version,
         timestamp=datetime.now(timezone.utc).isoformat(timespec="microseconds"),
         operation=operation,
         operationMetrics={k: str(v) for k, v in (metrics or {}).items()},
         schema=schema.jsonValue(),
-        files=dict(files),
-        numFiles=len(files),
-        sizeInBytes=sum(files.values()),
+        keys=list(keys),
+        buckets=buckets,
+        folders={b: dict(some) for b, some in folders.items()},
+        numFiles=sum(files for files, _ in sizes),
+        sizeInBytes=sum(length for _, length in sizes),
         applied=dict(applied or {}),
     )
     create_text(spark, version_file(path, version), json.dumps(asdict(new)))
@@ -157,15 +194,26 @@ def overwrite_table(
     metrics: Mapping[str, object] | None = None,
     source: str | None = None,
     batch_id: int | None = None,
+    keys: Sequence[str] = (),
+    buckets: int = 1,
 ) -> Version:
-    """Replace the whole content; the first version of a new table is 0."""
+    """Replace the whole content; the first version of a new table is 0.
+
+    A batch that was applied before is skipped. Keys and buckets are given when
+    a table is made and stay.
+    """
     base = newest_version(spark, path)
+    if base is not None and base.has_applied(source, batch_id):
+        return base
     if base is None and path_exists(spark, path) and not path_exists(spark, f"{path}/data"):
         raise ValueError(f"{path} exists but is not a versioned table")
     version = base.version + 1 if base else 0
-    files = write_files(df, path, version)
+    keys, buckets = (base.keys, base.buckets) if base else (keys, buckets)
+    folders = write_buckets(df, path, version, keys, buckets)
     applied = _applied(base, source, batch_id)
-    return publish(spark, path, version, operation, df.schema, files, metrics, applied)
+    return publish(
+        spark, path, version, operation, df.schema, folders, metrics, applied, keys, buckets
+    )
 
 
 def append_table(
@@ -175,68 +223,44 @@ def append_table(
     source: str | None = None,
     batch_id: int | None = None,
 ) -> Version:
-    """Add rows; new columns are added to the table, missing ones are NULL."""
+    """Add rows; new columns are added to the table, missing ones are NULL.
+
+    A batch that was applied before is skipped.
+    """
     base = newest_version(spark, path)
     if base is None:
         return overwrite_table(spark, path, df, "WRITE", None, source, batch_id)
+    if base.has_applied(source, batch_id):
+        return base
     schema = spark.createDataFrame([], base.struct_type).unionByName(
         df.limit(0), allowMissingColumns=True
     ).schema
     for f in df.schema:
         if schema[f.name].dataType != f.dataType:
             raise ValueError(f"column {f.name!r} has type {schema[f.name].dataType.simpleString()}")
-    files = {**base.files, **write_files(df, path, base.version + 1)}
+    added = write_buckets(df, path, base.version + 1, base.keys, base.buckets)
+    folders = {b: {**base.folders.get(b, {}), **added.get(b, {})} for b in {**base.folders, **added}}
     applied = _applied(base, source, batch_id)
-    return publish(spark, path, base.version + 1, "APPEND", schema, files, None, applied)
-
-
-def change_stats(changes: DataFrame, keys: Sequence[str], op: str = "op"):
-    """One row about a set of changes: most rows per key, rows by kind, key range."""
-    per_key = changes.groupBy(*keys).agg(
-        F.count("*").alias("rows"),
-        F.count_if(F.col(op) != "d").alias("upserts"),
-        F.count_if(F.col(op) == "d").alias("deletes"),
-    )
-    first = F.when(all_set(keys), F.col(keys[0]))
-    return per_key.agg(
-        F.coalesce(F.max(F.when(all_set(keys), F.col("rows"))), F.lit(0)).alias("per_key"),
-        F.coalesce(F.sum("upserts"), F.lit(0)).alias("upserts"),
-        F.coalesce(F.sum("deletes"), F.lit(0)).alias("deletes"),
-        F.min(first).alias("low"),
-        F.max(first).alias("high"),
-    ).first()
-
-
-def key_hits(
-    spark: SparkSession, path: str, base: Version, changes: DataFrame, keys: Sequence[str], stats
-) -> DataFrame:
-    """Changed keys a version holds, each with a hash of the name of its file.
-
-    Reads the key columns only and skips row groups outside the range of the
-    changed keys.
-    """
-    rows = read_files(spark, path, base, base.files).select(
-        *keys, F.xxhash64("_metadata.file_name").alias("_file")
+    return publish(
+        spark, path, base.version + 1, "APPEND", schema, folders, None, applied,
+        base.keys, base.buckets,
     )
-    key_type = base.struct_type[keys[0]].dataType
-    if key_type == changes.schema[keys[0]].dataType and isinstance(
-        key_type, (T.IntegralType, T.StringType)
-    ):
-        rows = rows.filter(F.col(keys[0]).between(stats.low, stats.high))
-    changed = changes.filter(all_set(keys)).select(*keys)
-    return rows.join(changed, list(keys), "left_semi")
-
 
-def hit_files(spark: SparkSession, path: str, base: Version, hits: DataFrame) -> set[str]:
-    """Names of the files of key_hits.
 
-    Two names with one hash would both count as hit, which does no harm.
-    """
-    names = file_names(spark, path, [base.version]).withColumn(
-        "_file", F.xxhash64(F.substring_index("name", "/", -1))
+def change_stats(changes: DataFrame, keys: Sequence[str], buckets: int, unique: bool):
+    """(most rows per key, upserts, deletes, buckets touched) of a set of changes."""
+    hashable = [f.name for f in changes.schema if not isinstance(f.dataType, T.MapType)]
+    by_bucket = (
+        changes.groupBy(bucket_of(hashable, keys, buckets).cast("string").alias("bucket"))
+        .agg(F.count_if(F.col("op") != "d").alias("upserts"), F.count_if(F.col("op") == "d").alias("deletes"))
+        .collect()  # one row for each bucket
     )
-    touched = names.join(hits.select("_file").distinct(), "_file", "left_semi")
-    return {row.name for row in touched.select("name").collect()}
+    most = 1
+    if not unique:
+        per_key = changes.filter(all_set(keys)).groupBy(*keys).count()
+        most = per_key.agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    upserts, deletes = (sum(r[c] for r in by_bucket) for c in ("upserts", "deletes"))
+    return most, upserts, deletes, sorted(r.bucket for r in by_bucket)
 
 
 def merge_table(
@@ -246,51 +270,65 @@ def merge_table(
     keys: Sequence[str],
     source: str | None = None,
     batch_id: int | None = None,
+    order: str | None = None,
+    unique: bool = False,
+    tidy=None,
 ) -> Version:
-    """Merge changes into a table, rewriting only the files they touch.
+    """Merge changes into a table, rewriting only the buckets they touch.
 
-    All other files are carried over by name. ``changes`` is read several
-    times: pass a stored table. More than one change per key is an error.
+    ``changes`` is read twice: pass a stored table. More than one change per key
+    is an error, looked for unless the caller says they are ``unique``. ``tidy``
+    is applied to the rows of the rewritten buckets. For ``order`` see
+    merge_changes.
     """
     base = require_version(spark, path)
     if base.has_applied(source, batch_id):
         return base
+    if list(keys) != list(base.keys):
+        raise ValueError(f"the table is dealt by {list(base.keys)}, not by {list(keys)}")
     changes = changes.filter(F.col("op").isNotNull())
-    stats = change_stats(changes, keys)
-    if stats.per_key > 1:
+    most, upserts, deletes, touched = change_stats(changes, keys, base.buckets, unique)
+    if most > 1:
         raise ValueError("several changes for one key: take the latest per key first")
-    touched, known = set(), None
-    # Beside the data files, so that clean-up finds what a lost run leaves here.
-    work = f"{path}/data/work-{uuid.uuid4().hex[:12]}"
-    if base.files and stats.low is not None:
-        known = stored(key_hits(spark, path, base, changes, keys, stats), "hits", work)
-        touched = hit_files(spark, path, base, known)
-        known = known.select(*keys).distinct()
-    target = read_files(spark, path, base, touched)
-    merged = merge_changes(target, changes, keys, known=known)
-    files = {name: size for name, size in base.files.items() if name not in touched}
-    if touched or stats.upserts:
-        files.update(write_files(merged, path, base.version + 1))
-    delete_path(spark, work, within=path)
+    target = read_buckets(spark, path, base, touched)
+    merged = merge_changes(target, changes, keys, order=order)
+    if tidy:
+        merged = tidy(merged)
+    folders = {b: some for b, some in base.folders.items() if b not in touched}
+    if touched:
+        folders.update(write_buckets(merged, path, base.version + 1, keys, base.buckets))
     metrics = {
-        "numUpserts": stats.upserts,
-        "numDeletes": stats.deletes,
-        "numFilesRewritten": len(touched),
+        "numUpserts": upserts,
+        "numDeletes": deletes,
+        "numBucketsRewritten": len(touched),
     }
     applied = _applied(base, source, batch_id)
     return publish(
-        spark, path, base.version + 1, "MERGE", merged.schema, files, metrics, applied
+        spark, path, base.version + 1, "MERGE", merged.schema, folders, metrics, applied,
+        base.keys, base.buckets,
     )
 
 
-def replace_files(
-    spark: SparkSession, path: str, base: Version, old: Iterable[str], df: DataFrame, operation: str
+def replace_buckets(
+    spark: SparkSession, path: str, base: Version, wanted: Mapping[str, int], operation: str
 ) -> Version:
-    """Same rows in other files."""
-    old = set(old)
-    files = {name: size for name, size in base.files.items() if name not in old}
-    files.update(write_files(df, path, base.version + 1))
+    """Same rows of some buckets in other files, about as many as wanted for each.
+
+    Rows stay in their bucket, in the order of their keys.
+    """
+    bucket = F.regexp_extract(F.col("_metadata.file_path"), rf"/{BUCKET}=(\d+)/", 1).cast("int")
+    counts = F.create_map(*(F.lit(x) for b, n in wanted.items() for x in (int(b), n)))
+    rows = read_buckets(spark, path, base, wanted).withColumn(BUCKET, bucket)
+    hashable = [f.name for f in base.struct_type if not isinstance(f.dataType, T.MapType)]
+    by = [f"`{c}`" for c in (base.keys or hashable)]
+    slot = F.pmod(F.xxhash64(*(F.col(c) for c in by)), F.element_at(counts, F.col(BUCKET)))
+    parts = sum(wanted.values())
+    dealt = rows.repartition(parts, F.col(BUCKET), slot) if parts > 1 else rows.coalesce(1)
+    sortable = [f"`{k}`" for k in base.keys]
+    dealt = dealt.sortWithinPartitions(BUCKET, *sortable)
+    written = _written(dealt, path, f"{base.version + 1:08d}-{uuid.uuid4().hex[:12]}")
+    folders = {b: some for b, some in base.folders.items() if b not in wanted} | written
     return publish(
-        spark, path, base.version + 1, operation, base.struct_type, files,
-        {"numFilesRewritten": len(old)}, base.applied,
+        spark, path, base.version + 1, operation, base.struct_type, folders,
+        {"numBucketsRewritten": len(wanted)}, base.applied, base.keys, base.buckets,
     )

@@ -91,6 +91,7 @@ t AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS weight, c_mktsegment
 SELECT {_pick("id", "name", "weight", "description")}, c.revision, c.op
 FROM t FULL OUTER JOIN latest c ON t.id = c.id
 WHERE c.op IS NULL OR c.op <> 'd'""",
+    "cdc_delete_without_image": _STATE,
     "cdc_merge_orders": _MERGED_ORDERS,
     "cdc_merge_composite": f"""
 WITH t AS (
@@ -156,10 +157,22 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, op FROM ol""",
     "table_time_travel": "SELECT * FROM orders",
+    "append_replay": "SELECT * FROM orders",
     "compact_rows": "SELECT * FROM part",
+    # Four appends to four buckets; each bucket ends as one file, and the four
+    # folders of each bucket that only old versions named are gone.
+    "compaction_report": """
+SELECT count(*) AS rows_before, count(*) AS rows_after, CAST(16 AS BIGINT) AS files_before,
+       CAST(4 AS BIGINT) AS files_after, CAST(16 AS BIGINT) AS folders_deleted,
+       CAST(1 AS BIGINT) AS versions_left
+FROM part""",
+    "table_detail_row": "SELECT count(*) AS rows, true AS same_files, true AS same_bytes FROM orders",
     "file_manifest": _MERGED_ORDERS,
     "stream_pipeline_avro": _STATE,
     "stream_pipeline_json": _STATE,
+    "stream_any_batches": _STATE,
+    "merge_any_order": _STATE,
+    "stream_bootstrap_replay": _STATE,
     "stream_replay_idempotent": _STATE,
     "stream_staged_rows": _FLAT,
     "raw_landing": f"""

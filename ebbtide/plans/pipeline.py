@@ -37,8 +37,9 @@ def run_table(
     ``messages`` gives the stream of a table; without it, Kafka is read.
     """
     if messages is None:
-        servers = settings.kafka[environment]["bootstrap_servers"]
-        stream = kafka_messages(spark, servers, ref.topic, settings)
+        options = dict(settings.kafka[environment])
+        servers = options.pop("bootstrap_servers")
+        stream = kafka_messages(spark, servers, ref.topic, settings, **options)
     else:
         stream = messages(ref)
     address = (ref.project_name, ref.database, ref.table_name)

@@ -19,7 +19,6 @@ from ebbtide.operators.changes import (
     latest_per_key,
     merge_changes,
     route_schema_pair,
-    schema_pair_columns,
     schema_pairs,
 )
 from ebbtide.operators.tables import (
@@ -59,7 +58,8 @@ from ebbtide.sources.layers import (
     write_layer,
 )
 from ebbtide.sources.records import generate_products, ingest_records
-from ebbtide.sources.storage import scratch_path, stored
+from ebbtide.sources.storage import delete_path, list_names, scratch_path, stored, table_detail
+from ebbtide.streaming.curate import apply_changes, read_curated, staged_to_curated
 from ebbtide.streaming.land import land_messages
 from ebbtide.streaming.stage import raw_to_staged, read_staged
 
@@ -118,10 +118,22 @@ def cdc_merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("weight"),
         F.col("c_mktsegment").alias("description"),
     )
-    changes = stored(change_rows(latest_per_key(_changes(spark, sf_dir))), "changes")
+    changes = change_rows(latest_per_key(_changes(spark, sf_dir)))
     return merge_changes(customers, changes, ["id"]).select(*IMAGE, "op")
 
 
+def cdc_delete_without_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes that log the key only, merged into the state before them."""
+    changes = _changes(spark, sf_dir)
+    half = changes.agg(F.expr("(min(offset) + max(offset)) div 2").alias("half"))
+    staged = changes.join(F.broadcast(half)).withColumn(  # one row
+        "value", F.col("value").withField("before", F.lit(None).cast(changes.schema["value"].dataType["before"].dataType))
+    )
+    first = current_state(staged.where("offset <= half"))
+    later = change_rows(latest_per_key(staged.where("offset > half")))
+    return merge_changes(first, later, ["id"]).select(*IMAGE, "op")
+
+
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"]
 
 
@@ -132,8 +144,7 @@ def _order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    changes = stored(_order_changes(spark, sf_dir), "changes")
-    return merge_changes(orders, changes, ["o_orderkey"]).select(
+    return merge_changes(orders, _order_changes(spark, sf_dir), ["o_orderkey"]).select(
         *ORDER_COLUMNS, "o_orderpriority", "op"
     )
 
@@ -149,8 +160,7 @@ def cdc_merge_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = latest_per_key(lines.filter("l_linestatus = 'F'"), LINE_KEY, oldest)
     op = F.when(F.col("l_returnflag") == "R", "d").otherwise("u").alias("op")
     changes = latest_per_key(lines, LINE_KEY, LINE_ORDER).select(*LINE_KEY, *LINE_COLUMNS, op)
-    target = stored(target.select(*LINE_KEY, *LINE_COLUMNS), "lines")
-    return merge_changes(target, stored(changes, "changes"), LINE_KEY)
+    return merge_changes(target.select(*LINE_KEY, *LINE_COLUMNS), changes, LINE_KEY)
 
 
 def cdc_schema_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,17 +168,11 @@ def cdc_schema_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_schema_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows routed by their schemas, then reconciled into one table."""
-    changes = _changes(spark, sf_dir)
-    routed = None
-    for pair in schema_pairs(changes).collect():
-        key_schema, value_schema = (pair[c] for c in schema_pair_columns(changes))
-        rows = route_schema_pair(changes, key_schema, value_schema)
-        fields = IMAGE if value_schema == 3 else IMAGE[:-1]
-        image = F.coalesce("value.after", "value.before")
-        rows = rows.select("offset", "valueSchemaId", *[image[f].alias(f) for f in fields])
-        routed = rows if routed is None else routed.unionByName(rows, allowMissingColumns=True)
-    return routed.select(F.col("offset").alias("offset_no"), "valueSchemaId", *IMAGE)
+    """Rows of all schema pairs as one table: the merged type holds every pair's fields."""
+    image = F.coalesce("value.after", "value.before")
+    return _changes(spark, sf_dir).select(
+        F.col("offset").alias("offset_no"), "valueSchemaId", *[image[f].alias(f) for f in IMAGE]
+    )
 
 
 # --- frames and envelopes ------------------------------------------------
@@ -262,7 +266,7 @@ def layer_roundtrip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.from_json("value", rows.schema).alias("row")).select("row.*")
 
 
-def layer_stream(name: str, fmt: str) -> Query:
+def layer_stream(name: str, fmt: str, **options: str) -> Query:
     """Write a table by address, stream it into another layer, read that."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,7 +276,7 @@ def layer_stream(name: str, fmt: str) -> Query:
         as_text = rows.select(F.to_json(F.struct("*")).alias("value"))
         write_layer(as_text if fmt == "text" else rows, "raw", ref, fmt, settings=settings)
         schema = None if fmt == "text" else rows.schema
-        stream = stream_layer(spark, "raw", ref, fmt, schema, settings)
+        stream = stream_layer(spark, "raw", ref, fmt, schema, settings, **options)
         writer = stream.writeStream.format("parquet").trigger(availableNow=True)
         start_stream(writer, "staged", ref, settings).awaitTermination()
         copied = read_layer(spark, "staged", ref, settings=settings)
@@ -288,7 +292,7 @@ def append_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = lake(spark, "evolution")
     changes = _changes(spark, sf_dir)
     for value_schema, fields in ((2, IMAGE[:-1]), (3, IMAGE)):
-        rows = change_rows(changes.filter(F.col("valueSchemaId") == value_schema))
+        rows = change_rows(route_schema_pair(changes, 1, value_schema))
         write_layer(rows.select(*fields, "op"), "staged", PRODUCTS, mode="append", settings=settings)
     return read_layer_evolving(spark, "staged", PRODUCTS, settings).select(*IMAGE, "op")
 
@@ -308,7 +312,8 @@ def record_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _orders_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     path = TableRef("shop", "public", "orders").path("curated", lake(spark, name))
-    overwrite_table(spark, path, table(spark, sf_dir, "orders"), "CREATE")
+    orders = table(spark, sf_dir, "orders")
+    overwrite_table(spark, path, orders, "CREATE", keys=["o_orderkey"], buckets=DEFAULT.buckets)
     return path
 
 
@@ -334,17 +339,70 @@ def table_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, version=0)
 
 
-def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many small files into few: the rows stay."""
-    settings = replace(lake(spark, "compact"), max_num_files_allowed=16)
+def append_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch appended twice, the second time in vain."""
+    path = TableRef("shop", "public", "orders").path("curated", lake(spark, "append-replay"))
+    orders = table(spark, sf_dir, "orders")
+    for batch in range(3):
+        for _ in range(2):
+            append_table(spark, path, orders.where(F.col("o_orderkey") % 3 == batch), "orders", batch)
+    return read_table(spark, path)
+
+
+def _scattered(spark: SparkSession, sf_dir: str, name: str) -> tuple[Settings, str]:
+    """A table of parts in more files than its limit of eight."""
+    settings = replace(lake(spark, name), max_num_files_allowed=8)
     path = TableRef("shop", "public", "part").path("curated", settings)
     part = table(spark, sf_dir, "part")
-    small_files = max(32, 4 * part.rdd.getNumPartitions())
-    overwrite_table(spark, path, part.repartition(small_files), "CREATE")
+    for batch in range(4):
+        rows = part.where(F.col("p_partkey") % 4 == batch)
+        if batch:
+            append_table(spark, path, rows)
+        else:
+            overwrite_table(spark, path, rows, "CREATE", keys=["p_partkey"], buckets=4)
+    return settings, path
+
+
+def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many small files into few: the rows stay."""
+    settings, path = _scattered(spark, sf_dir, "compact")
     compact_files(spark, path, settings)
     return read_table(spark, path)
 
 
+def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What compaction and clean-up did: files and rows of both versions, folders deleted."""
+    settings, path = _scattered(spark, sf_dir, "compaction-report")
+    before = read_table(spark, path).agg(F.count("*").alias("rows_before"))
+    counted = stored(before, "rows-before")
+    _, files_before, files_after = compact_files(spark, path, settings)
+    gone = vacuum(spark, path, retention_hours=0)
+    left = len(list_names(spark, f"{path}/_versions", r"\d{20}\.json"))
+    after = read_table(spark, path).agg(F.count("*").alias("rows_after"))
+    numbers = {
+        "files_before": files_before,
+        "files_after": files_after,
+        "folders_deleted": gone,
+        "versions_left": left,
+    }
+    return counted.join(after).select(
+        "*", *(F.lit(n).cast("bigint").alias(name) for name, n in numbers.items())
+    )
+
+
+def table_detail_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail of a table: the files listed are those that its newest version counts."""
+    path = _orders_table(spark, sf_dir, "detail")
+    version = newest_version(spark, path)
+    detail = table_detail(spark, path)
+    rows = read_table(spark, path).agg(F.count("*").alias("rows"))
+    return rows.join(detail).select(
+        "rows",
+        (F.col("numFiles") == version.numFiles).alias("same_files"),
+        (F.col("sizeInBytes") == version.sizeInBytes).alias("same_bytes"),
+    )
+
+
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the files the reader manifest names, after a merge."""
     path = _orders_table(spark, sf_dir, "manifest")
@@ -392,12 +450,12 @@ def run_products(
 
 def stream_pipeline_avro(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = run_products(spark, sf_dir, "avro", "avro", rounds=2)
-    return read_table(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+    return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
 def stream_pipeline_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     settings = run_products(spark, sf_dir, "json", "json", rounds=2)
-    return read_table(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+    return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
 def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,7 +466,37 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         messages.write.mode("append").parquet(folder)
         run_table(spark, PRODUCTS, "local", "json", stream, settings)
-    return read_table(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+    return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+
+
+def stream_any_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes captured in files without order, one file for each micro-batch."""
+    settings = replace(lake(spark, "any-batches"), max_files_per_trigger=1)
+    folder, stream = _capture(spark, settings)
+    changes = _changes(spark, sf_dir)
+    part = F.pmod(F.xxhash64("offset"), F.lit(CHANGE_BATCHES))
+    for batch in range(CHANGE_BATCHES):
+        json_messages(changes.where(part == batch)).coalesce(1).write.mode("append").parquet(folder)
+    run_table(spark, PRODUCTS, "local", "json", stream, settings)
+    return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+
+
+def merge_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of staged changes applied newest first."""
+    settings = lake(spark, "any-order")
+    path = PRODUCTS.path("curated", settings)
+    for number, part in enumerate(reversed(batches(_changes(spark, sf_dir)))):
+        apply_changes(part, path, "changes", number, settings)
+    return read_curated(spark, path).select(*IMAGE, "op")
+
+
+def stream_bootstrap_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table is dropped and made again from all of staged."""
+    settings = run_products(spark, sf_dir, "bootstrap", "json", rounds=2)
+    path = PRODUCTS.path("curated", settings)
+    delete_path(spark, path, within=settings.url(settings.curated))
+    staged_to_curated(spark, *TOPIC.split("."), settings=settings)
+    return read_curated(spark, path).select(*IMAGE, "op")
 
 
 def stream_staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,7 +554,7 @@ def multi_table_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = run_tables(spark, topics, "local", "json", stream, settings)
     result = None
     for ref in refs:
-        rows = read_table(spark, ref.path("curated", settings)).select(
+        rows = read_curated(spark, ref.path("curated", settings)).select(
             F.lit(ref.table_name).alias("table_name"), *IMAGE, "op"
         )
         result = rows if result is None else result.unionByName(rows)
@@ -478,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "cdc_current_state": cdc_current_state,
     "cdc_change_rows": cdc_change_rows,
     "cdc_merge_customers": cdc_merge_customers,
+    "cdc_delete_without_image": cdc_delete_without_image,
     "cdc_merge_orders": cdc_merge_orders,
     "cdc_merge_composite": cdc_merge_composite,
     "cdc_schema_pairs": cdc_schema_pairs,
@@ -496,18 +585,24 @@ QUERIES: dict[str, Query] = {
     "layer_stream_parquet": layer_stream("orders", "parquet"),
     "layer_stream_orc": layer_stream("customer", "orc"),
     "layer_stream_json": layer_stream("events", "json"),
-    "layer_stream_csv": layer_stream("documents", "csv"),
+    "layer_stream_csv": layer_stream("documents", "csv", multiLine="true"),
     "layer_stream_text": layer_stream("conversations", "text"),
     "append_evolution": append_evolution,
     "record_ingest": record_ingest,
     "table_merge_orders": table_merge_orders,
     "table_append_orders": table_append_orders,
     "table_time_travel": table_time_travel,
+    "append_replay": append_replay,
     "compact_rows": compact_rows,
+    "compaction_report": compaction_report,
+    "table_detail_row": table_detail_row,
     "file_manifest": file_manifest,
     "stream_pipeline_avro": stream_pipeline_avro,
     "stream_pipeline_json": stream_pipeline_json,
     "stream_replay_idempotent": stream_replay_idempotent,
+    "stream_any_batches": stream_any_batches,
+    "merge_any_order": merge_any_order,
+    "stream_bootstrap_replay": stream_bootstrap_replay,
     "stream_staged_rows": stream_staged_rows,
     "raw_landing": raw_landing,
     "pipeline_history": pipeline_history,

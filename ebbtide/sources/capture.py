@@ -32,9 +32,16 @@ def file_limits(settings: Settings) -> dict[str, int]:
 
 
 def kafka_messages(
-    spark: SparkSession, bootstrap_servers: str, topic: str, settings: Settings = DEFAULT
+    spark: SparkSession,
+    bootstrap_servers: str,
+    topic: str,
+    settings: Settings = DEFAULT,
+    **options,
 ) -> DataFrame:
-    """Stream of one topic from its beginning; needs the Kafka connector."""
+    """Stream of one topic from its beginning; needs the Kafka connector.
+
+    ``options`` are the connector's, such as ``kafka.security.protocol``.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -43,7 +50,7 @@ def kafka_messages(
     )
     if settings.max_offsets_per_trigger is not None:
         reader = reader.option("maxOffsetsPerTrigger", settings.max_offsets_per_trigger)
-    return reader.load()
+    return reader.options(**options).load()
 
 
 def captured_messages(
@@ -57,7 +64,7 @@ def captured_messages(
 
 
 def tail(messages: DataFrame, rows: int = 20):
-    """Print what is available of a stream to the console and stop."""
+    """Print the first rows of each available micro-batch of a stream to the console and stop."""
     query = (
         messages.writeStream.format("console")
         .option("numRows", rows)

@@ -8,14 +8,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ebbtide.address import TableRef, mount_checkpoint_path, mount_path
 from ebbtide.config import DEFAULT, Settings
 
-# JSON and CSV drop microseconds by default, and CSV breaks on line breaks and
-# quotes inside text. With these options a table comes back as it was written.
+# JSON and CSV drop microseconds by default, and CSV breaks on quotes inside text.
+# With these options a table comes back as it was written; text with line breaks
+# needs multiLine="true" as well, which keeps a CSV file from being split.
 LOSSLESS = {
     "json": {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
     "csv": {
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
         "header": "true",
-        "multiLine": "true",
         "escape": '"',
     },
 }

@@ -50,17 +50,38 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a new file; fails if it is already there."""
-    fs, hadoop_path = _open_fs(spark, path)
-    stream = fs.create(hadoop_path, False)
+    """Write a new file; fails if it is already there.
+
+    The text is written under another name and renamed, so a reader sees the
+    whole file or none, and a lost writer leaves nothing under the real name.
+    """
+    folder, _, name = path.rpartition("/")
+    fs, draft = _open_fs(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(draft).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(target), no_options)
+    finally:
+        fs.delete(draft, False)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a path was last modified, in seconds since 1970."""
+    fs, hadoop_path = _open_fs(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime() / 1000
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, modificationTime) of the Parquet files below a path.
+def list_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """(path, length, modificationTime) of the Parquet files below some paths.
 
     Only the listing is used: file contents are pruned away.
     """
@@ -68,7 +89,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
+        .load(list(paths))
         .select("path", "length", "modificationTime")
     )
 

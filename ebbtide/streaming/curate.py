@@ -1,25 +1,46 @@
-"""Staged changes to a mirror of the source table in the curated layer."""
+"""Staged changes to a mirror of the source table in the curated layer.
+
+A curated table holds two columns more than its readers see: ``_order`` tells
+when a row's change was captured, so that an older change that comes later is
+not applied, and ``_deleted_at`` marks the rows of deleted keys, which stay
+until the retention ends for the same reason.
+"""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.address import TableRef
 from ebbtide.config import DEFAULT, Settings
-from ebbtide.operators.changes import change_rows, key_fields, latest_per_key, live_rows
-from ebbtide.operators.tables import merge_table, newest_version, overwrite_table
+from ebbtide.operators.changes import (
+    ARRIVAL_ORDER,
+    DELETE,
+    change_rows,
+    key_fields,
+    latest_per_key,
+)
+from ebbtide.operators.tables import merge_table, newest_version, overwrite_table, read_table
 from ebbtide.operators.upkeep import compact_files, record_history, vacuum, write_manifest
 from ebbtide.sources.storage import delete_path, stored
 from ebbtide.streaming.stage import running_stream_id, staged_schema, stream_staged
 
+ORDER, DELETED = "_order", "_deleted_at"
+
+
+def read_curated(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The mirrored rows, without the marks of deleted ones."""
+    return read_table(spark, path, version).where(F.col(DELETED).isNull()).drop(ORDER, DELETED)
+
 
 def apply_changes(
     batch: DataFrame, path: str, source: str, batch_id: int, settings: Settings = DEFAULT
 ) -> bool:
     """First load of a table or merge into it; False if the batch was applied before.
 
-    Within the batch the newest change of a key wins. Across batches the later
-    batch wins.
+    The newest change of a key wins, whichever batch it comes in.
     """
     spark = batch.sparkSession
     base = newest_version(spark, path)
@@ -28,16 +49,25 @@ def apply_changes(
     keys = key_fields(batch)
     control = settings.url(settings.spark_control)
     work = f"{control}/_work/{source}-{batch_id}"
-    changes = stored(change_rows(latest_per_key(batch)), "changes", work)
+    now = datetime.now(timezone.utc)
+    rows = change_rows(latest_per_key(batch), keep=[F.struct(*ARRIVAL_ORDER).alias(ORDER)])
+    mark = F.when(F.col("op") == DELETE, F.lit(now).cast("timestamp"))
+    changes = stored(rows.withColumn(DELETED, mark), "changes", work)
+    expired = now - timedelta(hours=settings.vacuum_retention_hours)
+    keep = F.col(DELETED).isNull() | (F.col(DELETED) > F.lit(expired))
     try:
         if base is None:
-            rows = live_rows(changes)
             counts = changes.groupBy("op").count().collect()
-            upserts = sum(r["count"] for r in counts if r["op"] != "d")
+            upserts = sum(r["count"] for r in counts if r["op"] != DELETE)
             metrics = {"numUpserts": upserts, "numDeletes": 0}
-            overwrite_table(spark, path, rows, "CREATE", metrics, source, batch_id)
+            overwrite_table(
+                spark, path, changes, "CREATE", metrics, source, batch_id, keys, settings.buckets
+            )
         else:
-            merge_table(spark, path, changes, keys, source, batch_id)
+            merge_table(
+                spark, path, changes, keys, source, batch_id, ORDER,
+                unique=True, tidy=lambda merged: merged.where(keep),
+            )
     finally:
         delete_path(spark, work, within=control)
     compact_files(spark, path, settings)

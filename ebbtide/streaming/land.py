@@ -28,7 +28,8 @@ def kafka_to_raw(
     bootstrap_servers: str,
     topic: str,
     settings: Settings = DEFAULT,
+    **options,
 ) -> None:
     ref = TableRef.from_topic(topic)
-    messages = kafka_messages(spark, bootstrap_servers, topic, settings)
+    messages = kafka_messages(spark, bootstrap_servers, topic, settings, **options)
     land_messages(messages, output_layer, ref, settings)

@@ -27,10 +27,12 @@ from ebbtide.functions.frames import split_frames
 from ebbtide.functions.schemas import merge_types
 from ebbtide.sources.capture import KAFKA_SCHEMA, file_limits
 from ebbtide.sources.layers import stream_layer
-from ebbtide.sources.storage import create_text, list_names, read_text
+from ebbtide.sources.storage import create_text, delete_path, list_names, read_text
 
 CONTENT_TYPES = ("avro", "json", "protobuf")
 _COMMITS = "_commits"
+#: Commits kept; only the newest one is read.
+_KEPT_COMMITS = 10
 
 
 @dataclass(frozen=True)
@@ -173,6 +175,8 @@ def raw_to_staged(
             f"{path}/{_COMMITS}/{commit.number:020d}.json",
             json.dumps({**commit.__dict__, "schema": schema.jsonValue()}),
         )
+        for name in staged_commits(session, path)[:-_KEPT_COMMITS]:
+            delete_path(session, f"{path}/{_COMMITS}/{name}", within=path)
 
     raw = stream_layer(
         spark, "raw", ref, schema=KAFKA_SCHEMA, settings=settings, **file_limits(settings)

@@ -44,6 +44,27 @@ def test_images_match_by_name(spark):
         change_rows(bad)
 
 
+IMAGES = "struct<id:int,name:string>"
+
+
+def test_delete_without_image_has_its_key(spark):
+    df = spark.createDataFrame(
+        [((7,), (None, None, "d"), 3), ((8,), (None, (8, "b"), "c"), 4)],
+        f"key struct<id:int>, value struct<before:{IMAGES},after:{IMAGES},op:string>, offset int",
+    )
+    got = change_rows(df, keep=[F.col("offset")])
+    assert rows(got) == [(7, None, "d", 3), (8, "b", "c", 4)]
+
+
+def test_other_ops_need_an_image(spark):
+    df = spark.createDataFrame(
+        [((7,), (None, None, "t"))],
+        f"key struct<id:int>, value struct<before:{IMAGES},after:{IMAGES},op:string>",
+    )
+    with pytest.raises(Exception, match="no delete: op t"):
+        change_rows(df).collect()
+
+
 def test_schema_pairs_and_routes(spark):
     df = staged(spark, [(1, "c", "a", 1, 1), (2, "c", "b", 1, 2)])
     df = df.withColumn("valueSchemaId", F.when(F.col("offset") == 1, 3).otherwise(None))
@@ -125,6 +146,33 @@ def test_merge_keeps_the_type_of_the_target(spark):
     assert rows(got) == [(1, 3.0, "u")]
 
 
+@pytest.mark.parametrize("have, come", [("bigint", "double"), ("int", "bigint"), ("string", "int")])
+def test_merge_refuses_lossy_types(spark, have, come):
+    target = spark.createDataFrame([], f"id int, v {have}")
+    with pytest.raises(ValueError, match="cannot hold"):
+        merge_changes(target, spark.createDataFrame([], f"id int, v {come}, op string"), ["id"])
+
+
+def test_merge_by_order(spark):
+    """Older changes do nothing; a delete leaves its mark, which meets later changes."""
+    target = spark.createDataFrame([(1, "a", "c", 5), (2, "b", "d", 5)], "id int, v string, op string, o int")
+    changes = spark.createDataFrame(
+        [(1, "old", "u", 4), (2, "back", "u", 6), (3, None, "d", 1)], "id int, v string, op string, o int"
+    )
+    assert rows(merge_changes(target, changes, ["id"], order="o")) == [
+        (1, "a", "c", 5), (2, "back", "u", 6), (3, None, "d", 1),
+    ]
+
+
+def test_merge_is_one_join(spark, tmp_path):
+    for name in ("t", "c"):
+        spark.range(100).select("id", F.lit("u").alias("op")).write.parquet(str(tmp_path / name))
+    target, changes = (spark.read.parquet(str(tmp_path / name)) for name in ("t", "c"))
+    plan = merge_changes(target, changes, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") >= 1 and "LeftAnti" not in plan and "LeftSemi" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_merge_adds_nested_fields(spark):
     target = spark.createDataFrame([(1, (1,)), (2, (2,))], "id int, s struct<a:int>")
     changes = spark.createDataFrame(

@@ -11,7 +11,7 @@ from ebbtide.functions.envelopes import decode_avro, decode_frames, decode_json_
 from ebbtide.functions.frames import frame, split_frames
 from ebbtide.functions.protobuf_columns import first_message
 from ebbtide.functions.schemas import align, avro_type, connect_type, merge_types
-from ebbtide.operators.tables import read_table
+from ebbtide.streaming.curate import read_curated
 from ebbtide.plans.pipeline import run_table
 from ebbtide.sources.capture import captured_messages
 from tests.helpers import (
@@ -297,7 +297,7 @@ def test_protobuf_run(spark):
     messages(spark, sent).write.parquet(settings.url("capture"))
     stream = captured_messages(spark, settings.url("capture"))
     run_table(spark, REF, "local", "protobuf", lambda ref: stream, settings)
-    table = read_table(spark, REF.path("curated", settings))
+    table = read_curated(spark, REF.path("curated", settings))
     assert rows(table, "id", "name", "op") == [(7, "é", "c")]
 
     other = messages(spark, [(sent[0][0], framed(2, created, b"\x02\x01"), 1)])

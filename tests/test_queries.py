@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from ebbtide.plans.oracles import ORACLES
+from ebbtide.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("EBBTIDE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -23,6 +25,7 @@ SAME_TYPE = {
     "double": {"DOUBLE"},
     "string": {"VARCHAR"},
     "timestamp_ntz": {"TIMESTAMP"},
+    "boolean": {"BOOLEAN"},
 }
 
 
@@ -46,11 +49,16 @@ def test_names_agree():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def test_every_query_has_its_sql():
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sql, name):
     start = time.time()
     got = contract.queries()[name](spark, SF_DIR)

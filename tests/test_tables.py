@@ -8,19 +8,19 @@ from ebbtide.config import DEFAULT
 from ebbtide.operators import upkeep
 from ebbtide.operators.tables import (
     append_table,
-    change_stats,
-    hit_files,
+    bucket_of,
     is_versioned,
-    key_hits,
     list_versions,
     merge_table,
     newest_version,
     overwrite_table,
     publish,
+    read_buckets,
     read_table,
     require_version,
 )
 from ebbtide.sources.storage import (
+    create_text,
     delete_path,
     list_files,
     list_names,
@@ -36,50 +36,51 @@ def numbers(spark, start, end, parts=4):
     return spark.range(start, end, 1, parts).select("id", F.concat(F.lit("n"), "id").alias("name"))
 
 
+def keyed(spark, path, df, buckets=4, **more):
+    return overwrite_table(spark, path, df, keys=["id"], buckets=buckets, **more)
+
+
 def changes(spark, data):
     return stored(spark.createDataFrame(data, "id bigint, name string, op string"), "changes")
 
 
-def test_merge_rewrites_only_touched_files(spark):
+def files_read(df):
+    return {f.rsplit("/", 2)[1] for f in df.inputFiles()}
+
+
+def test_merge_reads_and_rewrites_only_touched_buckets(spark):
     path = new_path(spark)
-    first = overwrite_table(spark, path, numbers(spark, 0, 100))
-    second = merge_table(spark, path, changes(spark, [(5, "five", "u"), (7, "", "d")]), ["id"])
-    kept = set(first.files) & set(second.files)
-    assert first.numFiles == 4 and len(kept) == 3
+    first = keyed(spark, path, numbers(spark, 0, 100))
+    ids = spark.range(100).select("id", bucket_of(["id"], ["id"], 4).alias("b")).collect()
+    bucket = next(r.b for r in ids if r.id == 5)
+    other = next(r.id for r in ids if r.b == bucket and r.id != 5)
+    assert files_read(read_buckets(spark, path, first, [str(bucket)])) == {f"_b={bucket}"}
+    second = merge_table(spark, path, changes(spark, [(5, "five", "u"), (other, "", "d")]), ["id"])
+    assert len(first.folders) == 4
+    changed = {b for b in first.folders if first.folders[b] != second.folders[b]}
+    assert changed == {str(bucket)}
     assert second.operationMetrics == {
-        "numUpserts": "1", "numDeletes": "1", "numFilesRewritten": "1",
+        "numUpserts": "1", "numDeletes": "1", "numBucketsRewritten": "1",
     }
     got = {r.id: r.name for r in read_table(spark, path).collect()}
-    assert len(got) == 99 and got[5] == "five" and 7 not in got
+    assert len(got) == 99 and got[5] == "five" and other not in got
     assert read_table(spark, path, version=0).count() == 100
-    assert not list_names(spark, f"{path}/data", r"work-[^,}]*")
 
 
-def test_merge_that_touches_nothing_keeps_all_files(spark):
+def test_merge_without_changes_keeps_all_folders(spark):
     path = new_path(spark)
-    first = overwrite_table(spark, path, numbers(spark, 0, 10))
-    second = merge_table(spark, path, changes(spark, [(99, "", "d"), (3, "", None)]), ["id"])
-    assert second.files == first.files and second.version == 1
-    third = merge_table(spark, path, changes(spark, [(50, "new", "c")]), ["id"])
-    assert set(first.files) < set(third.files)
+    first = keyed(spark, path, numbers(spark, 0, 10))
+    second = merge_table(spark, path, changes(spark, [(3, "", None)]), ["id"])
+    assert second.folders == first.folders and second.version == 1
+    merge_table(spark, path, changes(spark, [(50, "new", "c"), (99, "", "d")]), ["id"])
     assert read_table(spark, path).count() == 11
-
-
-def test_search_for_files_reads_keys_only(spark):
-    path = new_path(spark)
-    base = overwrite_table(spark, path, numbers(spark, 0, 100))
-    update = changes(spark, [(5, "five", "u"), (40, "", "d")])
-    hits = key_hits(spark, path, base, update, ["id"], change_stats(update, ["id"]))
-    assert len(hit_files(spark, path, base, hits)) == 2
-    plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(id,5), LessThanOrEqual(id,40)" in plan
-    assert "ReadSchema: struct<id:bigint>" in plan and "name:string" not in plan
-    assert {r.id for r in hits.collect()} == {5, 40}
+    with pytest.raises(ValueError, match="dealt by"):
+        merge_table(spark, path, changes(spark, [(1, "", "d")]), ["name"])
 
 
 def test_merge_of_null_keys(spark):
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 10))
+    keyed(spark, path, numbers(spark, 0, 10))
     for _ in range(2):
         merge_table(spark, path, changes(spark, [(None, "x", "c")]), ["id"])
     assert read_table(spark, path).filter("id is null").count() == 2
@@ -87,7 +88,7 @@ def test_merge_of_null_keys(spark):
 
 def test_two_changes_of_a_key_are_refused(spark):
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 10))
+    keyed(spark, path, numbers(spark, 0, 10))
     with pytest.raises(ValueError, match="several changes"):
         merge_table(spark, path, changes(spark, [(1, "a", "u"), (1, "b", "u")]), ["id"])
     assert list_versions(spark, path) == [0]
@@ -95,7 +96,9 @@ def test_two_changes_of_a_key_are_refused(spark):
 
 def test_replayed_batch_is_skipped(spark):
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 10), source="s", batch_id=0)
+    keyed(spark, path, numbers(spark, 0, 10), source="s", batch_id=0)
+    assert keyed(spark, path, numbers(spark, 0, 3), source="s", batch_id=0).version == 0
+    assert append_table(spark, path, numbers(spark, 0, 3), "s", 0).version == 0
     for batch_id, expected in ((1, 1), (1, 1), (0, 1), (2, 2)):
         update = changes(spark, [(1, f"b{batch_id}", "u")])
         assert merge_table(spark, path, update, ["id"], "s", batch_id).version == expected
@@ -144,43 +147,54 @@ def test_append_adds_columns(spark):
         append_table(spark, path, spark.createDataFrame([("a",)], "flag string"))
 
 
+def test_torn_version_file_is_not_seen(spark, monkeypatch):
+    """A writer lost while it writes leaves nothing under the version's name."""
+    path = new_path(spark)
+    keyed(spark, path, numbers(spark, 0, 10))
+    draft = f"{path}/_versions/.{1:020d}.json.lost"
+    create_text(spark, draft, '{"version": 1, "time')
+    assert list_versions(spark, path) == [0]
+    assert read_table(spark, path).count() == 10
+    append_table(spark, path, numbers(spark, 10, 12))
+    assert read_table(spark, path).count() == 12
+
+
 def test_compaction_keeps_rows(spark):
-    settings = replace(DEFAULT, max_num_files_allowed=3)
+    settings = replace(DEFAULT, max_num_files_allowed=7)
     path = new_path(spark)
-    before = overwrite_table(spark, path, numbers(spark, 0, 100, 8), source="s", batch_id=4)
+    keyed(spark, path, numbers(spark, 0, 50), buckets=2, source="s", batch_id=4)
+    for i in range(3):
+        before = append_table(spark, path, numbers(spark, 50 + 10 * i, 60 + 10 * i))
     expected = rows(read_table(spark, path))
-    assert upkeep.compact_files(spark, path, settings) == (True, 8, 1)
+    assert upkeep.compact_files(spark, path, settings) == (True, 8, 2)
     after = newest_version(spark, path)
-    assert (after.version, after.operation, after.numFiles) == (1, "COMPACT", 1)
+    assert (after.version, after.operation, after.numFiles) == (4, "COMPACT", 2)
     assert after.applied == before.applied
     assert rows(read_table(spark, path)) == expected
-    assert upkeep.compact_files(spark, path, settings) == (False, 1, None)
+    for bucket in after.folders:
+        held = read_buckets(spark, path, after, [bucket]).select(bucket_of(["id"], ["id"], 2).alias("b"))
+        assert {str(r.b) for r in held.collect()} == {bucket}
+    assert upkeep.compact_files(spark, path, settings) == (False, 2, None)
 
 
-def test_compaction_carries_full_files_over(spark):
+def test_compaction_leaves_full_buckets(spark):
+    """A bucket with no more files than its bytes need is carried over."""
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 20000, 1))
-    for i in range(5):
-        append_table(spark, path, numbers(spark, i, i + 1, 1))
-    base = newest_version(spark, path)
-    large = max(base.files, key=base.files.get)
-    settings = replace(DEFAULT, max_num_files_allowed=3, target_file_bytes=base.files[large])
+    keyed(spark, path, numbers(spark, 0, 20000), buckets=2)
+    ids = spark.range(20000, 20100).select("id", bucket_of(["id"], ["id"], 2).alias("b")).collect()
+    one = [r.id for r in ids if r.b == 0][:4]
+    for i in one:
+        base = append_table(spark, path, numbers(spark, i, i + 1, 1))
+    settings = replace(DEFAULT, max_num_files_allowed=3)
     assert upkeep.compact_files(spark, path, settings) == (True, 6, 2)
-    assert large in newest_version(spark, path).files
-    assert read_table(spark, path).count() == 20005
-
-
-@pytest.mark.parametrize(
-    "size, target",
-    [(1, 2**20), (10_000 * 2**20, 2**20), (10**12, 10**8), (10**14, 256 * 2**20)],
-)
-def test_compaction_target_grows_with_the_table(size, target):
-    assert upkeep.compaction_target(size, DEFAULT) == target
+    after = newest_version(spark, path)
+    assert after.folders["1"] == base.folders["1"] and after.folders["0"] != base.folders["0"]
+    assert read_table(spark, path).count() == 20004
 
 
 def test_history(spark):
     path, history = new_path(spark), new_path(spark)
-    settings = replace(DEFAULT, max_num_files_allowed=3)
+    settings = replace(DEFAULT, max_num_files_allowed=1)
     overwrite_table(spark, path, numbers(spark, 0, 100, 8), "CREATE", {"numUpserts": 100})
     upkeep.compact_files(spark, path, settings)
     assert upkeep.record_history(spark, path, history) == 2
@@ -193,16 +207,18 @@ def test_history(spark):
     ]
     assert got.filter("version = 0").first().operationMetrics == {"numUpserts": "100"}
     assert [r.version for r in upkeep.table_history(spark, path, 2).collect()] == [2, 1]
+    assert upkeep.table_history(spark, path, 0).count() == 0
     assert upkeep.table_history(spark, path).count() == 3
     assert got.filter("timestamp is null").count() == 0
 
 
 def test_manifest(spark):
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 10, 2))
+    keyed(spark, path, numbers(spark, 0, 10, 2))
+    upkeep.write_manifest(spark, path)
     merge_table(spark, path, changes(spark, [(1, "one", "u")]), ["id"])
     names = [r.value for r in spark.read.text(upkeep.write_manifest(spark, path)).collect()]
-    assert sorted(names) == sorted(f"{path}/{f}" for f in newest_version(spark, path).files)
+    assert len(names) == newest_version(spark, path).numFiles == len(set(names))
     assert rows(spark.read.parquet(*names), "id", "name") == rows(
         read_table(spark, path), "id", "name"
     )
@@ -210,12 +226,13 @@ def test_manifest(spark):
 
 def test_vacuum_respects_retention(spark):
     path = new_path(spark)
-    overwrite_table(spark, path, numbers(spark, 0, 100))
-    overwrite_table(spark, path, numbers(spark, 0, 50))
+    keyed(spark, path, numbers(spark, 0, 100))
+    keyed(spark, path, numbers(spark, 0, 50))
     assert upkeep.vacuum(spark, path) == 0
     assert read_table(spark, path, version=0).count() == 100
     assert upkeep.retained_versions(spark, path, datetime.now(timezone.utc)) == [1]
     assert upkeep.vacuum(spark, path, retention_hours=0) == 4
+    assert list_versions(spark, path) == [1]
     assert read_table(spark, path).count() == 50
     assert upkeep.vacuum(spark, path, retention_hours=0) == 0
 
