@@ -11,7 +11,7 @@ from ebbtide.address import TableRef
 from ebbtide.config import DEFAULT, Settings
 from ebbtide.sources.capture import kafka_messages
 from ebbtide.streaming.curate import staged_to_curated
-from ebbtide.streaming.land import land_messages
+from ebbtide.streaming.land import land_messages, land_topics
 from ebbtide.streaming.stage import raw_to_staged
 
 
@@ -42,8 +42,19 @@ def run_table(
         stream = kafka_messages(spark, servers, ref.topic, settings, **options)
     else:
         stream = messages(ref)
-    address = (ref.project_name, ref.database, ref.table_name)
     land_messages(stream, "raw", ref, settings)
+    update_table(spark, ref, environment, content_type, settings)
+
+
+def update_table(
+    spark: SparkSession,
+    ref: TableRef,
+    environment: str,
+    content_type: str = "avro",
+    settings: Settings = DEFAULT,
+) -> None:
+    """Decode and apply what has landed of a table."""
+    address = (ref.project_name, ref.database, ref.table_name)
     raw_to_staged(spark, *address, environment, content_type, settings)
     staged_to_curated(spark, *address, environment, settings)
 
@@ -56,15 +67,22 @@ def run_tables(
     messages: Callable[[TableRef], DataFrame] | None = None,
     settings: Settings = DEFAULT,
     at_once: int = 4,
+    shared: DataFrame | None = None,
 ) -> list[TableRef]:
     """Run the chain for each table (or topic), some tables at once.
 
-    Tables are independent: one that fails does not stop the others.
+    Tables are independent: one that fails does not stop the others. ``shared``
+    is one stream with the messages of all of them, which is read once; without
+    it each table has its own stream.
     """
     refs = [TableRef.from_topic(t) if isinstance(t, str) else t for t in tables]
+    if shared is not None:
+        land_topics(shared, "raw", environment, settings)
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
         runs = {
-            ref: pool.submit(run_table, spark, ref, environment, content_type, messages, settings)
+            ref: pool.submit(update_table, spark, ref, environment, content_type, settings)
+            if shared is not None
+            else pool.submit(run_table, spark, ref, environment, content_type, messages, settings)
             for ref in refs
         }
     errors = {ref: run.exception() for ref, run in runs.items() if run.exception()}

@@ -544,14 +544,15 @@ def pipeline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multi_table_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One capture folder with a topic per event type, run as many tables."""
     settings = lake(spark, "tables")
-    folder, stream = _capture(spark, settings)
+    folder, _ = _capture(spark, settings)
     kind = F.coalesce("value.after.name", "value.before.name")
     changes = _changes(spark, sf_dir).withColumn(
         "topic", F.concat(F.lit("dbserver1.inventory."), kind)
     )
-    json_messages(changes).write.partitionBy("topic").parquet(folder)
+    json_messages(changes).write.parquet(folder)
     topics = [r.topic for r in changes.select("topic").distinct().collect()]
-    refs = run_tables(spark, topics, "local", "json", stream, settings)
+    messages = captured_messages(spark, folder, settings=settings)
+    refs = run_tables(spark, topics, "local", "json", settings=settings, shared=messages)
     result = None
     for ref in refs:
         rows = read_curated(spark, ref.path("curated", settings)).select(

@@ -74,6 +74,15 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(draft, False)
 
 
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to a path that is free; its parents are made."""
+    fs, source = _open_fs(spark, path)
+    destination = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(destination.getParent())
+    if fs.exists(destination) or not fs.rename(source, destination):
+        raise ValueError(f"cannot move {path!r} to {target!r}")
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """When a path was last modified, in seconds since 1970."""
     fs, hadoop_path = _open_fs(spark, path)

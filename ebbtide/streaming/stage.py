@@ -179,7 +179,13 @@ def raw_to_staged(
             delete_path(session, f"{path}/{_COMMITS}/{name}", within=path)
 
     raw = stream_layer(
-        spark, "raw", ref, schema=KAFKA_SCHEMA, settings=settings, **file_limits(settings)
+        spark,
+        "raw",
+        ref,
+        schema=KAFKA_SCHEMA,
+        settings=settings,
+        recursiveFileLookup="true",
+        **file_limits(settings),
     )
     (
         raw.writeStream.trigger(availableNow=True)

@@ -237,6 +237,24 @@ def test_tables_are_independent(spark):
         run_tables(spark, ["a.b"], "sample", "avro", source, settings)
 
 
+def test_one_stream_lands_many_topics(spark):
+    settings = new_lake(spark, max_files_per_trigger=1)
+    other = TableRef("a", "b", "second")
+    for start in (0, 10):
+        sent = messages(spark, [(SAMPLE_KEY, SAMPLE_VALUE, start + i) for i in range(3)])
+        capture(spark, settings, sent.withColumn("topic", F.when(F.col("offset") % 2 == 1, other.topic).otherwise(REF.topic)))
+    shared = captured_messages(spark, settings.url("capture"), settings=settings)
+    for _ in range(2):
+        run_tables(spark, [REF, other], "sample", "avro", settings=settings, shared=shared)
+    landed = {
+        ref: spark.read.option("recursiveFileLookup", "true").parquet(ref.path("raw", settings)).count()
+        for ref in (REF, other)
+    }
+    assert landed == {REF: 4, other: 2}
+    assert read_staged(spark, other, settings).count() == 2
+    assert rows(curated(spark, settings)) == [(1001, "ab", 2.5, "c")]
+
+
 def test_kafka_needs_its_connector(spark):
     for start in (
         lambda: kafka_messages(spark, "localhost:1", REF.topic),
