@@ -13,7 +13,9 @@ candidate pairs are verified on the whole sets.
 As ``K`` is half as large again as it must be, linked sets agree in a third of
 their blocks. So a set that has fewer blocks in common with any others has no
 link, and of the others each leaves out as many of its most frequent blocks as
-it could miss: a passage that very many documents share makes no candidates.
+it could miss: a passage that very many documents share makes few candidates.
+Pairs are then held against whole parity sketches of two to four bits an element,
+whose Hamming distance is at most the number of differing elements.
 
 An empty block says nothing and is not joined; ``K`` is large enough that common
 elements all fall into differing blocks with a chance below 1e-12, like that of
@@ -38,7 +40,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.graph import components
@@ -116,7 +118,6 @@ def signatures(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
     neighbouring bands. The second result is by that bit; 1 where all must be kept.
     """
     n, out, least = len(hashes), [], [1, 1]
-    differ = (n + 5 * n // 4) // 9
     band = int(np.searchsorted(_LOWS, n, side="right")) - 1
     bands = [band] + [band + 1] * (5 * n >= 4 * _LOWS[band + 1])
     for b in bands:
@@ -130,26 +131,54 @@ def signatures(hashes: np.ndarray) -> tuple[np.ndarray, list[int]]:
             found = mix(np.array(left, dtype=np.uint64))
         else:
             found = _blocks(hashes, b)
-            least[b % 2] = max(1, len(found) - differ)
+            largest = min(5 * n // 4, _LOWS[b + 1] - 1)
+            least[b % 2] = max(1, len(found) - (n + largest) // 9)
         out.append((found & ~np.uint64(1)) | np.uint64(b % 2))
     return np.concatenate(out), least
 
 
+def parity_sketch(hashes: np.ndarray) -> np.ndarray:
+    """Bits, as 64-bit words, each the parity of the elements that hash to it."""
+    bits = 64 << max(0, (2 * len(hashes) - 1).bit_length() - 6)
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def hamming(a: Column, b: Column) -> Column:
+    """Distance of two sketches; a longer one is folded, which keeps parities."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = (F.size(x) / 2).cast("int")
+        halves = F.slice(x, F.lit(1), half), F.slice(x, half + 1, half)
+        once = F.zip_with(*halves, lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > F.size(other), once).otherwise(x)
+
+    counts = F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.aggregate(counts, F.lit(0), lambda total, x: total + x)
+
+
+def _near(n: Column, n2: Column, sketch: Column, sketch2: Column) -> Column:
+    """Whether sizes and sketches allow a link; no link fails this."""
+    sizes = 100 * F.least(n, n2) >= PERCENT * F.greatest(n, n2)
+    return sizes & (9 * hamming(sketch, sketch2) <= n + n2)
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, k, least0, least1): each document's set size, key, and signatures to share."""
+    """(doc_id, n_shingles, k, least0, least1, sketch): each document's set in short."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [
-                (len(s), set_key(s), *(signatures(s)[1] if len(s) else (1, 1)))
+                (len(s), set_key(s), *(signatures(s)[1] if len(s) else (1, 1)), parity_sketch(s))
                 for s in shingle_sets(batch["text"].tolist())
             ]
-            rows = pd.DataFrame(sets, columns=names[1:], dtype="int64")
+            rows = pd.DataFrame(sets, columns=names[1:])
             yield rows.assign(doc_id=batch["doc_id"].to_numpy())[names]
 
-    names = ["doc_id", "n_shingles", "k", "least0", "least1"]
-    return docs.mapInPandas(found, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in names[1:]))
+    names = ["doc_id", "n_shingles", "k", "least0", "least1", "sketch"]
+    numbers = ", ".join(f"{c} long" for c in names[1:5])
+    return docs.mapInPandas(found, f"doc_id {kind}, {numbers}, sketch array<bigint>")
 
 
 def _shared(docs: DataFrame, parts: int) -> DataFrame:
@@ -270,7 +299,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         .agg(
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n"),
-            *(F.first(c).alias(c) for c in ("least0", "least1")),
+            *(F.first(c).alias(c) for c in ("least0", "least1", "sketch")),
         ),
         "set-join-classes",
     )
@@ -279,10 +308,17 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     shared = stored(_shared(docs, max(deals, total * 11 // _PART_BYTES)), "set-join-shared")
     shared = stored(_candidates(shared, classes), "set-join-candidates")
 
+    marks = classes.select("k", "n", "sketch")
+    other = marks.select(*(F.col(c).alias(f"{c}2") for c in marks.columns))
+    near = _near(*(F.col(c) for c in ("n", "n2", "sketch", "sketch2")))
     stars = stored(
         shared.where("k != leader")
-        .select(F.col("k").alias("member"), F.col("leader").alias("center"))
-        .distinct(),
+        .select("k", F.col("leader").alias("k2"))
+        .distinct()
+        .join(marks, "k")
+        .join(other, "k2")
+        .where(near)
+        .select(F.col("k").alias("member"), F.col("k2").alias("center")),
         "set-join-stars",
     )
     edges = stored(_linked(docs, classes, stars, PERCENT), "set-join-edges")
@@ -294,17 +330,15 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     ).select("sig", "k", F.coalesce("component", "k").alias("c"))
     apart = labelled.groupBy("sig").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b")
     open_rows = stored(
-        labelled.join(apart.select("sig"), "sig").join(classes.select("k", "n"), "k"), "set-join-open"
+        labelled.join(apart.select("sig"), "sig").join(marks, "k"), "set-join-open"
     )
-    other = open_rows.select("sig", *(F.col(x).alias(f"{x}2") for x in ("k", "c", "n")))
-    tried = stars.select(F.col("member").alias("k"), F.col("center").alias("k2"))
+    others = open_rows.select("sig", *(F.col(x).alias(f"{x}2") for x in ("k", "c", "n", "sketch")))
+    apart_pair = (F.col("sig") == F.col("sig2")) & F.expr("k > k2 AND c != c2")
     pairs = (
-        open_rows.join(other, "sig")
-        .where("k > k2 AND c != c2 AND 100 * least(n, n2) >= 80 * greatest(n, n2)")
-        .select("k", "k2")
-        .distinct()
-        .join(tried, ["k", "k2"], "left_anti")
+        open_rows.join(others.withColumnRenamed("sig", "sig2"), apart_pair & near)
         .select(F.col("k").alias("member"), F.col("k2").alias("center"))
+        .distinct()
+        .join(stars, ["member", "center"], "left_anti")
     )
     more = _linked(docs, classes, stored(pairs, "set-join-pairs"), PERCENT)
     found = components(edges.unionByName(more))
