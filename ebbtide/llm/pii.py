@@ -19,6 +19,8 @@ with exclusive ends; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,54 @@ FOUND = "found"
 #: A word with a digit or an at sign: what can be an identifier.
 _CANDIDATE = r"(?:(?<![^\s])|\G)[^\s0-9@]*+[0-9@][^\s]*+"
 _CONTEXT = 80
+#: Matches of a text whose offsets are summed at a time.
+_CHUNK = 500
 ROUNDS, SUPPORT, CONFIDENT = 3, 3, 0.9
 _PATTERN_CONFIDENCE = 0.75
+#: Bytes up to which a checked table is sent to all executors.
+_SMALL = 16 << 20
+
+
+def _cumulated(lengths: Column) -> Column:
+    """Running sums of an array<int>, each up to and with its element.
+
+    Sums grow by copying, so they are made for chunks first and then shifted by
+    what lies before each chunk: a text with very many matches stays cheap.
+    """
+
+    def running(values: Column) -> Column:
+        begun = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            values,
+            begun,
+            lambda acc, x: F.struct(
+                (acc["sum"] + x).alias("sum"),
+                F.concat(acc["out"], F.array(acc["sum"] + x)).alias("out"),
+            ),
+            lambda acc: acc["out"],
+        )
+
+    def shifted(chunks: Column, totals: Column) -> Column:
+        before = F.zip_with(running(totals), totals, lambda upto, own: upto - own)
+        return F.flatten(
+            F.zip_with(chunks, before, lambda c, shift: F.transform(c, lambda x: x + shift))
+        )
+
+    def summed(values: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(_CHUNK))
+        chunks = F.transform(starts, lambda i: running(F.slice(values, i + 1, _CHUNK)))
+        return _let(chunks, lambda c: _let(F.transform(c, _last), lambda t: shifted(c, t)))
+
+    return _let(lengths, summed)
+
+
+def _last(values: Column) -> Column:
+    return F.coalesce(F.try_element_at(values, F.lit(-1)), F.lit(0))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _matches(text: Column, pattern: str) -> Column:
@@ -46,35 +94,38 @@ def _matches(text: Column, pattern: str) -> Column:
 
     The pieces between matches and the matches alternate, so their lengths add up to offsets.
     """
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(
-        pieces,
-        values,
-        lambda p, v: F.struct(p.alias("piece"), v.alias("value")),
-    )
-    kind = "struct<start:int,end:int,value:string,before:string,after:string>"
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.char_length(x["piece"])
-        end = start + F.coalesce(F.char_length(x["value"]), F.lit(0))
-        item = F.struct(
-            start.alias("start"), end.alias("end"), x["value"].alias("value"),
-            F.right(x["piece"], F.lit(_CONTEXT)).alias("before"),
-            F.lit(None).cast("string").alias("after"),
+
+    def placed(pieces: Column, values: Column) -> Column:
+        left, right = (F.slice(pieces, F.lit(i), F.size(values)) for i in (1, 2))
+        lengths = F.zip_with(left, values, lambda p, v: F.char_length(p) + F.char_length(v))
+        around = F.zip_with(
+            left,
+            right,
+            lambda p, q: F.struct(
+                F.right(p, F.lit(_CONTEXT)).alias("before"), F.left(q, F.lit(_CONTEXT)).alias("after")
+            ),
         )
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(item)).alias("out"))
-
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-    found = F.aggregate(both, begun, step, lambda acc: acc["out"])
-    # What follows a match is what stands before the next one; the last piece has no match.
-    return F.filter(
-        F.zip_with(
-            found,
-            F.slice(pieces, F.lit(2), F.size(pieces)),
-            lambda m, p: m.withField("after", F.left(p, F.lit(_CONTEXT))),
-        ),
-        lambda m: m["value"].isNotNull(),
+        spans = F.zip_with(
+            _cumulated(lengths),
+            values,
+            lambda end, v: F.struct(
+                (end - F.char_length(v)).alias("start"), end.alias("end"), v.alias("value")
+            ),
+        )
+        return F.zip_with(
+            spans,
+            around,
+            lambda m, w: F.struct(
+                m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"),
+                w["before"].alias("before"), w["after"].alias("after"),
+            ),
+        )
+
+    parts = F.struct(
+        F.split(text, pattern, -1).alias("pieces"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"),
     )
+    return _let(parts, lambda x: placed(x["pieces"], x["values"]))
 
 
 def _luhn(digits: Column) -> Column:
@@ -123,7 +174,7 @@ def _candidates(text: Column) -> Column:
 
     def item(m: Column) -> Column:
         tail = F.regexp_replace(m["value"], edge, "")
-        value = F.regexp_replace(tail, r"[^A-Za-z0-9]+$", "")
+        value = F.regexp_replace(tail, r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
         start = m["start"] + F.char_length(m["value"]) - F.char_length(tail)
         left = F.lower(F.regexp_extract(m["before"], r"(\S+)\s+$", 1))
         left2 = F.lower(F.regexp_extract(m["before"], r"(\S+)\s+\S+\s+$", 1))
@@ -196,7 +247,7 @@ def find_personal_data(docs: DataFrame, *keep: str) -> DataFrame:
         .select("row", "c", within.alias("seed"))
     )
     values = _confident_values(seen)
-    more = (
+    more = stored(
         seen.where(~F.col("seed"))
         .select("row", "c.start", "c.end", "c.value")
         .join(values, "value")
@@ -205,8 +256,11 @@ def find_personal_data(docs: DataFrame, *keep: str) -> DataFrame:
             F.collect_list(
                 F.struct("start", F.lit(len(KINDS)).alias("order"), "end", F.lit(FOUND).alias("kind"))
             ).alias("more")
-        )
+        ),
+        "pii-more",
     )
+    if more.agg(F.coalesce(F.sum(F.size("more") + 2), F.lit(0))).first()[0] * 40 <= _SMALL:
+        more = F.broadcast(more)  # its size is checked; larger ones are joined by shuffle
     none = F.array().cast(f"array<{_SPAN}>")
     return (
         found.drop("candidates")

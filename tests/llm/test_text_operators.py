@@ -412,6 +412,7 @@ def test_base_spans(spark):
     parts = ["@", ".", "-", "+", "a", "9", "1", " ", "%", "_", "(", ")", "0", "2", "é", "😀", "\n", "4111111111111111", "1.2.3.4", "a@b.c"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(800)]
     texts += ["a@b.c_d@e.f.g", "+1 (275) 555-5927.", "1.2.3.4.5.6.7.8", "9" * 20000, "a" * 20000 + "@", "+1" + " " * 9000, None, ""]
+    texts += ["é a@b.c " * 1700, "1 " * 200_000, "x" + "." * 50_000 + "1"]
     found = pii.find_personal_data(frame(spark, texts), "doc_id", "text").collect()
     for r in found:
         assert [tuple(s) for s in r.base] == plain_spans(r.text or "")
