@@ -125,12 +125,12 @@ def cdc_merge_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_delete_without_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deletes that log the key only, merged into the state before them."""
     changes = _changes(spark, sf_dir)
-    half = changes.agg(F.expr("(min(offset) + max(offset)) div 2").alias("half"))
-    staged = changes.join(F.broadcast(half)).withColumn(  # one row
-        "value", F.col("value").withField("before", F.lit(None).cast(changes.schema["value"].dataType["before"].dataType))
-    )
-    first = current_state(staged.where("offset <= half"))
-    later = change_rows(latest_per_key(staged.where("offset > half")))
+    image = changes.schema["value"].dataType["before"].dataType
+    bare = F.col("value").withField("before", F.lit(None).cast(image))
+    staged = changes.withColumn("value", bare)
+    half = changes.agg(F.expr("(min(offset) + max(offset)) div 2")).first()[0]
+    first = current_state(staged.where(F.col("offset") <= half))
+    later = change_rows(latest_per_key(staged.where(F.col("offset") > half)))
     return merge_changes(first, later, ["id"]).select(*IMAGE, "op")
 
 
@@ -373,19 +373,18 @@ def compact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What compaction and clean-up did: files and rows of both versions, folders deleted."""
     settings, path = _scattered(spark, sf_dir, "compaction-report")
-    before = read_table(spark, path).agg(F.count("*").alias("rows_before"))
-    counted = stored(before, "rows-before")
+    rows_before = read_table(spark, path).count()
     _, files_before, files_after = compact_files(spark, path, settings)
     gone = vacuum(spark, path, retention_hours=0)
     left = len(list_names(spark, f"{path}/_versions", r"\d{20}\.json"))
-    after = read_table(spark, path).agg(F.count("*").alias("rows_after"))
     numbers = {
+        "rows_before": rows_before,
         "files_before": files_before,
         "files_after": files_after,
         "folders_deleted": gone,
         "versions_left": left,
     }
-    return counted.join(after).select(
+    return read_table(spark, path).agg(F.count("*").alias("rows_after")).select(
         "*", *(F.lit(n).cast("bigint").alias(name) for name, n in numbers.items())
     )
 
@@ -394,10 +393,8 @@ def table_detail_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail of a table: the files listed are those that its newest version counts."""
     path = _orders_table(spark, sf_dir, "detail")
     version = newest_version(spark, path)
-    detail = table_detail(spark, path)
-    rows = read_table(spark, path).agg(F.count("*").alias("rows"))
-    return rows.join(detail).select(
-        "rows",
+    return table_detail(spark, path).select(
+        F.lit(read_table(spark, path).count()).cast("bigint").alias("rows"),
         (F.col("numFiles") == version.numFiles).alias("same_files"),
         (F.col("sizeInBytes") == version.sizeInBytes).alias("same_bytes"),
     )
