@@ -22,8 +22,8 @@ elements all fall into differing blocks with a chance below 1e-12, like that of
 equal 64-bit hashes of different shingles.
 
 Equal sets are one node. In a bucket of equal blocks each member is first
-verified against the smallest one; only members that are then in different
-components meet each other. So a large group of near copies costs about as many
+verified against one of them, in three rounds with others drawn at random; only
+members that are then in different components meet each other. So a large group of near copies costs about as many
 pairs as it has members, and no link between components is lost.
 
 Defined results: NULL, empty and wordless texts have no shingles and stay by
@@ -53,6 +53,8 @@ _TINY = 14
 _BAND = 1.8
 #: Bytes of block rows that one task gathers, and members verified with one copy of a centre.
 _PART_BYTES, _SALT = 32 << 20, 64
+#: Rounds in which a bucket's members meet one of them.
+_STAR_ROUNDS = 3
 #: Bytes up to which a checked table is sent to all executors.
 _SMALL = 16 << 20
 
@@ -222,7 +224,7 @@ def _shared(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _candidates(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """(sig, k, leader): the signatures that can show a link, with their smallest set."""
+    """(sig, k): the signatures that can show a link."""
     bit = F.col("sig").bitwiseAND(F.lit(1))
     least = F.when(bit == 0, F.col("least0")).otherwise(F.col("least1"))
     own = Window.partitionBy("k", "bit")
@@ -236,8 +238,8 @@ def _candidates(shared: DataFrame, classes: DataFrame) -> DataFrame:
         .select("sig", "k")
     )
     kept = stored(kept, "set-join-kept")
-    leaders = kept.groupBy("sig").agg(F.min("k").alias("leader"), F.max("k").alias("last"))
-    return kept.join(leaders.where("leader < last").drop("last"), "sig")
+    several = kept.groupBy("sig").agg(F.min("k").alias("a"), F.max("k").alias("b")).where("a < b")
+    return kept.join(several.select("sig"), "sig")
 
 
 def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -311,34 +313,53 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
     marks = classes.select("k", "n", "sketch")
     other = marks.select(*(F.col(c).alias(f"{c}2") for c in marks.columns))
     near = _near(*(F.col(c) for c in ("n", "n2", "sketch", "sketch2")))
-    stars = stored(
-        shared.where("k != leader")
-        .select("k", F.col("leader").alias("k2"))
-        .distinct()
-        .join(marks, "k")
-        .join(other, "k2")
-        .where(near)
-        .select(F.col("k").alias("member"), F.col("k2").alias("center")),
-        "set-join-stars",
-    )
-    edges = stored(_linked(docs, classes, stars, PERCENT), "set-join-edges")
-    found = components(edges)
-
-    # Members of a bucket that are still apart meet each other.
-    labelled = shared.select("sig", "k").join(
-        found.select(F.col("node").alias("k"), "component"), "k", "left"
-    ).select("sig", "k", F.coalesce("component", "k").alias("c"))
-    apart = labelled.groupBy("sig").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b")
-    open_rows = stored(
-        labelled.join(apart.select("sig"), "sig").join(marks, "k"), "set-join-open"
-    )
-    others = open_rows.select("sig", *(F.col(x).alias(f"{x}2") for x in ("k", "c", "n", "sketch")))
+
+    def still_apart(found: DataFrame | None) -> DataFrame:
+        """(sig, k, c) of the buckets that hold several components."""
+        rows = shared.select("sig", "k", F.col("k").alias("c"))
+        if found is not None:
+            known = found.select(F.col("node").alias("k"), "component")
+            rows = shared.join(known, "k", "left").select(
+                "sig", "k", F.coalesce("component", "k").alias("c")
+            )
+        apart = rows.groupBy("sig").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a < b")
+        return stored(rows.join(apart.select("sig"), "sig"), "set-join-open")
+
+    # Members of a bucket meet one of them, drawn anew in each round.
+    edges = found = tried = None
+    for turn in range(_STAR_ROUNDS):
+        rows = still_apart(found)
+        leaders = rows.groupBy("sig").agg(
+            F.min_by(F.struct("k", "c"), F.xxhash64("k", F.lit(turn))).alias("lead")
+        )
+        stars = (
+            rows.join(leaders, "sig")
+            .where("c != lead.c")
+            .select("k", F.col("lead.k").alias("k2"))
+            .distinct()
+            .join(marks, "k")
+            .join(other, "k2")
+            .where(near)
+            .select(F.col("k").alias("member"), F.col("k2").alias("center"))
+        )
+        stars = stored(stars, "set-join-stars")
+        more = stored(_linked(docs, classes, stars, PERCENT), "set-join-edges")
+        edges = more if edges is None else edges.unionByName(more)
+        tried = stars if tried is None else tried.unionByName(stars)
+        found = components(edges)
+
+    # Those that are still apart meet each other.
+    open_rows = stored(still_apart(found).join(marks, "k"), "set-join-open")
+    others = open_rows.select(*(F.col(x).alias(f"{x}2") for x in ("sig", "k", "c", "n", "sketch")))
     apart_pair = (F.col("sig") == F.col("sig2")) & F.expr("k > k2 AND c != c2")
+    known = tried.select(
+        F.greatest("member", "center").alias("member"), F.least("member", "center").alias("center")
+    ).distinct()
     pairs = (
-        open_rows.join(others.withColumnRenamed("sig", "sig2"), apart_pair & near)
+        open_rows.join(others, apart_pair & near)
         .select(F.col("k").alias("member"), F.col("k2").alias("center"))
         .distinct()
-        .join(stars, ["member", "center"], "left_anti")
+        .join(known, ["member", "center"], "left_anti")
     )
     more = _linked(docs, classes, stored(pairs, "set-join-pairs"), PERCENT)
     found = components(edges.unionByName(more))
