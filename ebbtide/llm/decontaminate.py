@@ -1,12 +1,16 @@
 """Benchmark decontamination by template windows, with built-in functions only.
 
-Texts become rows of tokens in which numbers, names and units are placeholders,
-so a question asked again with other values keeps its template. Every window of
-``WINDOW`` tokens of every document is hashed and looked up among the windows of
-the benchmark; benchmark texts with fewer tokens are one window of their own
-length. A document holds an item if it has at least half of the item's windows
-and, along its best alignment, the values in the placeholders are consistent:
-the same value of the item always stands for the same value in the document.
+Texts become rows of tokens in three forms: numbers and units are placeholders in
+all of them, names in none, in the middle of sentences, or wherever a token is
+capitalised. So a question copied in another letter case, or asked again with
+other values, keeps a form. Every window of ``WINDOW`` tokens of every document is
+hashed in its forms and looked up among the windows of the benchmark; benchmark
+texts with fewer tokens are one window of their own length.
+
+A document holds an item if at least half of the item's windows count. A window
+with the same words, letter case aside, counts as it is. The others count unless
+they hold a value of the item that stands for several values of the document,
+among the windows at the same shift and outside windows with the same words.
 
 Defined results: NULL texts, and texts without letters and digits, have no
 windows and match nothing; rows that share a document id count as one document,
@@ -39,15 +43,20 @@ _LETTERS = r"[\p{L}\p{M}]+"
 _SMALL = 16 << 20
 
 
+def _with_units(text: Column) -> Column:
+    """Numbers, and units after them, as placeholders."""
+    text = F.regexp_replace(text, _DIGITS, _NUMBER)
+    units = "|".join(sorted(UNITS, key=len, reverse=True))
+    return F.regexp_replace(text, rf"(?<={_NUMBER} ?)(?i:{units})(?![\p{{L}}\p{{M}}])", _UNIT)
+
+
 def canonical(text: Column) -> Column:
     """Tokens with placeholders; token for token the same as ``raw_tokens``."""
     text = F.regexp_replace(text, f"[{_NAME}-{_UNIT}]", " ")
     text = F.regexp_replace(
         text, r"(?<=[\p{L}\p{M}0-9,;] )\p{Lu}\p{Ll}++(?![\p{L}\p{M}])", _NAME
     )
-    text = F.regexp_replace(text, _DIGITS, _NUMBER)
-    units = "|".join(sorted(UNITS, key=len, reverse=True))
-    text = F.regexp_replace(text, rf"(?<={_NUMBER} ?)(?i:{units})(?![\p{{L}}\p{{M}}])", _UNIT)
+    text = _with_units(text)
     return F.regexp_extract_all(F.lower(text), F.lit(rf"[{_NAME}-{_UNIT}]|{_LETTERS}"), F.lit(0))
 
 
@@ -56,20 +65,55 @@ def raw_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"{_DIGITS}|{_LETTERS}"), F.lit(0))
 
 
-def _windows(tokens: str, sizes: list[int]) -> Column:
-    """array<struct<h, at>>: hashes of all windows of these sizes."""
-    found = []
-    for size in sizes:
-        starts = F.sequence(F.lit(1), F.size(tokens) - size + 1)
-        hashed = F.transform(
-            starts,
-            lambda i: F.struct(
-                F.xxhash64(F.slice(tokens, i, size), F.lit(size)).alias("h"), i.alias("at")
-            ),
-        )
+def _valued(raw: Column) -> Column:
+    """Raw tokens, one space apart, with numbers and units as placeholders."""
+    return _with_units(F.array_join(raw, " "))
+
+
+def _lowered(spaced: Column) -> Column:
+    return F.filter(F.split(F.lower(spaced), " "), lambda t: t != "")
+
+
+def _named(spaced: Column) -> Column:
+    """Every capitalised token is a name, wherever it stands."""
+    return F.regexp_replace(
+        spaced, r"(?<![^ ])\p{Lu}(?=[\p{L}\p{M}]*?\p{Ll})[\p{L}\p{M}]++", _NAME
+    )
+
+
+def _forms(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns to keep, and hashes of each token in each form, equally long.
+
+    Form 0 leaves names as lower-case words, so equal words in any case are equal in it;
+    1 takes names within sentences, 2 every capitalised token for a name.
+    """
+    hashed = lambda tokens: F.transform(tokens, lambda t: F.xxhash64(t))
+    valued = docs.select(
+        *keep, canonical(F.col("text")).alias("form1"), _valued(raw_tokens(F.col("text"))).alias("valued")
+    )
+    return valued.select(
+        *keep,
+        hashed(_lowered(F.col("valued"))).alias("form0"),
+        hashed("form1").alias("form1"),
+        hashed(_lowered(_named(F.col("valued")))).alias("form2"),
+    )
+
+
+def _windows(sizes: list[int]) -> Column:
+    """array<struct<h, at>>: the distinct hashes, in any form, of all windows of these sizes."""
+
+    def of_size(size: int) -> Column:
+        def at_place(i: Column) -> Column:
+            hashes = (F.xxhash64(F.slice(f, i, size), F.lit(size)) for f in ("form0", "form1", "form2"))
+            return F.transform(
+                F.array_distinct(F.array(*hashes)), lambda h: F.struct(h.alias("h"), i.alias("at"))
+            )
+
+        starts = F.sequence(F.lit(1), F.size("form0") - size + 1)
         none = F.array().cast("array<struct<h:bigint,at:int>>")
-        found.append(F.when(F.size(tokens) >= size, hashed).otherwise(none))
-    return F.concat(*found)
+        return F.when(F.size("form0") >= size, F.flatten(F.transform(starts, at_place))).otherwise(none)
+
+    return F.concat(*map(of_size, sizes))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -77,10 +121,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
     Takes (doc_id, text) and (item_id, text).
     """
+    raw = raw_tokens(F.col("text"))
     items = (
         benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
         .distinct()
-        .select("item_id", canonical(F.col("text")).alias("tokens"), raw_tokens(F.col("text")).alias("raw"))
+        .select("item_id", "text", raw.alias("raw"), _lowered(_named(_valued(raw))).alias("tokens"))
         .where(F.size("tokens") > 0)
         .withColumn("size", F.least(F.size("tokens"), F.lit(window)))
     )
@@ -88,11 +133,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     sizes = [r[0] for r in items.select("size").distinct().orderBy("size").collect()]  # window at most
     if not sizes:
         sizes = [window]
+    forms = _forms(items, "item_id", "size")
     own = [
-        items.where(F.col("size") == size).select(
+        forms.where(F.col("size") == size).select(
             "item_id",
-            (F.size("tokens") - size + 1).alias("item_windows"),
-            F.explode(_windows("tokens", [size])).alias("w"),
+            (F.size("form0") - size + 1).alias("item_windows"),
+            F.explode(_windows([size])).alias("w"),
         )
         for size in sizes
     ]
@@ -103,80 +149,106 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         "leak-needles",
     )
     small = needles.count() * 40 <= _SMALL
-    tokens = docs.select("doc_id", canonical(F.col("text")).alias("tokens"))
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
     hits = (
-        tokens.select("doc_id", F.explode(_windows("tokens", sizes)).alias("w"))
-        .select("doc_id", "w.h", "w.at")
+        _forms(keyed, "doc_id", "key")
+        .select("doc_id", "key", F.explode(_windows(sizes)).alias("w"))
+        .select("doc_id", "key", "w.h", "w.at")
         .join(F.broadcast(needles) if small else needles, "h")  # larger ones are joined by shuffle
-        .select("doc_id", "item_id", "item_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("doc_id", "key", "item_id", "item_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
     )
     hits = stored(hits, "leak-hits")
-    aligned = hits.groupBy("doc_id", "item_id", "item_windows", "shift").agg(F.count("*").alias("n"))
-    best = aligned.groupBy("doc_id", "item_id", "item_windows").agg(
-        F.max_by("shift", F.struct("n", "shift")).alias("shift")
+    enough = F.col("windows") >= COVERED * F.col("item_windows")
+    held = stored(_counted(hits).where(enough), "leak-held")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["item_id"].eqNullSafe(b["item_id"])
+    # The windows of a text that meet an item at the same shift.
+    aligned = stored(
+        hits.join(held, same(hits, held), "left_semi")
+        .groupBy("doc_id", "key", "item_id", "item_windows", "shift")
+        .agg(F.collect_list("item_at").alias("ats")),
+        "leak-aligned",
     )
-    covered = (
-        hits.groupBy("doc_id", "item_id", "item_at").agg(F.lit(1).alias("one"))
+    sound = stored(_sound(keyed, items, aligned), "leak-sound")
+    counted = _counted(sound.select("doc_id", "item_id", "item_windows", F.explode("ats").alias("item_at")))
+    slots = (
+        sound.select("doc_id", "item_id", F.explode("slots").alias("slot"))
+        .distinct()
         .groupBy("doc_id", "item_id")
-        .agg(F.count("one").alias("windows"))
-    )
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["item_id"].eqNullSafe(b["item_id"])
-    held = stored(
-        best.join(covered, same(best, covered))
-        .where(F.col("windows") >= COVERED * F.col("item_windows"))
-        .select(best["doc_id"], best["item_id"], "item_windows", "windows", "shift"),
-        "leak-held",
+        .agg(F.count("*").alias("slots"))
     )
-    slots = _slots(docs, items, held)
-    return held.join(slots, same(held, slots), "left").where("coalesce(consistent, true)").select(
-        held["doc_id"], held["item_id"], "windows", "item_windows",
+    return counted.where(enough).join(slots, same(counted, slots), "left").select(
+        counted["doc_id"], counted["item_id"], "windows", "item_windows",
         F.coalesce("slots", F.lit(0)).cast("long").alias("slots"),
     )
 
 
-def _slots(docs: DataFrame, items: DataFrame, held: DataFrame) -> DataFrame:
-    """(doc_id, item_id, slots, consistent) of the matches whose items have placeholders."""
-    slotted = items.where(F.exists("tokens", lambda t: t.rlike(f"[{_NAME}-{_UNIT}]"))).select(
-        F.col("item_id").alias("item"), F.col("tokens").alias("item_tokens"), F.col("raw").alias("item_raw")
-    )
-    wanted = held.join(slotted, F.col("item_id").eqNullSafe(F.col("item"))).select(
-        F.col("doc_id").alias("doc"), "item_id", "shift", "item_tokens", "item_raw"
+def _counted(hits: DataFrame) -> DataFrame:
+    """(doc_id, item_id, item_windows, windows): how many windows of each item a document has."""
+    one = hits.groupBy("doc_id", "item_id", "item_windows", "item_at").agg(F.lit(1).alias("one"))
+    return one.groupBy("doc_id", "item_id", "item_windows").agg(F.count("one").alias("windows"))
+
+
+def _sound(keyed: DataFrame, items: DataFrame, aligned: DataFrame) -> DataFrame:
+    """(doc_id, item_id, item_windows, ats, slots): the windows that count, shift by shift.
+
+    Windows with the same words count as they are. In the others, a value of the item that
+    stands for several values of the document, beside places that same words cover, does not.
+    """
+    ids = aligned.select(F.col("doc_id").alias("doc"), F.col("key").alias("own")).distinct()
+    ids = stored(ids, "leak-texts")
+    if ids.count() * 32 <= _SMALL:
+        ids = F.broadcast(ids)
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("key") == F.col("own"))
+    texts = stored(
+        keyed.join(ids, same, "left_semi")
+        .dropDuplicates(["doc_id", "key"])
+        .select(F.col("doc_id").alias("doc"), F.col("key").alias("own"), raw_tokens(F.col("text")).alias("doc_raw")),
+        "leak-tokens",
     )
-    wanted = stored(wanted, "leak-slots")
-    if wanted.count() * 1000 <= _SMALL:
-        wanted = F.broadcast(wanted)
-    matched = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc"))).select(
-        "doc_id",
-        "item_id",
-        "shift",
-        "item_tokens",
-        "item_raw",
-        canonical(F.col("text")).alias("tokens"),
-        raw_tokens(F.col("text")).alias("raw"),
+    given = items.select(F.col("item_id").alias("item"), "tokens", F.col("raw").alias("item_raw"), "size")
+    given = F.broadcast(given) if given.count() * 1000 <= _SMALL else given
+    lower = lambda words: F.transform(words, lambda t: F.lower(t))
+    begin = F.greatest(F.col("shift"), F.lit(0))
+    # The document's words beside the item's; none where the item reaches over the text's start.
+    beside = F.concat(
+        F.array_repeat(F.lit(None).cast("string"), F.greatest(-F.col("shift"), F.lit(0))),
+        F.slice("doc_raw", begin + 1, F.size("tokens")),
     )
-    at = F.col("i") + F.col("shift")
-    pairs = (
-        matched.select("*", F.explode(F.sequence(F.lit(1), F.size("item_tokens"))).alias("i"))
-        .where((at >= 1) & (at <= F.size("tokens")))
+    rows = (
+        aligned.join(texts, same)
+        .join(given, F.col("item_id").eqNullSafe(F.col("item")))
         .select(
-            "doc_id",
-            "item_id",
-            F.element_at("item_tokens", F.col("i")).alias("kind"),
-            F.element_at("item_raw", F.col("i")).alias("item_value"),
-            F.element_at("tokens", at).alias("doc_kind"),
-            F.element_at("raw", at).alias("doc_value"),
+            "doc_id", "item_id", "item_windows", "ats", "tokens", "size",
+            lower(F.col("item_raw")).alias("words"), lower(beside).alias("beside"),
         )
-        .where(F.col("kind").rlike(f"[{_NAME}-{_UNIT}]") & (F.col("kind") == F.col("doc_kind")))
     )
-    return (
-        pairs.groupBy("doc_id", "item_id", "kind", "item_value", "doc_value")
-        .agg(F.count("*").alias("n"))
-        .groupBy("doc_id", "item_id", "kind", "item_value")
-        .agg(F.count("*").alias("values"))
-        .groupBy("doc_id", "item_id")
-        .agg(F.count("*").alias("slots"), (F.max("values") == 1).alias("consistent"))
+    places = lambda at: F.sequence(at, at + F.col("size") - 1)
+    word = lambda i: F.element_at("words", i)
+    other = lambda i: F.try_element_at("beside", i)
+    kind = lambda i: F.element_at("tokens", i)
+    is_slot = lambda i: kind(i).rlike(f"[{_NAME}-{_UNIT}]")
+    covered = lambda ats: F.array_distinct(F.flatten(F.transform(ats, places)))
+    pair = lambda i: F.struct(kind(i).alias("kind"), word(i).alias("value"))
+    literal = F.filter("ats", lambda at: F.forall(places(at), lambda i: word(i).eqNullSafe(other(i))))
+    rows = rows.withColumn("literal", literal)
+    rows = rows.withColumn("told", F.array_except("ats", "literal"))
+    open_places = F.array_except(covered(F.col("told")), covered(F.col("literal")))
+    rows = rows.withColumn("open", F.filter(open_places, is_slot))
+    meanings = F.array_distinct(
+        F.transform("open", lambda i: F.struct(pair(i).alias("of"), other(i).alias("to")))
+    )
+    rows = rows.withColumn("of", F.transform(meanings, lambda m: m["of"]))
+    # Values that stand for several.
+    rows = rows.withColumn(
+        "torn",
+        F.filter(F.array_distinct("of"), lambda v: F.size(F.filter("of", lambda w: w == v)) > 1),
     )
+    rows = rows.withColumn("bad", F.filter("open", lambda i: F.array_contains("torn", pair(i))))
+    kept = F.filter("told", lambda at: ~F.exists("bad", lambda i: (i >= at) & (i < at + F.col("size"))))
+    rows = rows.withColumn("ats", F.concat("literal", kept))
+    slots = F.transform(F.filter(covered(F.col("ats")), is_slot), pair)
+    return rows.select("doc_id", "item_id", "item_windows", "ats", F.array_distinct(slots).alias("slots"))
 
 
 def without_contaminated(docs: DataFrame, found: DataFrame) -> DataFrame:

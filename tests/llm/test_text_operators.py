@@ -368,6 +368,24 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs.limit(0), benchmark).count() == 0
 
 
+def leaks(spark, item, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return {r.doc_id: r for r in decontaminate.contaminated(docs, benchmark).collect()}
+
+
+def test_names_at_starts_and_other_letter_case_leak(spark):
+    item = (
+        "Tom has 3 apples and 2 pears. Tom gives 1 apple to his friend. Tom then buys 4 plums. "
+        "How many fruits are left now?"
+    )
+    other = item.replace("Tom", "Lena").replace("3", "8").replace("2", "5").replace("4", "9")
+    found = leaks(spark, item, [other, item.lower(), item.upper(), item.lower().replace("3", "7"), item.replace(". How", ", how").replace("3", "7")])
+    assert set(found) == {0, 1, 2, 3, 4}
+    assert (found[0].windows, found[0].item_windows) == (18, 18) and found[1].windows == 18
+    assert set(leaks(spark, QUESTION, ["words before " + QUESTION.lower() + " and after"])) == {0}
+
+
 def test_tokens_stay_aligned(spark):
     texts = ["The Tall man paid 3.50 dollars, then Bob's 12kg bag 1:30 x2 É", "", None, " a"]
     df = frame(spark, texts).select(
