@@ -386,6 +386,23 @@ def test_names_at_starts_and_other_letter_case_leak(spark):
     assert set(leaks(spark, QUESTION, ["words before " + QUESTION.lower() + " and after"])) == {0}
 
 
+def test_slots_are_read_window_by_window(spark):
+    item = (
+        "Tom has 3 apples and 2 pears. Tom gives 1 apple to his friend. Tom then buys 4 plums. "
+        "How many fruits are left now?"
+    )
+    torn = item.replace("Tom", "Lena", 1).replace("Tom", "Max", 1).replace("Tom", "Eve", 1)
+    asked = item.replace("Tom", "Lena").replace("3", "8").replace("2", "5").replace("4", "9")
+    texts = [
+        item.replace("Tom then", "Max then"),  # one instance edited
+        item.replace("apple to", "apple back to"),  # a word inserted
+        asked.replace("gives 1", "then gives 1"),
+        asked + " " + asked.replace("Lena", "Bob"),  # twice, with other values
+        torn,
+    ]
+    assert set(leaks(spark, item, texts)) == {0, 1, 2, 3}
+
+
 def test_tokens_stay_aligned(spark):
     texts = ["The Tall man paid 3.50 dollars, then Bob's 12kg bag 1:30 x2 É", "", None, " a"]
     df = frame(spark, texts).select(
