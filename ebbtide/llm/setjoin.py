@@ -166,7 +166,7 @@ def _near(n: Column, n2: Column, sketch: Column, sketch2: Column) -> Column:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, k, least0, least1, sketch): each document's set in short."""
+    """(doc_id, text_key, n_shingles, k, least0, least1, sketch): each document's set in short."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,11 +176,13 @@ def _sets(docs: DataFrame) -> DataFrame:
                 for s in shingle_sets(batch["text"].tolist())
             ]
             rows = pd.DataFrame(sets, columns=names[1:])
-            yield rows.assign(doc_id=batch["doc_id"].to_numpy())[names]
+            yield rows.assign(doc_id=batch["doc_id"].to_numpy(), text_key=batch["text_key"].to_numpy())[columns]
 
     names = ["doc_id", "n_shingles", "k", "least0", "least1", "sketch"]
-    numbers = ", ".join(f"{c} long" for c in names[1:5])
-    return docs.mapInPandas(found, f"doc_id {kind}, {numbers}, sketch array<bigint>")
+    columns = ["doc_id", "text_key", *names[1:]]
+    numbers = ", ".join(f"{c} long" for c in columns[1:6])
+    keyed = docs.withColumn("text_key", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    return keyed.mapInPandas(found, f"doc_id {kind}, {numbers}, sketch array<bigint>")
 
 
 def _shared(docs: DataFrame, parts: int) -> DataFrame:
@@ -246,6 +248,7 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int)
     """Of the pairs (member, center), those (u, v) whose whole sets are similar enough.
 
     The members of a centre are dealt out in groups, each with its own copy of the centre.
+    A set's text is fetched by id and key of the text: an id may be NULL or have several texts.
     """
     groups = pairs.groupBy("center").agg(F.ceil(F.count("*") / _SALT).alias("groups"))
     members = pairs.join(groups, "center").select(
@@ -261,12 +264,18 @@ def _linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int)
         F.lit(0).alias("turn"),
     )
     wanted = stored(
-        members.unionByName(centers).join(classes.select("k", "doc_id"), "k"), "set-join-wanted"
+        members.unionByName(centers).join(
+            classes.select("k", F.col("doc_id").alias("holder"), "text_key"), "k"
+        ),
+        "set-join-wanted",
     )
-    if wanted.count() * 48 <= _SMALL:
+    if wanted.count() * 56 <= _SMALL:
         wanted = F.broadcast(wanted)  # its size is checked; larger ones are joined by shuffle
     sets = (
-        docs.join(wanted, "doc_id")
+        docs.join(
+            wanted,
+            docs["doc_id"].eqNullSafe(F.col("holder")) & (F.xxhash64("text") == F.col("text_key")),
+        )
         .repartition("center", "salt")
         .sortWithinPartitions("center", "salt", "turn")
         .select("center", "turn", "k", "text")
@@ -300,6 +309,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         .groupBy("k")
         .agg(
             F.min("doc_id").alias("doc_id"),
+            F.coalesce(F.min_by("text_key", "doc_id"), F.min("text_key")).alias("text_key"),
             F.first("n_shingles").alias("n"),
             *(F.first(c).alias(c) for c in ("least0", "least1", "sketch")),
         ),

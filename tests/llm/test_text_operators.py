@@ -280,6 +280,22 @@ def test_set_join_edges(spark):
     assert [r.component_id for r in got if r.n_shingles == 0] in ([None, 6], [6, None])
 
 
+def test_set_join_fetches_the_text_of_the_set(spark):
+    words = [f"w{i}" for i in range(100)]
+    chain = [" ".join([*(f"x{j}" for j in range(6 * i)), *words[6 * i :]]) for i in range(3)]
+    others = " ".join(f"v{i}" for i in range(60))
+    near = others.replace("v59", "u")
+    # 1 and 3 are connected only through a row without id; 5 has two texts, each with a near copy.
+    rows = [(1, chain[0]), (None, chain[1]), (3, chain[2]), (5, others), (5, words[0]), (7, near), (8, words[0].upper())]
+    for ids in (rows, rows[::-1]):
+        docs = spark.createDataFrame(ids, DOCS)
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in setjoin.jaccard_groups(docs).collect()}
+        assert got == {
+            (1, 96, 1), (None, 96, 1), (3, 96, 1), (5, 56, 5), (5, 1, 5), (7, 56, 5), (8, 1, 5)
+        }
+        assert sorted(r.doc_id or 0 for r in setjoin.one_of_each_group(docs).collect()) == [0, 1, 5, 5]
+
+
 def test_linked_sets_share_a_signature():
     rng = random.Random(8)
     for n in [*range(1, 40), 55, 100, 180, 900]:
