@@ -17,6 +17,7 @@ from ebbtide.llm import (
     setjoin,
     suffixes,
     tokencounts,
+    whitening,
     winnow,
 )
 from ebbtide.sources.storage import stored
@@ -101,6 +102,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.fit(vectors))
+    # A deviation beyond a long is NULL.
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_personal_data,
         op9_suffix_dedup,
         op10_license_scan,
+        op11_embedding_whitening,
     )
 }
 
