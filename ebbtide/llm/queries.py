@@ -13,6 +13,7 @@ from ebbtide.llm import (
     licenses,
     mixing,
     pii,
+    prefixtrie,
     quality,
     setjoin,
     suffixes,
@@ -109,6 +110,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefixtrie.describe(prefixtrie.branched(prefixtrie.ordered_turns(conversations)), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -123,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_suffix_dedup,
         op10_license_scan,
         op11_embedding_whitening,
+        op13_conversation_prefix_trie,
     )
 }
 
