@@ -16,6 +16,7 @@ from ebbtide.llm import (
     prefixtrie,
     quality,
     setjoin,
+    sketchdedup,
     suffixes,
     tokencounts,
     whitening,
@@ -110,6 +111,13 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return sketchdedup.remove_repeated_windows(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     return prefixtrie.describe(prefixtrie.branched(prefixtrie.ordered_turns(conversations)), conversations)
@@ -129,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_suffix_dedup,
         op10_license_scan,
         op11_embedding_whitening,
+        op12_substring_dedup,
         op13_conversation_prefix_trie,
     )
 }
