@@ -58,7 +58,15 @@ from ebbtide.sources.layers import (
     write_layer,
 )
 from ebbtide.sources.records import generate_products, ingest_records
-from ebbtide.sources.storage import delete_path, list_names, scratch_path, stored, table_detail
+from ebbtide.sources.storage import (
+    delete_path,
+    list_names,
+    modified,
+    scratch_path,
+    set_modified,
+    stored,
+    table_detail,
+)
 from ebbtide.streaming.curate import apply_changes, read_curated, staged_to_curated
 from ebbtide.streaming.land import land_messages
 from ebbtide.streaming.stage import raw_to_staged, read_staged
@@ -478,6 +486,24 @@ def stream_any_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
+def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run finds messages in files dated a month before those of the first."""
+    settings = lake(spark, "old-files")
+    folder, stream = _capture(spark, settings)
+    parts = batches(_changes(spark, sf_dir))
+    known: list[str] = []
+    for days, some in ((0, parts[1::2]), (30, parts[::2])):
+        for part in some:
+            json_messages(part).write.mode("append").parquet(folder)
+        names = list_names(spark, folder, r"part-[^/,}]+\.parquet")
+        for name in set(names) - set(known):
+            dated = modified(spark, f"{folder}/{name}") - days * 86_400
+            set_modified(spark, f"{folder}/{name}", dated)
+        known = names
+        run_table(spark, PRODUCTS, "local", "json", stream, settings)
+    return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
+
+
 def merge_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of staged changes applied newest first."""
     settings = lake(spark, "any-order")
@@ -599,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "stream_pipeline_json": stream_pipeline_json,
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_any_batches": stream_any_batches,
+    "stream_old_files": stream_old_files,
     "merge_any_order": merge_any_order,
     "stream_bootstrap_replay": stream_bootstrap_replay,
     "stream_staged_rows": stream_staged_rows,

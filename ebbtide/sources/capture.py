@@ -22,13 +22,18 @@ KAFKA_SCHEMA = T.StructType(
 )
 
 
-def file_limits(settings: Settings) -> dict[str, int]:
-    """Micro-batch limit of file sources; Spark takes one of the two."""
+#: A stream takes every file, whenever it was last modified. Spark's default leaves
+#: out files a week older than the newest one seen: copies, restored files.
+ANY_AGE = {"maxFileAge": "36500d"}
+
+
+def file_limits(settings: Settings) -> dict[str, int | str]:
+    """Options of file sources: any age, and a micro-batch limit; Spark takes one of the two."""
     if settings.max_files_per_trigger is not None:
-        return {"maxFilesPerTrigger": settings.max_files_per_trigger}
+        return {**ANY_AGE, "maxFilesPerTrigger": settings.max_files_per_trigger}
     if settings.max_bytes_per_trigger is not None:
-        return {"maxBytesPerTrigger": settings.max_bytes_per_trigger}
-    return {}
+        return {**ANY_AGE, "maxBytesPerTrigger": settings.max_bytes_per_trigger}
+    return dict(ANY_AGE)
 
 
 def kafka_messages(

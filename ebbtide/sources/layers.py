@@ -7,6 +7,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ebbtide.address import TableRef, mount_checkpoint_path, mount_path
 from ebbtide.config import DEFAULT, Settings
+from ebbtide.sources.capture import ANY_AGE
 
 # JSON and CSV drop microseconds by default, and CSV breaks on quotes inside text.
 # With these options a table comes back as it was written; text with line breaks
@@ -79,12 +80,13 @@ def stream_layer(
 ) -> DataFrame:
     """Stream a table, or a source that has no path when no address is given.
 
-    File formats other than text need a schema.
+    File formats other than text need a schema. Files are taken whatever their age.
     """
-    reader = spark.readStream.format(fmt).options(**_options(fmt, options))
+    path = _address(layer, ref, settings)
+    ages = ANY_AGE if path is not None else {}
+    reader = spark.readStream.format(fmt).options(**{**ages, **_options(fmt, options)})
     if schema is not None:
         reader = reader.schema(schema)
-    path = _address(layer, ref, settings)
     return reader.load() if path is None else reader.load(path)
 
 

@@ -89,6 +89,12 @@ def modified(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(hadoop_path).getModificationTime() / 1000
 
 
+def set_modified(spark: SparkSession, path: str, seconds: float) -> None:
+    """Date a path, in seconds since 1970."""
+    fs, hadoop_path = _open_fs(spark, path)
+    fs.setTimes(hadoop_path, int(seconds * 1000), -1)
+
+
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
     """(path, length, modificationTime) of the Parquet files below some paths.
 

@@ -25,7 +25,12 @@ from ebbtide.operators.changes import (
 from ebbtide.operators.tables import merge_table, newest_version, overwrite_table, read_table
 from ebbtide.operators.upkeep import compact_files, record_history, vacuum, write_manifest
 from ebbtide.sources.storage import delete_path, stored
-from ebbtide.streaming.stage import running_stream_id, staged_schema, stream_staged
+from ebbtide.streaming.stage import (
+    committed_folders,
+    running_stream_id,
+    staged_schema,
+    stream_commits,
+)
 
 ORDER, DELETED = "_order", "_deleted_at"
 
@@ -101,22 +106,27 @@ def staged_to_curated(
     """
     ref = TableRef(project_name, database, table_name)
     path, checkpoint = ref.path("curated", settings), ref.checkpoint("curated", settings)
-    if staged_schema(spark, ref, settings) is None:
+    staged, schema = ref.path("staged", settings), staged_schema(spark, ref, settings)
+    if schema is None:
         return
 
     def number() -> int:
         newest = newest_version(spark, path)
         return newest.version if newest else -1
 
-    def curate(batch: DataFrame, batch_id: int) -> None:
-        apply_changes(batch, path, running_stream_id(batch), batch_id, settings)
-        record_history(batch.sparkSession, path, ref.history("curated", settings))
+    def curate(commits: DataFrame, batch_id: int) -> None:
+        session = commits.sparkSession
+        folders = committed_folders(commits, staged)
+        if folders:
+            batch = session.read.schema(schema).parquet(*folders)
+            apply_changes(batch, path, running_stream_id(commits), batch_id, settings)
+        record_history(session, path, ref.history("curated", settings))
 
     before = number()
     if before < 0:
         delete_path(spark, checkpoint, within=settings.url(settings.spark_control))
     (
-        stream_staged(spark, ref, settings)
+        stream_commits(spark, ref, settings)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(curate)

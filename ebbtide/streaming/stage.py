@@ -3,7 +3,8 @@
 The staged table is append-only. Each micro-batch writes one folder named after
 its stream and number, then a small commit file that also carries the schema of
 the table so far. A repeated batch replaces its folder, or is skipped if it was
-committed.
+committed. Who follows the table streams the commit files and reads the folders
+they name: data folders are never listed, and files take part whatever their age.
 """
 
 from __future__ import annotations
@@ -25,14 +26,14 @@ from ebbtide.functions.envelopes import (
 )
 from ebbtide.functions.frames import split_frames
 from ebbtide.functions.schemas import merge_types
-from ebbtide.sources.capture import KAFKA_SCHEMA, file_limits
+from ebbtide.sources.capture import ANY_AGE, KAFKA_SCHEMA, file_limits
 from ebbtide.sources.layers import stream_layer
-from ebbtide.sources.storage import create_text, delete_path, list_names, read_text
+from ebbtide.sources.storage import create_text, list_names, read_text
 
 CONTENT_TYPES = ("avro", "json", "protobuf")
 _COMMITS = "_commits"
-#: Commits kept; only the newest one is read.
-_KEPT_COMMITS = 10
+#: Commits that one micro-batch of a follower takes, unless the settings say how many.
+_COMMITS_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,20 @@ def newest_commit(spark: SparkSession, path: str) -> StagedCommit | None:
     return StagedCommit(**{**commit, "schema": T.StructType.fromJson(commit["schema"])})
 
 
+def committed_folders(commits: DataFrame, path: str) -> list[str]:
+    """Folders that some commit files (rows of one text each) name, oldest first; one for each micro-batch staged."""
+    fields = F.from_json("value", "number long, stream string, batch_id long, rows long")
+    rows = commits.select(fields.alias("c")).where("c.rows > 0").orderBy("c.number").collect()
+    return [f"{path}/{r.c.stream}-{r.c.batch_id}" for r in rows]
+
+
+def stream_commits(spark: SparkSession, ref: TableRef, settings: Settings = DEFAULT) -> DataFrame:
+    """Stream of the commit files of a staged table; see ``committed_folders``."""
+    limit = settings.max_files_per_trigger or _COMMITS_AT_ONCE
+    options = {**ANY_AGE, "maxFilesPerTrigger": limit, "wholetext": "true"}
+    return spark.readStream.options(**options).text(f"{ref.path('staged', settings)}/{_COMMITS}")
+
+
 def staged_schema(spark: SparkSession, ref: TableRef, settings: Settings = DEFAULT):
     """Schema that holds the fields of every staged file, or None before any."""
     commit = newest_commit(spark, ref.path("staged", settings))
@@ -175,8 +190,6 @@ def raw_to_staged(
             f"{path}/{_COMMITS}/{commit.number:020d}.json",
             json.dumps({**commit.__dict__, "schema": schema.jsonValue()}),
         )
-        for name in staged_commits(session, path)[:-_KEPT_COMMITS]:
-            delete_path(session, f"{path}/{_COMMITS}/{name}", within=path)
 
     raw = stream_layer(
         spark,

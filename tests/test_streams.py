@@ -23,10 +23,10 @@ from ebbtide.sources.layers import (
     write_layer,
 )
 from ebbtide.sources.records import ingest_records, read_records, synthetic_products
-from ebbtide.sources.storage import delete_path, list_names, path_exists
+from ebbtide.sources.storage import delete_path, list_names, modified, path_exists, set_modified
 from ebbtide.streaming.curate import apply_changes, finish_run, read_curated, staged_to_curated
 from ebbtide.streaming.land import kafka_to_raw, land_messages
-from ebbtide.streaming.stage import newest_commit, raw_to_staged, read_staged
+from ebbtide.streaming.stage import newest_commit, raw_to_staged, read_staged, stream_commits
 from tests.helpers import REF, SAMPLE_KEY, SAMPLE_VALUE, messages, new_lake, new_path, rows, staged
 
 ADDRESS = (REF.project_name, REF.database, REF.table_name)
@@ -90,6 +90,57 @@ def test_runs_resume_and_evolve(spark):
     assert rows(curated(spark, settings), "id", "name", "op") == expected
 
 
+def dated_back(spark, folder, days, known=()):
+    """Date the files of a folder that are not yet known; returns all their names."""
+    names = list_names(spark, folder, r"part-[^/,}]+\.parquet")
+    for name in set(names) - set(known):
+        set_modified(spark, f"{folder}/{name}", modified(spark, f"{folder}/{name}") - days * 86_400)
+    return names
+
+
+def test_old_files_are_not_lost(spark):
+    """Files older than Spark's default age: captured ones, those of a layer, and staged ones."""
+    settings = new_lake(spark)
+    folder, known = settings.url("capture"), []
+    for i, days in enumerate([0, 10, 0, 400]):
+        capture(spark, settings, avro_messages(event_changes(events(spark, [(i, i, "signup")]))))
+        known = dated_back(spark, folder, days, known)
+        land_messages(captured_messages(spark, folder, settings=settings), "raw", REF, settings)
+        assert read_layer(spark, "raw", REF, settings=settings).count() == i + 1
+        raw_to_staged(spark, *ADDRESS, "local", "avro", settings)
+        assert read_staged(spark, REF, settings).count() == i + 1
+        staged_folder = REF.path("staged", settings)
+        for name in list_names(spark, staged_folder, r"[0-9a-f-]{36}-\d+"):
+            dated_back(spark, f"{staged_folder}/{name}", days)
+        staged_to_curated(spark, *ADDRESS, settings=settings)
+        assert [r[0] for r in rows(curated(spark, settings), "id")] == list(range(i + 1))
+
+    other, known = TableRef("a", "b", "layer"), []
+    for i, days in enumerate([0, 30]):
+        write_layer(spark.range(i, i + 1).coalesce(1), "raw", other, mode="append", settings=settings)
+        known = dated_back(spark, other.path("raw", settings), days, known)
+        stream = stream_layer(spark, "raw", other, schema="id long", settings=settings)
+        writer = stream.writeStream.format("parquet").trigger(availableNow=True)
+        start_stream(writer, "staged", other, settings).awaitTermination()
+    assert rows(read_layer(spark, "staged", other, settings=settings)) == [(0,), (1,)]
+
+
+def test_followers_read_named_folders_only(spark):
+    """What lies in staged without a commit takes no part, and no data folder is listed again."""
+    settings = new_lake(spark)
+    capture(spark, settings, avro_messages(event_changes(events(spark, [(0, 1, "signup")]))))
+    run(spark, settings)
+    stray = staged(spark, [(9, "c", "stray", 9, 9)])
+    stray.write.parquet(f"{REF.path('staged', settings)}/stray-0")
+    capture(spark, settings, avro_messages(event_changes(events(spark, [(2, 2, "view")]))))
+    run(spark, settings)
+    assert rows(curated(spark, settings), "id", "name") == [(1, "signup"), (2, "view")]
+    commits = stream_commits(spark, REF, settings)
+    assert commits.isStreaming and commits.columns == ["value"]
+    files = list_names(spark, f"{REF.path('staged', settings)}/_commits", r"\d{20}\.json")
+    assert len(files) == 2
+
+
 def test_many_batches_in_one_run(spark):
     settings = new_lake(spark, max_files_per_trigger=1, vacuum_every_versions=2)
     for i, kind in enumerate(["signup", "click", "error", "purchase"]):
