@@ -135,7 +135,7 @@ def merge_changes(
     """
     keys = list(keys)
     changes = changes.filter(F.col(op).isNotNull())
-    target, changes = _same_types(target, changes)
+    target, changes = same_types(target, changes)
 
     change = changes.filter(all_set(keys)).select(
         *[_q(k) for k in keys], F.struct(*map(_q, changes.columns)).alias("_change")
@@ -181,7 +181,7 @@ _WIDER = {
 }
 
 
-def _same_types(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def same_types(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give the target the columns it lacks, and shared columns one type.
 
     Changes are cast to the type of the target where it holds all their values,

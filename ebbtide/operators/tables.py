@@ -7,21 +7,31 @@ never changed; publishing the version file makes it part of the table. A merge
 reads and rewrites the buckets of the changed keys only, and what a version
 names is bounded by the buckets and by the appends since the last compaction,
 not by the number of files. One writer per table, any number of readers.
+
+A table with an ``order`` column takes changes as runs: later folders of a bucket
+hold newer or older rows of the same keys, and readers see the newest row of each
+(see ``merge_runs``).
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.operators.changes import all_set, merge_changes
+from ebbtide.operators.changes import (
+    all_set,
+    any_null,
+    latest_per_key,
+    merge_changes,
+    same_types,
+)
 from ebbtide.sources.storage import (
     create_text,
     list_files,
@@ -46,6 +56,7 @@ class Version:
     numFiles: int
     sizeInBytes: int
     applied: Mapping[str, int] = field(default_factory=dict)  # stream -> last batch
+    order: str | None = None  # column that ranks the rows of a key, for tables with runs
 
     @property
     def struct_type(self) -> T.StructType:
@@ -93,17 +104,62 @@ def folder_paths(path: str, base: Version, buckets: Iterable[str] | None = None)
     ]
 
 
+def scan(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+    """Rows of bucket folders, with the bucket; fields a file was written without are NULL."""
+    if not paths:
+        return spark.createDataFrame([], schema).withColumn(BUCKET, F.lit(None).cast("int"))
+    bucket = F.regexp_extract(F.col("_metadata.file_path"), rf"/{BUCKET}=(\d+)/", 1).cast("int")
+    return spark.read.schema(schema).parquet(*paths).withColumn(BUCKET, bucket)
+
+
+def newest_rows(older: DataFrame, newer: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The newest row of each key by ``order``, from rows that have one row a key and runs of changes.
+
+    Keys without change skip the window: they are told by an anti-join with the
+    changed keys, which Spark sends to all tasks where these are few. Rows with a
+    NULL key are all kept.
+    """
+    quoted = [f"`{k}`" for k in keys]
+    changed = newer.where(all_set(keys)).select(*quoted).distinct()
+    met = older.join(changed, list(keys), "left_semi").unionByName(newer.where(all_set(keys)))
+    newest = latest_per_key(met, quoted, [F.col(f"`{order}`").desc_nulls_last()])
+    return (
+        older.join(changed, list(keys), "left_anti")
+        .unionByName(newest)
+        .unionByName(newer.where(any_null(keys)))
+    )
+
+
+def _resolved(
+    spark: SparkSession, path: str, base: Version, picks: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Rows of some folders of each bucket, oldest folder first, with the bucket."""
+    first = [f"{path}/data/{some[0]}/{BUCKET}={b}" for b, some in picks.items()]
+    later = [f"{path}/data/{folder}/{BUCKET}={b}" for b, some in picks.items() for folder in some[1:]]
+    older, newer = scan(spark, base.struct_type, first), scan(spark, base.struct_type, later)
+    return newest_rows(older, newer, base.keys, base.order)
+
+
 def read_buckets(
-    spark: SparkSession, path: str, base: Version, buckets: Iterable[str] | None = None
+    spark: SparkSession,
+    path: str,
+    base: Version,
+    buckets: Iterable[str] | None = None,
+    with_bucket: bool = False,
 ) -> DataFrame:
     """Rows of all or some buckets of a version, in the schema of the version.
 
-    Fields a file was written without are NULL.
+    Fields a file was written without are NULL. Only buckets with runs need more
+    than a scan.
     """
-    paths = folder_paths(path, base, buckets)
-    if not paths:
-        return spark.createDataFrame([], base.struct_type)
-    return spark.read.schema(base.struct_type).parquet(*paths)
+    chosen = list(base.folders if buckets is None else buckets)
+    runs = {b: list(base.folders[b]) for b in chosen if base.order and len(base.folders.get(b, {})) > 1}
+    plain = [b for b in chosen if b not in runs]
+    rows = scan(spark, base.struct_type, folder_paths(path, base, plain))
+    if runs:
+        resolved = _resolved(spark, path, base, runs)
+        rows = rows.unionByName(resolved) if plain else resolved
+    return rows if with_bucket else rows.drop(BUCKET)
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -159,6 +215,7 @@ def publish(
     applied: Mapping[str, int] | None = None,
     keys: Sequence[str] = (),
     buckets: int = 1,
+    order: str | None = None,
 ) -> Version:
     """Make a version visible; fails if that number is already taken."""
     sizes = [size for some in folders.values() for size in some.values()]
@@ -174,6 +231,7 @@ def publish(
         numFiles=sum(files for files, _ in sizes),
         sizeInBytes=sum(length for _, length in sizes),
         applied=dict(applied or {}),
+        order=order,
     )
     create_text(spark, version_file(path, version), json.dumps(asdict(new)))
     return new
@@ -186,21 +244,28 @@ def _applied(base: Version | None, source: str | None, batch_id: int | None) ->
     return applied
 
 
+def _joined(folders: Mapping, added: Mapping) -> dict[str, dict[str, Sequence[int]]]:
+    """Folders of each bucket, those added last."""
+    return {b: {**folders.get(b, {}), **added.get(b, {})} for b in {**folders, **added}}
+
+
 def overwrite_table(
     spark: SparkSession,
     path: str,
     df: DataFrame,
     operation: str = "WRITE",
-    metrics: Mapping[str, object] | None = None,
+    metrics: Mapping[str, object] | Callable[[], Mapping[str, object]] | None = None,
     source: str | None = None,
     batch_id: int | None = None,
     keys: Sequence[str] = (),
     buckets: int = 1,
+    order: str | None = None,
 ) -> Version:
     """Replace the whole content; the first version of a new table is 0.
 
-    A batch that was applied before is skipped. Keys and buckets are given when
-    a table is made and stay.
+    A batch that was applied before is skipped. Keys, buckets and the order that
+    tables with runs have are given when a table is made and stay. Metrics may be
+    a function, called once rows are written.
     """
     base = newest_version(spark, path)
     if base is not None and base.has_applied(source, batch_id):
@@ -208,11 +273,13 @@ def overwrite_table(
     if base is None and path_exists(spark, path) and not path_exists(spark, f"{path}/data"):
         raise ValueError(f"{path} exists but is not a versioned table")
     version = base.version + 1 if base else 0
-    keys, buckets = (base.keys, base.buckets) if base else (keys, buckets)
+    keys, buckets, order = (base.keys, base.buckets, base.order) if base else (keys, buckets, order)
     folders = write_buckets(df, path, version, keys, buckets)
     applied = _applied(base, source, batch_id)
+    if callable(metrics):
+        metrics = metrics() if folders else None
     return publish(
-        spark, path, version, operation, df.schema, folders, metrics, applied, keys, buckets
+        spark, path, version, operation, df.schema, folders, metrics, applied, keys, buckets, order
     )
 
 
@@ -238,8 +305,9 @@ def append_table(
     for f in df.schema:
         if schema[f.name].dataType != f.dataType:
             raise ValueError(f"column {f.name!r} has type {schema[f.name].dataType.simpleString()}")
-    added = write_buckets(df, path, base.version + 1, base.keys, base.buckets)
-    folders = {b: {**base.folders.get(b, {}), **added.get(b, {})} for b in {**base.folders, **added}}
+    if base.order:
+        raise ValueError("the table takes changes by key: merge them")
+    folders = _joined(base.folders, write_buckets(df, path, base.version + 1, base.keys, base.buckets))
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, base.version + 1, "APPEND", schema, folders, None, applied,
@@ -296,7 +364,8 @@ def merge_table(
         merged = tidy(merged)
     folders = {b: some for b, some in base.folders.items() if b not in touched}
     if touched:
-        folders.update(write_buckets(merged, path, base.version + 1, keys, base.buckets))
+        # Joined, not replaced: rows without key may have moved to buckets not touched.
+        folders = _joined(folders, write_buckets(merged, path, base.version + 1, keys, base.buckets))
     metrics = {
         "numUpserts": upserts,
         "numDeletes": deletes,
@@ -305,7 +374,87 @@ def merge_table(
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, base.version + 1, "MERGE", merged.schema, folders, metrics, applied,
-        base.keys, base.buckets,
+        base.keys, base.buckets, base.order,
+    )
+
+
+def counted(changes: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The same changes, and what tells (once they are written) how many of each kind they were."""
+    seen = Observation()
+    observed = changes.observe(
+        seen,
+        F.count_if(F.col("op") != "d").alias("numUpserts"),
+        F.count_if(F.col("op") == "d").alias("numDeletes"),
+    )
+    return observed, lambda: dict(seen.get)
+
+
+def runs_to_fold(sizes: Sequence[int]) -> int | None:
+    """From which of a bucket's folders (bytes, oldest first) on all should become one, if any.
+
+    A folder that is no larger than all after it together is folded with them, so
+    sizes fall by half from folder to folder: a bucket has few runs, and a row is
+    rewritten once each time that the rows behind it double.
+    """
+    return next((i for i in range(len(sizes) - 1) if sizes[i] <= sum(sizes[i + 1 :])), None)
+
+
+def merge_runs(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    source: str | None = None,
+    batch_id: int | None = None,
+    tidy=None,
+    most_files: int | None = None,
+) -> Version:
+    """Merge changes into a table that has an order: they are added as a run of each bucket.
+
+    What is written grows with the changes, not with the table; runs are folded by
+    size, see ``runs_to_fold``, and all at once where the table would have more
+    files than ``most_files``. ``changes`` is read once; it holds at most one row
+    per key, its deletes too, and all columns of the table (a batch that lacks some
+    is merged by rewriting its buckets, where rows keep the values they have).
+    ``tidy`` is applied to buckets that are folded whole.
+    """
+    base = require_version(spark, path)
+    if not base.order:
+        raise ValueError(f"{path} has no order of rows")
+    if base.has_applied(source, batch_id):
+        return base
+    changes = changes.filter(F.col("op").isNotNull())
+    if set(base.struct_type.names) - set(changes.columns):
+        return merge_table(
+            spark, path, changes, base.keys, source, batch_id, base.order, unique=True, tidy=tidy
+        )
+    target, changes = same_types(spark.createDataFrame([], base.struct_type), changes)
+    observed, counts = counted(changes.select(*(f"`{c}`" for c in target.columns)))
+    number, schema = base.version + 1, target.schema
+    added = write_buckets(observed, path, number, base.keys, base.buckets)
+    new = replace(base, schema=schema.jsonValue(), folders=_joined(base.folders, added))
+
+    files = sum(files for some in new.folders.values() for files, _ in some.values())
+    every = most_files is not None and files > most_files
+    starts = {
+        b: 0 if every and len(some) > 1 else runs_to_fold([size for _, size in some.values()])
+        for b, some in new.folders.items()
+        if every or b in added
+    }
+    starts = {b: i for b, i in starts.items() if i is not None}
+    folders = dict(new.folders)
+    # Marks that have expired may go only where no older row is left behind.
+    for some, last in (({b: i for b, i in starts.items() if not i}, tidy), ({b: i for b, i in starts.items() if i}, None)):
+        if not some:
+            continue
+        rows = _resolved(spark, path, new, {b: list(folders[b])[i:] for b, i in some.items()}).drop(BUCKET)
+        written = write_buckets(last(rows) if last else rows, path, number, base.keys, base.buckets)
+        left = {b: dict(list(folders[b].items())[: some[b]]) if b in some else all_of for b, all_of in folders.items()}
+        folders = {b: all_of for b, all_of in _joined(left, written).items() if all_of}
+    metrics = {**counts(), "numBucketsRewritten": len(starts)} if added else {"numUpserts": 0, "numDeletes": 0}
+    applied = _applied(base, source, batch_id)
+    return publish(
+        spark, path, number, "MERGE", schema, folders, metrics, applied,
+        base.keys, base.buckets, base.order,
     )
 
 
@@ -316,9 +465,8 @@ def replace_buckets(
 
     Rows stay in their bucket, in the order of their keys.
     """
-    bucket = F.regexp_extract(F.col("_metadata.file_path"), rf"/{BUCKET}=(\d+)/", 1).cast("int")
     counts = F.create_map(*(F.lit(x) for b, n in wanted.items() for x in (int(b), n)))
-    rows = read_buckets(spark, path, base, wanted).withColumn(BUCKET, bucket)
+    rows = read_buckets(spark, path, base, wanted, with_bucket=True)
     hashable = [f.name for f in base.struct_type if not isinstance(f.dataType, T.MapType)]
     by = [f"`{c}`" for c in (base.keys or hashable)]
     slot = F.pmod(F.xxhash64(*(F.col(c) for c in by)), F.element_at(counts, F.col(BUCKET)))
@@ -330,5 +478,5 @@ def replace_buckets(
     folders = {b: some for b, some in base.folders.items() if b not in wanted} | written
     return publish(
         spark, path, base.version + 1, operation, base.struct_type, folders,
-        {"numBucketsRewritten": len(wanted)}, base.applied, base.keys, base.buckets,
+        {"numBucketsRewritten": len(wanted)}, base.applied, base.keys, base.buckets, base.order,
     )

@@ -172,6 +172,7 @@ FROM part""",
     "stream_pipeline_json": _STATE,
     "stream_any_batches": _STATE,
     "stream_old_files": _STATE,
+    "merge_runs_state": _STATE,
     "merge_any_order": _STATE,
     "stream_bootstrap_replay": _STATE,
     "stream_replay_idempotent": _STATE,

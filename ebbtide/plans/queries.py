@@ -504,6 +504,18 @@ def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
+def merge_runs_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the changes at once, then the others bit by bit, each a run of the buckets it touches."""
+    settings = lake(spark, "runs")
+    path = PRODUCTS.path("curated", settings)
+    first, second, *later = batches(_changes(spark, sf_dir))
+    for number, part in enumerate([first.unionByName(second), *later]):
+        for piece in range(1 if number == 0 else 3):
+            bit = part if number == 0 else part.where(F.col("offset") % 3 == piece)
+            apply_changes(bit, path, "changes", 3 * number + piece, settings)
+    return read_curated(spark, path).select(*IMAGE, "op")
+
+
 def merge_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of staged changes applied newest first."""
     settings = lake(spark, "any-order")
@@ -626,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "stream_replay_idempotent": stream_replay_idempotent,
     "stream_any_batches": stream_any_batches,
     "stream_old_files": stream_old_files,
+    "merge_runs_state": merge_runs_state,
     "merge_any_order": merge_any_order,
     "stream_bootstrap_replay": stream_bootstrap_replay,
     "stream_staged_rows": stream_staged_rows,

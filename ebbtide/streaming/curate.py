@@ -22,7 +22,14 @@ from ebbtide.operators.changes import (
     key_fields,
     latest_per_key,
 )
-from ebbtide.operators.tables import merge_table, newest_version, overwrite_table, read_table
+from ebbtide.operators.tables import (
+    counted,
+    merge_runs,
+    merge_table,
+    newest_version,
+    overwrite_table,
+    read_table,
+)
 from ebbtide.operators.upkeep import compact_files, record_history, vacuum, write_manifest
 from ebbtide.sources.storage import delete_path, stored
 from ebbtide.streaming.stage import (
@@ -52,29 +59,30 @@ def apply_changes(
     if base is not None and base.has_applied(source, batch_id):
         return False
     keys = key_fields(batch)
-    control = settings.url(settings.spark_control)
-    work = f"{control}/_work/{source}-{batch_id}"
     now = datetime.now(timezone.utc)
     rows = change_rows(latest_per_key(batch), keep=[F.struct(*ARRIVAL_ORDER).alias(ORDER)])
     mark = F.when(F.col("op") == DELETE, F.lit(now).cast("timestamp"))
-    changes = stored(rows.withColumn(DELETED, mark), "changes", work)
+    changes = rows.withColumn(DELETED, mark)
     expired = now - timedelta(hours=settings.vacuum_retention_hours)
     keep = F.col(DELETED).isNull() | (F.col(DELETED) > F.lit(expired))
-    try:
-        if base is None:
-            counts = changes.groupBy("op").count().collect()
-            upserts = sum(r["count"] for r in counts if r["op"] != DELETE)
-            metrics = {"numUpserts": upserts, "numDeletes": 0}
-            overwrite_table(
-                spark, path, changes, "CREATE", metrics, source, batch_id, keys, settings.buckets
-            )
-        else:
-            merge_table(
-                spark, path, changes, keys, source, batch_id, ORDER,
-                unique=True, tidy=lambda merged: merged.where(keep),
-            )
-    finally:
-        delete_path(spark, work, within=control)
+    if base is None:
+        observed, counts = counted(changes)
+        overwrite_table(
+            spark, path, observed, "CREATE", lambda: {**counts(), "numDeletes": 0}, source, batch_id,
+            keys, settings.buckets, ORDER,
+        )
+    elif base.order:
+        if keys != list(base.keys):
+            raise ValueError(f"the table is dealt by {list(base.keys)}, not by {keys}")
+        merge_runs(
+            spark, path, changes, source, batch_id,
+            tidy=lambda merged: merged.where(keep), most_files=settings.max_num_files_allowed,
+        )
+    else:  # made before tables had an order
+        merge_table(
+            spark, path, stored(changes, "changes"), keys, source, batch_id, ORDER,
+            unique=True, tidy=lambda merged: merged.where(keep),
+        )
     compact_files(spark, path, settings)
     return True
 
