@@ -41,7 +41,7 @@ from ebbtide.llm.vectors import mix, prefix_hash, span_hashes, window_hashes, wo
 
 WIDTH = 13
 #: Bytes of texts in a chunk: at least, and as a multiple of the root of all bytes.
-_CHUNK, _CHUNK_ROOT = 8 << 20, 25
+_CHUNK, _CHUNK_ROOT = 4 << 20, 25
 #: Rows of the sketch, told apart by these; the exact pass is a third kind of message.
 _SEEDS = (0, 0x632BE59BD9B4E019)
 _EXACT = len(_SEEDS)
