@@ -187,7 +187,11 @@ def _raked(alive: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _compressed(alive: DataFrame, round_number: int) -> DataFrame:
-    """Rows of all nodes: a node that leaves its chain has its only child as (child_conv, child_depth)."""
+    """Rows of all nodes, with what a node that leaves its chain hands to its only child.
+
+    Only children are told by counting, before rows move, and meet their parents by
+    their own name, so a node with very many children is one row for each task.
+    """
     goes = (
         (F.col("children") == 1)
         & F.col("up_depth").isNotNull()
@@ -195,9 +199,16 @@ def _compressed(alive: DataFrame, round_number: int) -> DataFrame:
         & ~_mark(F.col("up_conv"), F.col("up_depth"), round_number)
     )
     marked = alive.withColumn("goes", F.coalesce(goes, F.lit(False)))
-    gone = marked.where("goes").select(
-        F.col("conv_id").alias("up_conv"),
-        F.col("depth").alias("up_depth"),
+    only = (
+        alive.where("up_depth IS NOT NULL")
+        .groupBy("up_conv", "up_depth")
+        .agg(F.count("*").alias("n"), F.min("conv_id").alias("child_conv"), F.min("depth").alias("child_depth"))
+        .where("n = 1")
+        .select(F.col("up_conv").alias("conv_id"), F.col("up_depth").alias("depth"), "child_conv", "child_depth")
+    )
+    gone = marked.where("goes").join(only, _NODE).select(
+        F.col("child_conv").alias("conv_id"),
+        F.col("child_depth").alias("depth"),
         F.col("up_conv").alias("new_conv"),
         F.col("up_depth").alias("new_depth"),
         F.expr("leaves + edge_leaves").alias("more_leaves"),
@@ -205,7 +216,7 @@ def _compressed(alive: DataFrame, round_number: int) -> DataFrame:
         F.col("leaves").alias("of_leaves"),
         F.col("saved").alias("of_saved"),
     )
-    return marked.join(gone, ["up_conv", "up_depth"], "left")
+    return marked.join(gone, _NODE, "left")
 
 
 def subtree_totals(nodes: DataFrame) -> DataFrame:
