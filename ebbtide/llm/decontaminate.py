@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ebbtide.sources.storage import stored
 
 WINDOW = 8
+_FORMS = ("form0", "form1", "form2")
 #: Share of an item's windows that a document must have.
 COVERED = 0.5
 #: Units of measure (fixed values), after a number.
@@ -47,14 +48,15 @@ def _with_units(text: Column) -> Column:
     """Numbers, and units after them, as placeholders."""
     text = F.regexp_replace(text, _DIGITS, _NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
-    return F.regexp_replace(text, rf"(?<={_NUMBER} ?)(?i:{units})(?![\p{{L}}\p{{M}}])", _UNIT)
+    # The placeholder comes first in the pattern, so most characters are passed at once.
+    return F.regexp_replace(text, rf"({_NUMBER} ?)(?i:{units})(?![\p{{L}}\p{{M}}])", f"$1{_UNIT}")
 
 
 def canonical(text: Column) -> Column:
     """Tokens with placeholders; token for token the same as ``raw_tokens``."""
     text = F.regexp_replace(text, f"[{_NAME}-{_UNIT}]", " ")
     text = F.regexp_replace(
-        text, r"(?<=[\p{L}\p{M}0-9,;] )\p{Lu}\p{Ll}++(?![\p{L}\p{M}])", _NAME
+        text, r"\p{Lu}(?<=[\p{L}\p{M}0-9,;] .)\p{Ll}++(?![\p{L}\p{M}])", _NAME
     )
     text = _with_units(text)
     return F.regexp_extract_all(F.lower(text), F.lit(rf"[{_NAME}-{_UNIT}]|{_LETTERS}"), F.lit(0))
@@ -77,7 +79,7 @@ def _lowered(spaced: Column) -> Column:
 def _named(spaced: Column) -> Column:
     """Every capitalised token is a name, wherever it stands."""
     return F.regexp_replace(
-        spaced, r"(?<![^ ])\p{Lu}(?=[\p{L}\p{M}]*?\p{Ll})[\p{L}\p{M}]++", _NAME
+        spaced, r"\p{Lu}(?<![^ ].)(?=[\p{L}\p{M}]*?\p{Ll})[\p{L}\p{M}]++", _NAME
     )
 
 
@@ -99,21 +101,34 @@ def _forms(docs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _windows(sizes: list[int]) -> Column:
-    """array<struct<h, at>>: the distinct hashes, in any form, of all windows of these sizes."""
+def _rolled(forms: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns to keep, n and w: hashes of the n windows of a size, form after form.
 
-    def of_size(size: int) -> Column:
-        def at_place(i: Column) -> Column:
-            hashes = (F.xxhash64(F.slice(f, i, size), F.lit(size)) for f in ("form0", "form1", "form2"))
-            return F.transform(
-                F.array_distinct(F.array(*hashes)), lambda h: F.struct(h.alias("h"), i.alias("at"))
-            )
+    Windows of 2, 4, 8 tokens come by doubling, others from two that overlap. Each
+    step is a projection of its own, so no array is made more than once.
+    """
+
+    def joined(rows: DataFrame, by: int, *more: Column) -> DataFrame:
+        # Places without a full window hold anything, and are cut off at the end.
+        return rows.withColumns(
+            {
+                f: F.zip_with(f, F.slice(f, by + 1, F.size(f)), lambda a, b: F.xxhash64(a, b, *more))
+                for f in _FORMS
+            }
+        )
+
+    width, rows = 1, forms.withColumn("n", F.greatest(F.size("form0") - size + 1, F.lit(0)))
+    while width * 2 <= size:
+        rows, width = joined(rows, width), width * 2
+    if width < size:
+        rows = joined(rows, size - width, F.lit(size))
+    return rows.select(*keep, "n", F.concat(*(F.slice(f, 1, F.col("n")) for f in _FORMS)).alias("w"))
 
-        starts = F.sequence(F.lit(1), F.size("form0") - size + 1)
-        none = F.array().cast("array<struct<h:bigint,at:int>>")
-        return F.when(F.size("form0") >= size, F.flatten(F.transform(starts, at_place))).otherwise(none)
 
-    return F.concat(*map(of_size, sizes))
+def _windows(forms: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns to keep, h and at: the hashes, in every form, of each window of a size."""
+    places = _rolled(forms, size, *keep).select(*keep, "n", F.posexplode("w").alias("place", "h"))
+    return places.select(*keep, (F.col("place") % F.col("n") + 1).alias("at"), "h")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -135,25 +150,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         sizes = [window]
     forms = _forms(items, "item_id", "size")
     own = [
-        forms.where(F.col("size") == size).select(
+        _windows(
+            forms.where(F.col("size") == size).withColumn("item_windows", F.size("form0") - size + 1),
+            size,
             "item_id",
-            (F.size("form0") - size + 1).alias("item_windows"),
-            F.explode(_windows([size])).alias("w"),
+            "item_windows",
         )
         for size in sizes
     ]
     needles = stored(
         reduce(DataFrame.unionByName, own)
-        .select("item_id", "item_windows", "w.h", F.col("w.at").alias("item_at"))
+        .withColumnRenamed("at", "item_at")
         .distinct(),
         "leak-needles",
     )
     small = needles.count() * 40 <= _SMALL
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("key"))
+    forms = _forms(keyed, "doc_id", "key")
+    # Items shorter than a window, of each length, take a pass of their own.
     hits = (
-        _forms(keyed, "doc_id", "key")
-        .select("doc_id", "key", F.explode(_windows(sizes)).alias("w"))
-        .select("doc_id", "key", "w.h", "w.at")
+        reduce(DataFrame.unionByName, (_windows(forms, size, "doc_id", "key") for size in sizes))
         .join(F.broadcast(needles) if small else needles, "h")  # larger ones are joined by shuffle
         .select("doc_id", "key", "item_id", "item_windows", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct()
