@@ -101,8 +101,8 @@ def _forms(docs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _rolled(forms: DataFrame, size: int, *keep: str) -> DataFrame:
-    """The columns to keep, n and w: hashes of the n windows of a size, form after form.
+def _windows(forms: DataFrame, size: int, *keep: str) -> DataFrame:
+    """The columns to keep, h and at: the hashes, in every form, of each window of a size.
 
     Windows of 2, 4, 8 tokens come by doubling, others from two that overlap. Each
     step is a projection of its own, so no array is made more than once.
@@ -122,12 +122,10 @@ def _rolled(forms: DataFrame, size: int, *keep: str) -> DataFrame:
         rows, width = joined(rows, width), width * 2
     if width < size:
         rows = joined(rows, size - width, F.lit(size))
-    return rows.select(*keep, "n", F.concat(*(F.slice(f, 1, F.col("n")) for f in _FORMS)).alias("w"))
-
-
-def _windows(forms: DataFrame, size: int, *keep: str) -> DataFrame:
-    """The columns to keep, h and at: the hashes, in every form, of each window of a size."""
-    places = _rolled(forms, size, *keep).select(*keep, "n", F.posexplode("w").alias("place", "h"))
+    # Exploded as an expression: Spark pushes a filter on a column's size down through all steps,
+    # which would make the arrays again for each of them.
+    hashes = F.concat(*(F.slice(f, 1, F.col("n")) for f in _FORMS))
+    places = rows.select(*keep, "n", F.posexplode(hashes).alias("place", "h"))
     return places.select(*keep, (F.col("place") % F.col("n") + 1).alias("at"), "h")
 
 
