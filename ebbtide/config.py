@@ -41,9 +41,10 @@ class Settings:
     max_num_files_allowed: int = 10_000
     target_file_bytes: int = 128 * MIB
 
-    # Buckets of a curated table, fixed when it is made: take about one for each
-    # gigabyte that the table will grow to.
+    # Buckets of a curated table when it is made; it gets more as it grows, so that
+    # each holds about these bytes.
     buckets: int = 8
+    bucket_bytes: int = 1024 * MIB
 
     vacuum_every_versions: int = 25
     vacuum_retention_hours: float = 768

@@ -161,10 +161,11 @@ def decode_json_messages(
 ) -> DataFrame:
     """JSON messages to staged rows; the schema texts stay as columns.
 
-    A field that only some of the schemas have is NULL in the other rows.
+    A field that only some of the schemas have is NULL in the other rows; one whose
+    type differs has the type that holds all its values.
     """
-    key_type = schemas.merge_types([schemas.connect_type(s) for s in key_schemas])
-    value_type = schemas.merge_types([schemas.connect_type(s) for s in value_schemas])
+    key_type = schemas.merge_types([schemas.connect_type(s) for s in key_schemas], widen=True)
+    value_type = schemas.merge_types([schemas.connect_type(s) for s in value_schemas], widen=True)
     decoded = messages.select(
         decode_json(F.col("key"), key_type).alias("_key"),
         decode_json(F.col("value"), value_type).alias("_value"),

@@ -137,8 +137,30 @@ def connect_type(schema: str) -> T.DataType:
     return convert(json.loads(schema))
 
 
-def merge_types(types: list[T.DataType]) -> T.DataType:
-    """One type holding the fields of all; the same field must agree in type."""
+# What each type can be stored as without loss, beside itself; Spark reads Parquet
+# files of the narrower type as the wider one.
+_WIDER = {
+    "tinyint": {"smallint", "int", "bigint", "double"},
+    "smallint": {"int", "bigint", "double"},
+    "int": {"bigint", "double"},
+    "float": {"double"},
+    "date": {"timestamp_ntz"},
+}
+
+
+def holds(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Whether one type holds all values of another."""
+    if isinstance(wide, T.DecimalType) and isinstance(narrow, T.DecimalType):
+        whole = wide.precision - wide.scale >= narrow.precision - narrow.scale
+        return whole and wide.scale >= narrow.scale
+    return wide == narrow or wide.simpleString() in _WIDER.get(narrow.simpleString(), ())
+
+
+def merge_types(types: list[T.DataType], widen: bool = False) -> T.DataType:
+    """One type holding the fields of all; the same field must agree in type.
+
+    With ``widen``, it is enough that one of the types holds all values of the other.
+    """
 
     def merge(left: T.DataType, right: T.DataType) -> T.DataType:
         if isinstance(left, T.StructType) and isinstance(right, T.StructType):
@@ -152,11 +174,10 @@ def merge_types(types: list[T.DataType]) -> T.DataType:
             return T.MapType(
                 merge(left.keyType, right.keyType), merge(left.valueType, right.valueType)
             )
-        if left != right:
-            raise ValueError(
-                f"schemas disagree: {left.simpleString()} and {right.simpleString()}"
-            )
-        return left
+        for wide, narrow in ((left, right), (right, left)):
+            if wide == narrow or widen and holds(wide, narrow):
+                return wide
+        raise ValueError(f"schemas disagree: {left.simpleString()} and {right.simpleString()}")
 
     return reduce(merge, types)
 
@@ -180,4 +201,4 @@ def align(value: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.transform(value, lambda v: align(v, source.elementType, target.elementType))
     if isinstance(target, T.MapType):
         return F.transform_values(value, lambda _, v: align(v, source.valueType, target.valueType))
-    return value
+    return value.cast(target)

@@ -171,44 +171,38 @@ def merge_changes(
     )
 
 
-# What each type can be stored as without loss, beside itself.
-_WIDER = {
-    "tinyint": {"smallint", "int", "bigint", "float", "double"},
-    "smallint": {"int", "bigint", "float", "double"},
-    "int": {"bigint", "double"},
-    "float": {"double"},
-    "date": {"timestamp_ntz"},
-}
-
-
-def same_types(target: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def same_types(
+    target: DataFrame, changes: DataFrame, widen: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Give the target the columns it lacks, and shared columns one type.
 
-    Changes are cast to the type of the target where it holds all their values,
-    and fail otherwise; nested fields are added.
+    Changes are cast to the type of the target where it holds all their values;
+    with ``widen``, the target's columns also take the type of the changes where
+    that one holds all of theirs. Other types fail; nested fields are added.
     """
     have = {f.name: f.dataType for f in target.schema}
     come = {f.name: f.dataType for f in changes.schema}
-    final = {}
-    for name, t in {**come, **have}.items():
-        nested = isinstance(t, (T.StructType, T.ArrayType, T.MapType))
-        final[name] = merge_types([t, come[name]]) if nested and name in come else t
-        if name in come and not nested and come[name] != t:
-            if t.simpleString() not in _WIDER.get(come[name].simpleString(), ()):
-                raise ValueError(
-                    f"column {name!r} is {t.simpleString()} and cannot hold "
-                    f"{come[name].simpleString()}"
-                )
-
-    def change(name: str) -> Column:
-        value = align(F.col(_q(name)), come[name], final[name])
-        return (value if come[name] == final[name] else value.cast(final[name])).alias(name)
-
+    final = {**come, **have}
+    for name in have.keys() & come.keys():
+        try:
+            final[name] = merge_types([have[name], come[name]], widen=True)
+        except ValueError:
+            final[name] = None
+        nested = isinstance(have[name], (T.StructType, T.ArrayType, T.MapType))
+        # Without widening, the changes are cast, or nested fields come to the target.
+        kept = final[name] == have[name] or nested
+        if final[name] is None or not (widen or kept):
+            raise ValueError(
+                f"column {name!r} has type {have[name].simpleString()} and cannot hold "
+                f"{come[name].simpleString()}"
+            )
     widened = [
         *[align(F.col(_q(c)), t, final[c]).alias(c) for c, t in have.items()],
         *[F.lit(None).cast(t).alias(c) for c, t in come.items() if c not in have],
     ]
-    return target.select(*widened), changes.select(*[change(c) for c in come])
+    return target.select(*widened), changes.select(
+        *[align(F.col(_q(c)), t, final[c]).alias(c) for c, t in come.items()]
+    )
 
 
 def _q(name: str) -> str:

@@ -1,7 +1,7 @@
 """Versioned Parquet tables: what one run writes appears as a whole or not at all.
 
-Rows are dealt into a fixed number of buckets by a hash of the table's keys. A
-version is one small file ``_versions/<n>.json`` that names, for each bucket, the
+Rows are dealt into buckets by a hash of the table's keys; a table that grows gets
+more of them, see ``grow_table``. A version is one small file ``_versions/<n>.json`` that names, for each bucket, the
 folders that hold its rows. Data is written first, under a fresh folder, and
 never changed; publishing the version file makes it part of the table. A merge
 reads and rewrites the buckets of the changed keys only, and what a version
@@ -16,6 +16,7 @@ hold newer or older rows of the same keys, and readers see the newest row of eac
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
@@ -57,6 +58,7 @@ class Version:
     sizeInBytes: int
     applied: Mapping[str, int] = field(default_factory=dict)  # stream -> last batch
     order: str | None = None  # column that ranks the rows of a key, for tables with runs
+    first: int | None = None  # buckets when the table was made, if it has grown
 
     @property
     def struct_type(self) -> T.StructType:
@@ -168,16 +170,46 @@ def read_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     return read_buckets(spark, path, base)
 
 
-def bucket_of(columns: Sequence[str], keys: Sequence[str], buckets: int) -> Column:
-    """Bucket of a row: by its keys, or by all columns where a key is NULL."""
+def _level(buckets: int, first: int) -> int:
+    """The last number of buckets, at most this, that is a doubling of the first."""
+    while first * 2 <= buckets:
+        first *= 2
+    return first
+
+
+def split_from(bucket: int, first: int, buckets: int) -> int:
+    """Which of the buckets that there were holds the rows of a later one."""
+    while bucket >= buckets:
+        bucket -= _level(bucket, first)
+    return bucket
+
+
+def bucket_of(
+    columns: Sequence[str], keys: Sequence[str], buckets: int, first: int | None = None
+) -> Column:
+    """Bucket of a row: by its keys, or by all columns where a key is NULL.
+
+    In a table that has grown from ``first`` buckets, those below the number of
+    splits since the last doubling are dealt by twice the modulus of the others
+    (linear hashing).
+    """
     whole = F.xxhash64(*(F.col(f"`{c}`") for c in columns))
     hashed = F.xxhash64(*(F.col(f"`{k}`") for k in keys)) if keys else whole
     chosen = F.when(all_set(keys), hashed).otherwise(whole) if keys else hashed
-    return F.pmod(chosen, F.lit(buckets)).cast("int")
+    level = _level(buckets, first or buckets)
+    low = F.pmod(chosen, F.lit(level))
+    if level < buckets:
+        low = F.when(low < buckets - level, F.pmod(chosen, F.lit(2 * level))).otherwise(low)
+    return low.cast("int")
 
 
 def write_buckets(
-    df: DataFrame, path: str, version: int, keys: Sequence[str], buckets: int
+    df: DataFrame,
+    path: str,
+    version: int,
+    keys: Sequence[str],
+    buckets: int,
+    first: int | None = None,
 ) -> dict[str, dict[str, list[int]]]:
     """Write rows to a fresh folder: bucket -> folder -> [files, bytes].
 
@@ -186,7 +218,7 @@ def write_buckets(
     """
     folder = f"{version:08d}-{uuid.uuid4().hex[:12]}"
     hashable = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
-    dealt = df.withColumn(BUCKET, bucket_of(hashable, keys, buckets))
+    dealt = df.withColumn(BUCKET, bucket_of(hashable, keys, buckets, first))
     if buckets > 1:
         dealt = dealt.hint("rebalance", F.col(BUCKET))
     return _written(dealt, path, folder)
@@ -216,6 +248,7 @@ def publish(
     keys: Sequence[str] = (),
     buckets: int = 1,
     order: str | None = None,
+    first: int | None = None,
 ) -> Version:
     """Make a version visible; fails if that number is already taken."""
     sizes = [size for some in folders.values() for size in some.values()]
@@ -232,6 +265,7 @@ def publish(
         sizeInBytes=sum(length for _, length in sizes),
         applied=dict(applied or {}),
         order=order,
+        first=first,
     )
     create_text(spark, version_file(path, version), json.dumps(asdict(new)))
     return new
@@ -273,13 +307,16 @@ def overwrite_table(
     if base is None and path_exists(spark, path) and not path_exists(spark, f"{path}/data"):
         raise ValueError(f"{path} exists but is not a versioned table")
     version = base.version + 1 if base else 0
-    keys, buckets, order = (base.keys, base.buckets, base.order) if base else (keys, buckets, order)
-    folders = write_buckets(df, path, version, keys, buckets)
+    first = None
+    if base:
+        keys, buckets, order, first = base.keys, base.buckets, base.order, base.first
+    folders = write_buckets(df, path, version, keys, buckets, first)
     applied = _applied(base, source, batch_id)
     if callable(metrics):
         metrics = metrics() if folders else None
     return publish(
-        spark, path, version, operation, df.schema, folders, metrics, applied, keys, buckets, order
+        spark, path, version, operation, df.schema, folders, metrics, applied, keys, buckets, order,
+        first,
     )
 
 
@@ -299,27 +336,32 @@ def append_table(
         return overwrite_table(spark, path, df, "WRITE", None, source, batch_id)
     if base.has_applied(source, batch_id):
         return base
-    schema = spark.createDataFrame([], base.struct_type).unionByName(
-        df.limit(0), allowMissingColumns=True
-    ).schema
-    for f in df.schema:
-        if schema[f.name].dataType != f.dataType:
-            raise ValueError(f"column {f.name!r} has type {schema[f.name].dataType.simpleString()}")
+    schema = same_types(spark.createDataFrame([], base.struct_type), df, widen=True)[0].schema
+    require_key_types(base, schema)
     if base.order:
         raise ValueError("the table takes changes by key: merge them")
-    folders = _joined(base.folders, write_buckets(df, path, base.version + 1, base.keys, base.buckets))
+    folders = _joined(base.folders, write_buckets(df, path, base.version + 1, base.keys, base.buckets, base.first))
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, base.version + 1, "APPEND", schema, folders, None, applied,
-        base.keys, base.buckets,
+        base.keys, base.buckets, first=base.first,
     )
 
 
-def change_stats(changes: DataFrame, keys: Sequence[str], buckets: int, unique: bool):
+def require_key_types(base: Version, schema: T.StructType) -> None:
+    """Rows are dealt by the hash of their keys, which depends on the keys' types."""
+    for key in base.keys:
+        if schema[key].dataType != base.struct_type[key].dataType:
+            raise ValueError(f"key column {key!r} cannot hold {schema[key].dataType.simpleString()}")
+
+
+def change_stats(
+    changes: DataFrame, keys: Sequence[str], buckets: int, unique: bool, first: int | None = None
+):
     """(most rows per key, upserts, deletes, buckets touched) of a set of changes."""
     hashable = [f.name for f in changes.schema if not isinstance(f.dataType, T.MapType)]
     by_bucket = (
-        changes.groupBy(bucket_of(hashable, keys, buckets).cast("string").alias("bucket"))
+        changes.groupBy(bucket_of(hashable, keys, buckets, first).cast("string").alias("bucket"))
         .agg(F.count_if(F.col("op") != "d").alias("upserts"), F.count_if(F.col("op") == "d").alias("deletes"))
         .collect()  # one row for each bucket
     )
@@ -355,17 +397,20 @@ def merge_table(
     if list(keys) != list(base.keys):
         raise ValueError(f"the table is dealt by {list(base.keys)}, not by {list(keys)}")
     changes = changes.filter(F.col("op").isNotNull())
-    most, upserts, deletes, touched = change_stats(changes, keys, base.buckets, unique)
+    # One type for all columns now: a change is dealt by the hash of its key in the table's type.
+    empty, changes = same_types(spark.createDataFrame([], base.struct_type), changes, widen=True)
+    require_key_types(base, empty.schema)
+    most, upserts, deletes, touched = change_stats(changes, keys, base.buckets, unique, base.first)
     if most > 1:
         raise ValueError("several changes for one key: take the latest per key first")
-    target = read_buckets(spark, path, base, touched)
+    target, changes = same_types(read_buckets(spark, path, base, touched), changes, widen=True)
     merged = merge_changes(target, changes, keys, order=order)
     if tidy:
         merged = tidy(merged)
     folders = {b: some for b, some in base.folders.items() if b not in touched}
     if touched:
         # Joined, not replaced: rows without key may have moved to buckets not touched.
-        folders = _joined(folders, write_buckets(merged, path, base.version + 1, keys, base.buckets))
+        folders = _joined(folders, write_buckets(merged, path, base.version + 1, keys, base.buckets, base.first))
     metrics = {
         "numUpserts": upserts,
         "numDeletes": deletes,
@@ -374,7 +419,7 @@ def merge_table(
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, base.version + 1, "MERGE", merged.schema, folders, metrics, applied,
-        base.keys, base.buckets, base.order,
+        base.keys, base.buckets, base.order, base.first,
     )
 
 
@@ -427,10 +472,11 @@ def merge_runs(
         return merge_table(
             spark, path, changes, base.keys, source, batch_id, base.order, unique=True, tidy=tidy
         )
-    target, changes = same_types(spark.createDataFrame([], base.struct_type), changes)
+    target, changes = same_types(spark.createDataFrame([], base.struct_type), changes, widen=True)
+    require_key_types(base, target.schema)
     observed, counts = counted(changes.select(*(f"`{c}`" for c in target.columns)))
     number, schema = base.version + 1, target.schema
-    added = write_buckets(observed, path, number, base.keys, base.buckets)
+    added = write_buckets(observed, path, number, base.keys, base.buckets, base.first)
     new = replace(base, schema=schema.jsonValue(), folders=_joined(base.folders, added))
 
     files = sum(files for some in new.folders.values() for files, _ in some.values())
@@ -447,14 +493,14 @@ def merge_runs(
         if not some:
             continue
         rows = _resolved(spark, path, new, {b: list(folders[b])[i:] for b, i in some.items()}).drop(BUCKET)
-        written = write_buckets(last(rows) if last else rows, path, number, base.keys, base.buckets)
+        written = write_buckets(last(rows) if last else rows, path, number, base.keys, base.buckets, base.first)
         left = {b: dict(list(folders[b].items())[: some[b]]) if b in some else all_of for b, all_of in folders.items()}
         folders = {b: all_of for b, all_of in _joined(left, written).items() if all_of}
     metrics = {**counts(), "numBucketsRewritten": len(starts)} if added else {"numUpserts": 0, "numDeletes": 0}
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, number, "MERGE", schema, folders, metrics, applied,
-        base.keys, base.buckets, base.order,
+        base.keys, base.buckets, base.order, base.first,
     )
 
 
@@ -479,4 +525,29 @@ def replace_buckets(
     return publish(
         spark, path, base.version + 1, operation, base.struct_type, folders,
         {"numBucketsRewritten": len(wanted)}, base.applied, base.keys, base.buckets, base.order,
+        base.first,
+    )
+
+
+def grow_table(spark: SparkSession, path: str, bucket_bytes: int) -> Version:
+    """As many buckets as the table's bytes ask for, each of about this size; never fewer than it has.
+
+    Buckets are split one after the other, from the first on, so that the number
+    needs no doubling, and only those that split are read and rewritten. Older
+    versions keep the buckets they were written with.
+    """
+    base = require_version(spark, path)
+    wanted = math.ceil(base.sizeInBytes / bucket_bytes)
+    if wanted <= base.buckets:
+        return base
+    first = base.first or base.buckets
+    split = {str(split_from(b, first, base.buckets)) for b in range(base.buckets, wanted)}
+    rows = read_buckets(spark, path, base, sorted(split))
+    written = write_buckets(rows, path, base.version + 1, base.keys, wanted, first)
+    # Joined: rows without key are dealt by all columns, which may be more than there were.
+    folders = _joined({b: some for b, some in base.folders.items() if b not in split}, written)
+    metrics = {"numBucketsRewritten": len(split), "numBuckets": wanted}
+    return publish(
+        spark, path, base.version + 1, "SPLIT", base.struct_type, folders, metrics, base.applied,
+        base.keys, wanted, base.order, first,
     )

@@ -59,6 +59,12 @@ SELECT {_pick("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 FROM orders t FULL OUTER JOIN ol c ON t.o_orderkey = c.o_orderkey
 WHERE c.op IS NULL OR c.op <> 'd'"""
 
+_LANDED = f"""
+WITH {_CL}
+SELECT 'dbserver1.inventory.products' AS topic, CAST(id % 4 AS INTEGER) AS partition,
+       event_id AS offset_no, ts AS captured_at, id, op
+FROM cl"""
+
 _FLAT = f"""
 WITH {_CL}
 SELECT event_id AS offset_no, id AS key_id, op,
@@ -156,6 +162,19 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
        CAST(NULL AS VARCHAR) AS op FROM orders
 UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, op FROM ol""",
+    "table_grown_buckets": _MERGED_ORDERS,
+    "merge_widened": _MERGED_ORDERS,
+    "version_changes": f"""
+WITH new AS ({_MERGED_ORDERS}),
+old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               CAST(NULL AS VARCHAR) AS op FROM orders),
+gone AS (SELECT * FROM old EXCEPT SELECT * FROM new),
+come AS (SELECT * FROM new EXCEPT SELECT * FROM old)
+SELECT coalesce(gone.o_orderkey, come.o_orderkey) AS o_orderkey,
+       CASE WHEN gone.o_orderkey IS NULL THEN 'insert' WHEN come.o_orderkey IS NULL THEN 'delete'
+            ELSE 'update' END AS change,
+       gone.o_totalprice AS price_before, come.o_totalprice AS price_after, come.op
+FROM gone FULL OUTER JOIN come ON gone.o_orderkey = come.o_orderkey""",
     "table_time_travel": "SELECT * FROM orders",
     "append_replay": "SELECT * FROM orders",
     "compact_rows": "SELECT * FROM part",
@@ -177,11 +196,8 @@ FROM part""",
     "stream_bootstrap_replay": _STATE,
     "stream_replay_idempotent": _STATE,
     "stream_staged_rows": _FLAT,
-    "raw_landing": f"""
-WITH {_CL}
-SELECT 'dbserver1.inventory.products' AS topic, CAST(id % 4 AS INTEGER) AS partition,
-       event_id AS offset_no, ts AS captured_at, id, op
-FROM cl""",
+    "raw_landing": _LANDED,
+    "raw_landing_resent": _LANDED,
     "pipeline_history": f"""
 WITH {_CL},
 span AS (SELECT min(event_id) AS low, max(event_id) + 1 - min(event_id) AS width FROM events),

@@ -23,6 +23,7 @@ from ebbtide.operators.changes import (
 )
 from ebbtide.operators.tables import (
     append_table,
+    grow_table,
     merge_table,
     newest_version,
     overwrite_table,
@@ -35,6 +36,7 @@ from ebbtide.operators.upkeep import (
     vacuum,
     write_manifest,
 )
+from ebbtide.operators.versions import version_changes as changes_between
 from ebbtide.plans.change_logs import (
     AVRO_SCHEMAS,
     CONNECT_KEY,
@@ -49,7 +51,7 @@ from ebbtide.plans.change_logs import (
     protobuf_schemas,
 )
 from ebbtide.plans.pipeline import run_table, run_tables
-from ebbtide.sources.capture import captured_messages
+from ebbtide.sources.capture import captured_messages, without_resent
 from ebbtide.sources.layers import (
     read_layer,
     read_layer_evolving,
@@ -333,6 +335,42 @@ def table_merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
 
 
+def table_grown_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into a table that was given more buckets, and one after it got yet more."""
+    path = _orders_table(spark, sf_dir, "grown")
+    changes = stored(_order_changes(spark, sf_dir), "changes")
+    for half in range(2):
+        size = newest_version(spark, path).sizeInBytes
+        grow_table(spark, path, -(-size // (DEFAULT.buckets + 3 + 7 * half)))
+        merge_table(spark, path, changes.where(F.col("o_orderkey") % 2 == half), ["o_orderkey"])
+    return read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
+
+
+def merge_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes whose column has a wider type than the table's."""
+    path = TableRef("shop", "public", "orders").path("curated", lake(spark, "widened"))
+    orders = table(spark, sf_dir, "orders").withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    overwrite_table(spark, path, orders, "CREATE", keys=["o_orderkey"], buckets=DEFAULT.buckets)
+    merge_table(spark, path, stored(_order_changes(spark, sf_dir), "changes"), ["o_orderkey"])
+    return read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
+
+
+def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a merge made differ, found from the folders of two versions with a split between."""
+    path = _orders_table(spark, sf_dir, "version-changes")
+    merge_table(spark, path, stored(_order_changes(spark, sf_dir), "changes"), ["o_orderkey"])
+    size = newest_version(spark, path).sizeInBytes
+    new = grow_table(spark, path, -(-size // (DEFAULT.buckets + 1))).version
+    found = changes_between(spark, path, 0, new)
+    return found.select(
+        F.coalesce("before.o_orderkey", "after.o_orderkey").alias("o_orderkey"),
+        "change",
+        F.col("before.o_totalprice").alias("price_before"),
+        F.col("after.o_totalprice").alias("price_after"),
+        F.col("after.op").alias("op"),
+    )
+
+
 def table_append_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appended rows with other columns than the table."""
     path = _orders_table(spark, sf_dir, "append")
@@ -553,6 +591,10 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, stream = _capture(spark, settings)
     json_messages(_changes(spark, sf_dir)).write.parquet(folder)
     land_messages(stream(PRODUCTS), "raw", PRODUCTS, settings)
+    return _landed(spark, settings)
+
+
+def _landed(spark: SparkSession, settings: Settings) -> DataFrame:
     return read_layer(spark, "raw", PRODUCTS, settings=settings).select(
         "topic",
         "partition",
@@ -563,6 +605,18 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_landing_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages captured a second time, some of them in the same run: raw has each once."""
+    settings = lake(spark, "raw-resent")
+    folder, stream = _capture(spark, settings)
+    changes = _changes(spark, sf_dir)
+    again = json_messages(changes.where(F.col("offset") % 3 == 0))
+    for some in (json_messages(changes).unionByName(again), json_messages(changes)):
+        some.write.mode("append").parquet(folder)
+        land_messages(without_resent(stream(PRODUCTS)), "raw", PRODUCTS, settings)
+    return _landed(spark, settings)
+
+
 def pipeline_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History of a table that took the changes in four runs."""
     settings = run_products(spark, sf_dir, "history", "json", rounds=CHANGE_BATCHES)
@@ -626,6 +680,9 @@ QUERIES: dict[str, Query] = {
     "append_evolution": append_evolution,
     "record_ingest": record_ingest,
     "table_merge_orders": table_merge_orders,
+    "table_grown_buckets": table_grown_buckets,
+    "merge_widened": merge_widened,
+    "version_changes": version_changes,
     "table_append_orders": table_append_orders,
     "table_time_travel": table_time_travel,
     "append_replay": append_replay,
@@ -643,6 +700,7 @@ QUERIES: dict[str, Query] = {
     "stream_bootstrap_replay": stream_bootstrap_replay,
     "stream_staged_rows": stream_staged_rows,
     "raw_landing": raw_landing,
+    "raw_landing_resent": raw_landing_resent,
     "pipeline_history": pipeline_history,
     "multi_table_pipeline": multi_table_pipeline,
 }

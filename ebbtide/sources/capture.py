@@ -68,6 +68,20 @@ def captured_messages(
     return stream if topic is None else stream.filter(F.col("topic") == topic)
 
 
+def without_resent(messages: DataFrame, within: str = "7 days") -> DataFrame:
+    """A stream without messages that came before: of equal topic, partition and offset, the first.
+
+    What has come is remembered in the stream's state for a time after its
+    arrival. The watermark is on the arrival, not on the messages' timestamps, so
+    no message is ever late and dropped for that.
+    """
+    arrived = messages.withColumn("_arrived", F.current_timestamp())
+    once = arrived.withWatermark("_arrived", within).dropDuplicatesWithinWatermark(
+        ["topic", "partition", "offset"]
+    )
+    return once.drop("_arrived")
+
+
 def tail(messages: DataFrame, rows: int = 20):
     """Print the first rows of each available micro-batch of a stream to the console and stop."""
     query = (

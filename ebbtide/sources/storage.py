@@ -74,6 +74,30 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
         fs.delete(draft, False)
 
 
+def replace_file(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file over another in one step: a reader sees the old or the new one.
+
+    Files of mounted folders are moved by the operating system: Hadoop's local file
+    system deletes the old one first.
+    """
+    jvm, new_array = spark._jvm, spark.sparkContext._gateway.new_array
+    fs, source = _open_fs(spark, path)
+    source, destination = fs.makeQualified(source), fs.makeQualified(jvm.org.apache.hadoop.fs.Path(target))
+    fs.mkdirs(destination.getParent())
+    if fs.getUri().getScheme() == "file":
+        how = new_array(jvm.java.nio.file.CopyOption, 1)
+        how[0] = jvm.java.nio.file.StandardCopyOption.ATOMIC_MOVE
+        files = [jvm.java.io.File(p.toUri().getPath()).toPath() for p in (source, destination)]
+        jvm.java.nio.file.Files.move(*files, how)
+        return
+    how = new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    how[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        source.toUri(), spark._jsc.hadoopConfiguration()
+    )
+    context.rename(source, destination, how)
+
+
 def move_path(spark: SparkSession, path: str, target: str) -> None:
     """Rename a folder to a path that is free; its parents are made."""
     fs, source = _open_fs(spark, path)

@@ -24,6 +24,7 @@ from ebbtide.operators.changes import (
 )
 from ebbtide.operators.tables import (
     counted,
+    grow_table,
     merge_runs,
     merge_table,
     newest_version,
@@ -83,6 +84,7 @@ def apply_changes(
             spark, path, stored(changes, "changes"), keys, source, batch_id, ORDER,
             unique=True, tidy=lambda merged: merged.where(keep),
         )
+    grow_table(spark, path, settings.bucket_bytes)
     compact_files(spark, path, settings)
     return True
 

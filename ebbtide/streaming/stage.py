@@ -179,7 +179,7 @@ def raw_to_staged(
             rows.write.mode("overwrite").parquet(f"{path}/{stream}-{batch_id}")
         schema = last.schema if last else None
         if count:
-            schema = merge_types([schema, rows.schema]) if schema else rows.schema
+            schema = merge_types([schema, rows.schema], widen=True) if schema else rows.schema
         if schema is None:
             return
         commit = StagedCommit(

@@ -1,0 +1,312 @@
+"""Tables over time: more buckets, wider types, changes between versions, manifests, re-sent messages."""
+
+import random
+import threading
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from ebbtide.operators.changes import merge_changes
+from ebbtide.operators.tables import (
+    append_table,
+    bucket_of,
+    grow_table,
+    load_version,
+    merge_runs,
+    merge_table,
+    newest_version,
+    overwrite_table,
+    read_buckets,
+    read_table,
+    split_from,
+)
+from ebbtide.operators.upkeep import write_manifest
+from ebbtide.operators.versions import version_changes
+from ebbtide.sources.capture import without_resent
+from ebbtide.sources.layers import read_layer
+from ebbtide.sources.storage import list_names, path_exists, read_text, stored
+from ebbtide.streaming.curate import apply_changes, read_curated
+from ebbtide.streaming.land import land_messages
+from tests.helpers import REF, messages, new_lake, new_path, rows, staged
+
+CHANGE = "id int, name string, at int, op string"
+
+
+def keyed(spark, data, shape=CHANGE):
+    return spark.createDataFrame(data, shape)
+
+
+@pytest.mark.parametrize("first", [1, 3, 8])
+def test_splits_move_rows_only_to_new_buckets(spark, first):
+    """Linear hashing: a row stays or goes to a bucket that its own was split into."""
+    for buckets in range(first, 4 * first + 2):
+        for more in (buckets + 1, buckets + 5):
+            dealt = spark.range(300).select(
+                bucket_of(["id"], ["id"], buckets, first).alias("old"),
+                bucket_of(["id"], ["id"], more, first).alias("new"),
+            )
+            for r in dealt.distinct().collect() if buckets % 3 == 0 or more == 4 * first else []:
+                assert 0 <= r.new < more
+                assert r.new == r.old or r.new >= buckets and split_from(r.new, first, buckets) == r.old
+
+
+@pytest.mark.parametrize("order", [None, "at"])
+def test_grown_table_keeps_rows(spark, order):
+    path = new_path(spark)
+    many = [(i, f"n{i}", 1, "c") for i in range(400)] + [(None, f"x{i}", 1, "c") for i in range(20)]
+    overwrite_table(spark, path, keyed(spark, many), keys=["id"], buckets=2, order=order)
+    merge = merge_runs if order else lambda s, p, c: merge_table(s, p, stored(c, "changes"), ["id"])
+    merge(spark, path, keyed(spark, [(5, "five", 2, "u"), (500, "new", 2, "c"), (7, "", 2, "d")]))
+    before = rows(read_table(spark, path).where("op != 'd'"))
+    size = newest_version(spark, path).sizeInBytes
+    for wanted in (3, 5, 9):
+        size = newest_version(spark, path).sizeInBytes
+        grown = grow_table(spark, path, -(-size // wanted))
+        assert grown.buckets >= 3 and grown.first == 2 and grown.operation == "SPLIT"
+        assert rows(read_table(spark, path).where("op != 'd'")) == before
+        dealt = read_buckets(spark, path, grown, with_bucket=True).where("id IS NOT NULL")
+        assert dealt.where(F.col("_b") != bucket_of(["id"], ["id"], grown.buckets, 2)).count() == 0
+    assert grow_table(spark, path, size * 2).version == grown.version
+    assert rows(read_table(spark, path, 0)) == rows(keyed(spark, many))
+    merge(spark, path, keyed(spark, [(5, "FIVE", 3, "u"), (500, "", 3, "d"), (600, "six", 3, "c")]))
+    got = {r.id: r.name for r in read_table(spark, path).where("op != 'd' AND id IS NOT NULL").collect()}
+    assert got[5] == "FIVE" and got[600] == "six" and 500 not in got and 7 not in got
+    assert len(got) == 400
+    assert newest_version(spark, path).first == 2
+
+
+def test_splits_rewrite_only_what_splits(spark):
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.range(1000), keys=["id"], buckets=4)
+    old = newest_version(spark, path)
+    new = grow_table(spark, path, old.sizeInBytes // 5 + 1)
+    assert new.buckets == 5 and {b for b in old.folders if old.folders[b] != new.folders[b]} == {"0"}
+    assert new.operationMetrics["numBucketsRewritten"] == "1"
+
+
+def test_curated_tables_grow(spark):
+    """Batches of changes with buckets of a few bytes: the state is that of one batch."""
+    log = [(i % 40, "u" if i % 7 else "d", f"n{i}", i, i) for i in range(200)]
+    path, lake = new_path(spark), new_lake(spark, buckets=1, bucket_bytes=2500)
+    for number in range(4):
+        apply_changes(staged(spark, log[number::4]), path, "s", number, lake)
+    assert newest_version(spark, path).buckets > 1
+    one = new_path(spark)
+    apply_changes(staged(spark, log), one, "s", 0, new_lake(spark))
+    assert rows(read_curated(spark, path)) == rows(read_curated(spark, one))
+
+
+WIDENED = [
+    ("tinyint", 5, "int", 70_000),
+    ("smallint", 5, "bigint", 2**40),
+    ("int", 5, "bigint", 2**40),
+    ("int", 5, "double", 0.5),
+    ("float", 0.5, "double", 1e300),
+    ("decimal(6,2)", Decimal("5.25"), "decimal(12,2)", Decimal("1234567890.25")),
+    ("decimal(6,2)", Decimal("5.25"), "decimal(30,4)", Decimal("12345678901234567890.2525")),
+    ("date", date(2024, 1, 2), "timestamp_ntz", None),
+]
+
+
+@pytest.mark.parametrize("narrow, low, wide, high", WIDENED)
+@pytest.mark.parametrize("runs", [True, False])
+def test_merge_widened(spark, narrow, low, wide, high, runs):
+    """Rows written narrow are read wide; older versions keep their type."""
+    path = new_path(spark)
+    base = keyed(spark, [(1, low, 1, "c"), (2, low, 1, "c"), (3, None, 1, "c")], f"id int, v {narrow}, at int, op string")
+    overwrite_table(spark, path, base, keys=["id"], buckets=2, order="at" if runs else None)
+    changes = keyed(spark, [(1, high, 2, "u"), (4, high, 2, "c")], f"id int, v {wide}, at int, op string")
+    if runs:
+        merge_runs(spark, path, changes)
+    else:
+        merge_table(spark, path, stored(changes, "changes"), ["id"])
+    table = read_table(spark, path)
+    assert table.schema["v"].dataType == changes.schema["v"].dataType
+    as_wide = base.where("id = 2").select(F.col("v").cast(wide)).first()[0]
+    assert {r.id: r.v for r in table.collect()} == {1: high, 2: as_wide, 3: None, 4: high}
+    assert read_table(spark, path, 0).schema["v"].dataType == base.schema["v"].dataType
+    # A narrow batch afterwards is cast; the type stays.
+    again = keyed(spark, [(2, low, 3, "u")], f"id int, v {narrow}, at int, op string")
+    merge_runs(spark, path, again) if runs else merge_table(spark, path, stored(again, "changes"), ["id"])
+    assert {r.id: r.v for r in read_table(spark, path).collect()}[2] == as_wide
+
+
+@pytest.mark.parametrize("have, come", [("bigint", "double"), ("string", "int"), ("decimal(6,2)", "decimal(6,3)"), ("int", "float")])
+def test_lossy_types_are_refused(spark, have, come):
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.createDataFrame([], f"id int, v {have}, at int, op string"), keys=["id"], order="at")
+    changes = spark.createDataFrame([], f"id int, v {come}, at int, op string")
+    with pytest.raises(ValueError, match="cannot hold"):
+        merge_runs(spark, path, changes)
+
+
+def test_keys_keep_their_type(spark):
+    path = new_path(spark)
+    overwrite_table(spark, path, keyed(spark, [(1, "a", 1, "c")]), keys=["id"], order="at")
+    wide = keyed(spark, [(1, "b", 2, "u")]).withColumn("id", F.col("id").cast("bigint"))
+    with pytest.raises(ValueError, match="key column 'id'"):
+        merge_runs(spark, path, wide)
+    # A narrower key finds its rows.
+    other = new_path(spark)
+    overwrite_table(spark, other, spark.range(50).withColumn("op", F.lit("c")), keys=["id"], buckets=4)
+    narrow = spark.range(50).select(F.col("id").cast("int"), F.lit("d").alias("op"))
+    merge_table(spark, other, stored(narrow, "changes"), ["id"])
+    assert read_table(spark, other).count() == 0
+
+
+def test_append_widens(spark):
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.createDataFrame([(1,)], "v int"))
+    append_table(spark, path, spark.createDataFrame([(2**40,)], "v bigint"))
+    append_table(spark, path, spark.createDataFrame([(3,)], "v int"))
+    assert rows(read_table(spark, path)) == [(1,), (1099511627776,), (3,)]
+    with pytest.raises(ValueError):
+        append_table(spark, path, spark.createDataFrame([("x",)], "v string"))
+
+
+def test_json_fields_widen(spark):
+    """A field that goes from int32 to int64, in one batch or between two."""
+    from ebbtide.functions.envelopes import decode_json_messages
+
+    texts = ['{"type":"struct","fields":[{"field":"id","type":"%s"}]}' % t for t in ("int32", "int64")]
+    some = messages(spark, [
+        (b'{"schema":%s,"payload":{"id":1}}' % t.encode(), b'{"schema":%s,"payload":{"id":%d}}' % (t.encode(), v), i)
+        for i, (t, v) in enumerate(zip(texts, (5, 2**40)))
+    ])
+    decoded = decode_json_messages(some, texts, texts)
+    assert sorted(r.value.id for r in decoded.collect()) == [5, 2**40]
+
+
+def test_merge_of_frames_does_not_widen(spark):
+    target = spark.createDataFrame([], "id int, v int")
+    with pytest.raises(ValueError, match="cannot hold"):
+        merge_changes(target, spark.createDataFrame([], "id int, v bigint, op string"), ["id"])
+
+
+def found(changes):
+    return sorted(
+        ((r.change, r.before and tuple(r.before), r.after and tuple(r.after)) for r in changes.collect()), key=repr
+    )
+
+
+@pytest.mark.parametrize("order", [None, "at"])
+def test_version_changes(spark, order):
+    """Against a comparison of whole versions, over random merges, splits and NULL keys."""
+    rng, path = random.Random(3), new_path(spark)
+    start = [(i, f"n{i}", 0, "c") for i in range(60)] + [(None, "x", 0, "c")] * 2
+    overwrite_table(spark, path, keyed(spark, start), keys=["id"], buckets=3, order=order)
+    for at in range(1, 4):
+        some = [(i, rng.choice(["a", "b"]), at, rng.choice("uud" if order is None else "uu")) for i in rng.sample(range(80), 6)]
+        some += [(None, "x", at, "c")]
+        if order:
+            merge_runs(spark, path, keyed(spark, some))
+        else:
+            merge_table(spark, path, stored(keyed(spark, some), "changes"), ["id"])
+        if at == 2:
+            grow_table(spark, path, newest_version(spark, path).sizeInBytes // 5)
+    last = newest_version(spark, path).version
+    for old, new in [(0, last), (last, 0), (1, 2), (2, 2), (0, 1)]:
+        a, b = ([tuple(r) for r in read_table(spark, path, v).collect()] for v in (old, new))
+        left, right = ({r[0]: r for r in side if r[0] is not None} for side in (a, b))
+        expected = []
+        for key in left.keys() | right.keys():
+            x, y = left.get(key), right.get(key)
+            if x != y:
+                expected.append(("insert" if x is None else "delete" if y is None else "update", x, y))
+        for row in {r for r in a + b if r[0] is None}:
+            n = b.count(row) - a.count(row)
+            expected += [("insert", None, row)] * n + [("delete", row, None)] * -n
+        assert found(version_changes(spark, path, old, new)) == sorted(expected, key=repr)
+
+
+def test_version_changes_read_only_what_differs(spark):
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.range(200).withColumn("op", F.lit("c")), keys=["id"], buckets=4)
+    change = stored(keyed(spark, [(5, "u")], "id bigint, op string"), "changes")
+    merge_table(spark, path, change, ["id"])
+    changes = version_changes(spark, path, 0, 1)
+    assert found(changes) == [("update", (5, "c"), (5, "u"))]
+    assert len({f.rsplit("/", 2)[1] for f in changes.inputFiles()}) == 1
+    assert version_changes(spark, path, 1, 1).count() == 0
+
+
+def test_version_changes_evolved(spark):
+    """New columns are NULL before; maps are compared; tables without keys insert and delete."""
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (2, None)], "v int, m map<string,int>"))
+    append_table(spark, path, spark.createDataFrame([(1, {"a": 1}, "t")], "v int, m map<string,int>, t string"))
+    assert [(r.change, r.after.v, r.after.t) for r in version_changes(spark, path, 0, 1).collect()] == [("insert", 1, "t")]
+    back = version_changes(spark, path, 1, 0).collect()
+    assert [(r.change, r.before.t, r.after) for r in back] == [("delete", "t", None)]
+
+
+def test_version_changes_of_live_rows(spark):
+    path = new_path(spark)
+    overwrite_table(spark, path, keyed(spark, [(1, "a", 1, "c"), (2, "b", 1, "c")]), keys=["id"], order="at")
+    merge_runs(spark, path, keyed(spark, [(1, "a", 2, "d"), (3, "c", 2, "d")]))
+    live = version_changes(spark, path, 0, 1, live=F.col("op") != "d")
+    assert found(live) == [("delete", (1, "a", 1, "c"), None)]
+
+
+def test_manifest_is_replaced_at_once(spark):
+    """A reader beside the writer finds the names of one version, each once."""
+    path = new_path(spark)
+    overwrite_table(spark, path, spark.range(100), keys=["id"], buckets=2)
+    manifest = write_manifest(spark, path)
+    allowed, seen, stop = [set(read_text(spark, f"{manifest}/part-00000.txt").split())], [], threading.Event()
+    local = f"{manifest}/part-00000.txt".removeprefix("file:")
+
+    def read():
+        while not stop.is_set():
+            try:
+                with open(local) as lines:
+                    seen.append(lines.read().split())
+            except FileNotFoundError:
+                seen.append(["none"])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in range(3):
+            overwrite_table(spark, path, spark.range(100 + n))
+            write_manifest(spark, path)
+            allowed.append(set(read_text(spark, f"{manifest}/part-00000.txt").split()))
+    finally:
+        stop.set()
+        reader.join()
+    assert seen and all(len(names) == len(set(names)) and set(names) in allowed for names in seen)
+    assert list_names(spark, manifest, r"part-[^/,}]*\.txt") == ["part-00000.txt"]
+    assert not list_names(spark, path, r"_manifest-[^/,}]*")
+    overwrite_table(spark, path, spark.range(0))
+    assert path_exists(spark, write_manifest(spark, path))
+
+
+def test_resent_messages(spark):
+    """Messages that come again, in the same batch or a later run, are landed once; older ones are not dropped."""
+    lake, folder = new_lake(spark), new_path(spark)
+    rounds = [[(b"k", b"a", 9), (b"k", b"a", 9)], [(b"k", b"a", 9), (b"k", b"b", 10)], [(b"k", b"old", 3)]]
+    for part in rounds:
+        some = messages(spark, part)
+        if part[0][2] == 3:  # captured long before the others
+            some = some.withColumn("timestamp", F.lit("2001-01-01").cast("timestamp"))
+        some.write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(some.schema).parquet(folder)
+        land_messages(without_resent(stream), "raw", REF, lake)
+    landed = read_layer(spark, "raw", REF, settings=lake)
+    assert sorted(r.offset for r in landed.collect()) == [3, 9, 10]
+
+
+def test_resent_state_is_dropped(spark):
+    folder, check = new_path(spark), new_path(spark)
+    for offset in range(3):
+        messages(spark, [(b"k", b"v", offset)]).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(messages(spark, []).schema).parquet(folder)
+        query = (
+            without_resent(stream, "0 seconds")
+            .writeStream.format("noop").trigger(availableNow=True).option("checkpointLocation", check).start()
+        )
+        query.awaitTermination()
+        held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert held <= 1
