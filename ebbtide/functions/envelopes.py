@@ -140,11 +140,28 @@ def decode_frames(
     )
 
 
+#: How a message begins whose schema can be cut out, and what follows the schema.
+_SCHEMA, _PAYLOAD = '{"schema":', ',"payload":'
+
+
 def json_schema_text(message: Column) -> Column:
     """Schema text of a self-describing JSON message."""
     return decode_json(message)["schema"]
 
 
+def json_schema_cut(message: Column) -> Column:
+    """Schema text of a self-describing JSON message, cut out without parsing where it can be.
+
+    That is where the message begins with its schema and has its payload next, without
+    blanks. A schema that itself has a field of that name is cut short: such a
+    text has an open bracket, so it is no JSON.
+    """
+    text = message.cast("string")
+    cut = F.substring(F.substring_index(text, _PAYLOAD, 1), len(_SCHEMA) + 1, 2**31 - 1)
+    plain = text.startswith(_SCHEMA) & text.contains(_PAYLOAD)
+    return F.when(plain, F.nullif(cut, F.lit("null"))).otherwise(json_schema_text(message))
+
+
 def decode_json(message: Column, payload_type: T.DataType | None = None) -> Column:
     """Self-describing JSON message to struct(schema, payload).
 
@@ -166,15 +183,14 @@ def decode_json_messages(
     """
     key_type = schemas.merge_types([schemas.connect_type(s) for s in key_schemas], widen=True)
     value_type = schemas.merge_types([schemas.connect_type(s) for s in value_schemas], widen=True)
-    decoded = messages.select(
-        decode_json(F.col("key"), key_type).alias("_key"),
-        decode_json(F.col("value"), value_type).alias("_value"),
-        *KAFKA_COLUMNS,
-    )
-    return decoded.select(
-        F.col("_key.payload").alias("key"),
-        F.col("_value.payload").alias("value"),
+    # Schema texts that are there already are not read from the messages again.
+    schema_of = {
+        name: F.col(name) if name in messages.columns else json_schema_text(F.col(of))
+        for name, of in (("keySchema", "key"), ("valueSchema", "value"))
+    }
+    return messages.select(
+        decode_json(F.col("key"), key_type)["payload"].alias("key"),
+        decode_json(F.col("value"), value_type)["payload"].alias("value"),
         *KAFKA_COLUMNS,
-        F.col("_key.schema").alias("keySchema"),
-        F.col("_value.schema").alias("valueSchema"),
+        *(text.alias(name) for name, text in schema_of.items()),
     )

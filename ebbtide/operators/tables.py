@@ -142,6 +142,18 @@ def _resolved(
     return newest_rows(older, newer, base.keys, base.order)
 
 
+def read_folders(
+    spark: SparkSession, path: str, base: Version, picks: Mapping[str, Sequence[str]]
+) -> DataFrame:
+    """Rows of some folders of each bucket, with the bucket; only buckets with runs need more than a scan."""
+    runs = {b: list(some) for b, some in picks.items() if base.order and len(some) > 1}
+    plain = [f"{path}/data/{f}/{BUCKET}={b}" for b, some in picks.items() if b not in runs for f in some]
+    if not runs:
+        return scan(spark, base.struct_type, plain)
+    resolved = _resolved(spark, path, base, runs)
+    return scan(spark, base.struct_type, plain).unionByName(resolved) if plain else resolved
+
+
 def read_buckets(
     spark: SparkSession,
     path: str,
@@ -151,16 +163,10 @@ def read_buckets(
 ) -> DataFrame:
     """Rows of all or some buckets of a version, in the schema of the version.
 
-    Fields a file was written without are NULL. Only buckets with runs need more
-    than a scan.
+    Fields a file was written without are NULL.
     """
-    chosen = list(base.folders if buckets is None else buckets)
-    runs = {b: list(base.folders[b]) for b in chosen if base.order and len(base.folders.get(b, {})) > 1}
-    plain = [b for b in chosen if b not in runs]
-    rows = scan(spark, base.struct_type, folder_paths(path, base, plain))
-    if runs:
-        resolved = _resolved(spark, path, base, runs)
-        rows = rows.unionByName(resolved) if plain else resolved
+    chosen = base.folders if buckets is None else buckets
+    rows = read_folders(spark, path, base, {b: list(base.folders.get(b, {})) for b in chosen})
     return rows if with_bucket else rows.drop(BUCKET)
 
 
@@ -505,28 +511,40 @@ def merge_runs(
     )
 
 
-def replace_buckets(
-    spark: SparkSession, path: str, base: Version, wanted: Mapping[str, int], operation: str
+def replace_folders(
+    spark: SparkSession,
+    path: str,
+    base: Version,
+    picks: Mapping[str, Sequence[str]],
+    wanted: Mapping[str, int],
+    operation: str,
 ) -> Version:
-    """Same rows of some buckets in other files, about as many as wanted for each.
+    """Same rows of some folders of each bucket in other files, about as many as wanted for each bucket.
 
-    Rows stay in their bucket, in the order of their keys.
+    Rows stay in their bucket, in the order of their keys. All other folders stay as
+    they are; in tables with runs, the new one comes first if the first was picked.
     """
-    counts = F.create_map(*(F.lit(x) for b, n in wanted.items() for x in (int(b), n)))
-    rows = read_buckets(spark, path, base, wanted, with_bucket=True)
+    # A list by bucket is one literal, however many buckets there are.
+    counts = F.from_json(F.lit(json.dumps([wanted.get(str(b), 1) for b in range(base.buckets)])), "array<int>")
+    rows = read_folders(spark, path, base, picks)
     hashable = [f.name for f in base.struct_type if not isinstance(f.dataType, T.MapType)]
     by = [f"`{c}`" for c in (base.keys or hashable)]
-    slot = F.pmod(F.xxhash64(*(F.col(c) for c in by)), F.element_at(counts, F.col(BUCKET)))
+    slot = F.pmod(F.xxhash64(*(F.col(c) for c in by)), F.get(counts, F.col(BUCKET)))
     parts = sum(wanted.values())
     dealt = rows.repartition(parts, F.col(BUCKET), slot) if parts > 1 else rows.coalesce(1)
     sortable = [f"`{k}`" for k in base.keys]
     dealt = dealt.sortWithinPartitions(BUCKET, *sortable)
     written = _written(dealt, path, f"{base.version + 1:08d}-{uuid.uuid4().hex[:12]}")
-    folders = {b: some for b, some in base.folders.items() if b not in wanted} | written
+    folders = dict(base.folders)
+    for b, some in picks.items():
+        left = {f: size for f, size in base.folders[b].items() if f not in some}
+        new = written.get(b, {})
+        folders[b] = {**new, **left} if next(iter(base.folders[b])) in some else {**left, **new}
+    rewritten = sum(base.folders[b][f][1] for b, some in picks.items() for f in some)
     return publish(
-        spark, path, base.version + 1, operation, base.struct_type, folders,
-        {"numBucketsRewritten": len(wanted)}, base.applied, base.keys, base.buckets, base.order,
-        base.first,
+        spark, path, base.version + 1, operation, base.struct_type, {b: f for b, f in folders.items() if f},
+        {"numBucketsRewritten": len(picks), "numBytesRewritten": rewritten},
+        base.applied, base.keys, base.buckets, base.order, base.first,
     )
 
 

@@ -185,6 +185,10 @@ SELECT count(*) AS rows_before, count(*) AS rows_after, CAST(16 AS BIGINT) AS fi
        CAST(4 AS BIGINT) AS files_after, CAST(16 AS BIGINT) AS folders_deleted,
        CAST(1 AS BIGINT) AS versions_left
 FROM part""",
+    "compact_packed": """
+SELECT count(*) AS rows_after, CAST(sum(o_orderkey) AS BIGINT) AS keys_after, CAST(10 AS BIGINT) AS files_before,
+       CAST(4 AS BIGINT) AS files_after, CAST(2 AS BIGINT) AS folders_kept, true AS only_small_rewritten
+FROM orders""",
     "table_detail_row": "SELECT count(*) AS rows, true AS same_files, true AS same_bytes FROM orders",
     "file_manifest": _MERGED_ORDERS,
     "stream_pipeline_avro": _STATE,

@@ -435,6 +435,31 @@ def compaction_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compact_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What packing did to a table of large files and small ones: the large ones stay."""
+    settings = replace(lake(spark, "compact-packed"), max_num_files_allowed=8)
+    path = TableRef("shop", "public", "orders").path("curated", settings)
+    orders = table(spark, sf_dir, "orders")
+    first = overwrite_table(
+        spark, path, orders.where("o_orderkey % 8 != 0"), "CREATE", keys=["o_orderkey"], buckets=2
+    )
+    for part in range(4):
+        before = append_table(spark, path, orders.where(f"o_orderkey % 32 = {8 * part}"))
+    settings = replace(settings, target_file_bytes=first.sizeInBytes // first.numFiles)
+    compact_files(spark, path, settings)
+    after = newest_version(spark, path)
+    kept = {(b, f) for b, some in after.folders.items() for f in some if f in before.folders[b]}
+    small = sum(
+        size for b, some in before.folders.items() for f, (_, size) in some.items() if (b, f) not in kept
+    )
+    numbers = {"files_before": before.numFiles, "files_after": after.numFiles, "folders_kept": len(kept)}
+    return read_table(spark, path).agg(F.count("*").alias("rows_after"), F.sum("o_orderkey").alias("keys_after")).select(
+        "*",
+        *(F.lit(n).cast("bigint").alias(name) for name, n in numbers.items()),
+        F.lit(int(after.operationMetrics["numBytesRewritten"]) == small).alias("only_small_rewritten"),
+    )
+
+
 def table_detail_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail of a table: the files listed are those that its newest version counts."""
     path = _orders_table(spark, sf_dir, "detail")
@@ -688,6 +713,7 @@ QUERIES: dict[str, Query] = {
     "append_replay": append_replay,
     "compact_rows": compact_rows,
     "compaction_report": compaction_report,
+    "compact_packed": compact_packed,
     "table_detail_row": table_detail_row,
     "file_manifest": file_manifest,
     "stream_pipeline_avro": stream_pipeline_avro,

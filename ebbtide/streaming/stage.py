@@ -22,6 +22,7 @@ from ebbtide.functions.envelopes import (
     FRAME_DECODERS,
     decode_frames,
     decode_json_messages,
+    json_schema_cut,
     json_schema_text,
 )
 from ebbtide.functions.frames import split_frames
@@ -103,12 +104,24 @@ def running_stream_id(df: DataFrame) -> str:
     return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def decode_batch(messages: DataFrame, content_type: str, lookup) -> tuple[DataFrame, int, int]:
+def _is_json(text: str | None) -> bool:
+    try:
+        return text is None or json.loads(text) is not None
+    except ValueError:
+        return False
+
+
+def decode_batch(
+    messages: DataFrame, content_type: str, lookup, schema_of=json_schema_cut
+) -> tuple[DataFrame, int, int]:
     """(staged rows, how many, tombstones skipped) of a batch of messages.
 
     A tombstone is a message without value. A value without key is an error,
-    since there is nothing to merge it on.
+    since there is nothing to merge it on. JSON messages are parsed once, with the
+    types of the schemas that a first look finds by ``schema_of``; if that is not
+    the whole schema of some message, all are parsed for their schema.
     """
+    given = messages
     spark = messages.sparkSession
     framed = content_type in FRAME_DECODERS
     if framed:
@@ -117,7 +130,7 @@ def decode_batch(messages: DataFrame, content_type: str, lookup) -> tuple[DataFr
     else:
         key_id, value_id = "keySchema", "valueSchema"
         messages = messages.withColumns(
-            {key_id: json_schema_text(F.col("key")), value_id: json_schema_text(F.col("value"))}
+            {key_id: schema_of(F.col("key")), value_id: schema_of(F.col("value"))}
         )
     no_value = F.col("value").isNull()
     marked = messages.withColumns(
@@ -141,6 +154,8 @@ def decode_batch(messages: DataFrame, content_type: str, lookup) -> tuple[DataFr
         raise ValueError("messages that do not say their schema")
 
     keys, values = ({p[c] for p in live} for c in (key_id, value_id))
+    if not framed and schema_of is not json_schema_text and not all(map(_is_json, keys | values)):
+        return decode_batch(given, content_type, lookup, json_schema_text)
     messages = messages.filter(F.col("value").isNotNull())
     if not live:
         return messages.limit(0), 0, tombstones

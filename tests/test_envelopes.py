@@ -7,13 +7,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.functions.envelopes import decode_avro, decode_frames, decode_json_messages
+from ebbtide.functions.envelopes import decode_avro, decode_frames, decode_json_messages, json_schema_cut
 from ebbtide.functions.frames import frame, split_frames
 from ebbtide.functions.protobuf_columns import first_message
 from ebbtide.functions.schemas import align, avro_type, connect_type, merge_types
 from ebbtide.streaming.curate import read_curated
 from ebbtide.plans.pipeline import run_table
 from ebbtide.sources.capture import captured_messages
+from ebbtide.streaming.stage import decode_batch
 from tests.helpers import (
     KEY_SCHEMA,
     REF,
@@ -305,3 +306,41 @@ def test_protobuf_run(spark):
         decode_frames(
             spark, split_frames(other), {1: texts[1]}, {2: texts[2]}, "protobuf"
         ).collect()
+
+
+def test_json_schemas_are_cut_out(spark):
+    """The same text as by parsing where the message is plain; parsed where it is not."""
+    schema = '{"type":"struct","fields":[{"type":"int32","optional":false,"field":"payload"}]}'
+    named = '{"type":"struct","parameters":{"a":"1","payload":"2"},"fields":[]}'
+    given = {
+        f'{{"schema":{schema},"payload":{{"payload":1}}}}': schema,
+        f'{{"payload":{{"payload":1}},"schema":{schema}}}': schema,
+        f'{{"schema": {schema}, "payload": {{"payload":1}}}}': schema,
+        '{"schema":null,"payload":{"payload":1}}': None,
+        # Cut short, so no JSON: staging parses such batches.
+        f'{{"schema":{named},"payload":{{}}}}': named[: named.index(',"payload":')],
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string")
+    got = df.select(json_schema_cut(F.col("t").cast("binary")).alias("s")).orderBy("i")
+    assert [r.s for r in got.collect()] == list(given.values())
+
+
+def test_batches_of_schemas_that_name_a_payload(spark):
+    """A schema that cannot be cut out whole is read by parsing, with the same rows."""
+    field = lambda name: {"type": "int32", "optional": True, "field": name}
+    inner = {"type": "struct", "optional": True, "field": "after", "parameters": {"a": "1", "payload": "2"},
+             "fields": [field("id")]}
+    op = {"type": "string", "optional": True, "field": "op"}
+    value = {"type": "struct", "fields": [inner, op]}
+    key = {"type": "struct", "fields": [field("id")]}
+    text = lambda schema, payload: json.dumps(
+        {"schema": schema, "payload": payload}, separators=(",", ":")
+    ).encode()
+    batch = messages(spark, [
+        (text(key, {"id": i}), text(value, {"after": {"id": i}, "op": "c"}), i) for i in range(3)
+    ] + [(text(key, {"id": 9}), None, 3)])
+    staged, count, tombstones = decode_batch(batch, "json", None)
+    assert (count, tombstones) == (3, 1)
+    got = staged.orderBy("offset").collect()
+    assert [(r.key.id, r.value.after.id, r.value.op) for r in got] == [(i, i, "c") for i in range(3)]
+    assert {json.dumps(json.loads(r.valueSchema)) for r in got} == {json.dumps(value)}

@@ -18,6 +18,7 @@ from ebbtide.operators.tables import (
     read_buckets,
     read_table,
     require_version,
+    write_buckets,
 )
 from ebbtide.sources.storage import (
     create_text,
@@ -192,6 +193,44 @@ def test_compaction_leaves_full_buckets(spark):
     assert read_table(spark, path).count() == 20004
 
 
+def test_folders_to_pack():
+    mib = 1 << 20
+    pack = upkeep.folders_to_pack
+    assert pack({"a": [1, 100 * mib], "b": [3, 9 * mib], "c": [1, mib]}, 128 * mib) == (["b", "c"], 1)
+    assert pack({"a": [2, 128 * mib]}, 128 * mib) == ([], 0)
+    assert pack({"a": [1, mib]}, 128 * mib) == ([], 0)
+    assert pack({"a": [10, 300 * mib], "b": [1, 128 * mib]}, 128 * mib) == (["a"], 3)
+    assert pack({"a": [1, 0], "b": [1, 0]}, 128 * mib) == (["a", "b"], 1)
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_compaction_keeps_large_folders(spark, ordered):
+    """Small folders are packed beside a large one; runs keep their place behind it."""
+    path, order = new_path(spark), "at" if ordered else None
+    made = lambda a, b, at: numbers(spark, a, b).withColumn("at", F.lit(at))
+    overwrite_table(spark, path, made(0, 20000, 0), keys=["id"], buckets=1, order=order)
+    first = newest_version(spark, path)
+    for i in range(1, 4):
+        rows_of = made(20000 if not ordered else 0, 20003 if not ordered else 3, i)
+        if ordered:
+            # Runs kept apart, as they are before they reach the size that folds them.
+            with_runs = newest_version(spark, path)
+            added = write_buckets(rows_of, path, with_runs.version + 1, ["id"], 1)
+            folders = {"0": {**with_runs.folders["0"], **added["0"]}}
+            publish(spark, path, with_runs.version + 1, "MERGE", with_runs.struct_type, folders,
+                    keys=["id"], buckets=1, order="at")
+        else:
+            append_table(spark, path, rows_of)
+    expected = rows(read_table(spark, path))
+    large = first.sizeInBytes // first.numFiles
+    settings = replace(DEFAULT, max_num_files_allowed=1, target_file_bytes=large)
+    assert upkeep.compact_files(spark, path, settings)[0]
+    after = newest_version(spark, path)
+    assert list(after.folders["0"])[0] == list(first.folders["0"])[0] and len(after.folders["0"]) == 2
+    assert int(after.operationMetrics["numBytesRewritten"]) < large
+    assert rows(read_table(spark, path)) == expected
+
+
 def test_history(spark):
     path, history = new_path(spark), new_path(spark)
     settings = replace(DEFAULT, max_num_files_allowed=1)
