@@ -95,10 +95,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files below source/lang; short ones on licensing are their licence files."""
+    """Documents as files below source/lang; those a fifth of whose words stand in lines on licences are licence files."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "source", "lang", "text")
-    notice = (mixing.word_count(F.col("text")) <= 25) & F.col("text").rlike("(?i)licen[cs]e")
-    name = F.when(notice, "LICENSE").otherwise(F.col("doc_id").cast("string"))
+    about = lambda text: text.rlike("(?i)licen[cs]e")
+    lines = F.array_join(F.filter(F.split("text", r"\R"), about), " ")
+    share = mixing.word_count(lines) * 5 >= mixing.word_count(F.col("text"))
+    name = F.when(F.when(about(F.col("text")), share), "LICENSE").otherwise(F.col("doc_id").cast("string"))
     path = F.concat_ws("/", "source", "lang", name)
     files = docs.select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
     return licenses.scan_licenses(files).withColumnRenamed("file_id", "doc_id")

@@ -571,3 +571,45 @@ def test_licenses(spark):
         10: (None, None),
     }
     assert licenses.scan_licenses(files.limit(0)).count() == 0
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions.
+"""
+
+
+@pytest.mark.parametrize("small", [licenses._SMALL, -1])
+def test_licences_in_real_files(spark, monkeypatch, small):
+    """Whole licence texts, tags, notices inside prose and over line breaks, names of licence files, long texts."""
+    monkeypatch.setattr(licenses, "_SMALL", small)
+    prose = "we wrote this long tale of many words for all who like to read " * 3
+    given = [
+        ("a/LICENSE", MIT_TEXT, "MIT", "licence file"),
+        ("a/x.txt", "x", "MIT", "inherited"),
+        ("b/LICENSE-APACHE", "Licensed under the Apache License, Version 2.0", "Apache-2.0", "licence file"),
+        ("b/c/d.txt", "d", "Apache-2.0", "inherited"),
+        ("g/COPYING.LESSER", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n", "LGPL-3.0", "licence file"),
+        ("g/d.txt", None, "LGPL-3.0", "inherited"),
+        ("t/tag.py", "# SPDX-License-Identifier: MIT\ncode()", "MIT", "header"),
+        ("t/later.py", "// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0", "header"),
+        ("t/prose.md", prose + "Released under the MIT License. " + prose, "MIT", "header"),
+        ("t/wrapped.md", "Licensed under the\n  Apache License,\n  Version 2.0 by us", "Apache-2.0", "header"),
+        ("t/none.md", prose + "ask for permission before you use the kitchen " + prose, None, None),
+        ("t/license.py", "def check(license): return license", None, None),
+        ("t/long.txt", "word " * 60_000 + "Released under the MIT License. " + "word " * 60_000, "MIT", "header"),
+        ("t/tie.md", "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: MPL-2.0", "MIT", "header"),
+    ]
+    files = spark.createDataFrame(
+        [(i, p, t, "own", 1.0) for i, (p, t, _, _) in enumerate(given)],
+        "file_id long, path string, text string, licence string, cosine double",
+    )
+    got = {r.path: (r.licence, r.origin) for r in licenses.scan_licenses(files).collect()}
+    assert got == {p: (licence, origin) for p, _, licence, origin in given}
