@@ -1,8 +1,8 @@
 """Personal data: base patterns, and identifiers found by the company they keep.
 
 With built-in functions only. The base patterns find e-mail addresses, IP
-addresses, payment cards and phone numbers. Their matches are seeds: the words
-around them and their shape become lexical patterns, patterns and values form a
+addresses, payment cards and phone numbers. Their whole matches are seeds, with the
+spaces they have: the words around them and their shape become lexical patterns, patterns and values form a
 graph, and confidence goes back and forth along it: a pattern's is the mean of
 its values', a value's that of any of its patterns being right. Values that reach
 ``CONFIDENT`` through patterns that enough seeds support are identifiers the base
@@ -150,10 +150,11 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 _SPAN = "struct<start:int,order:int,end:int,kind:string>"
+_MATCH = "struct<start:int,order:int,end:int,kind:string,value:string,before:string,after:string>"
 
 
-def base_spans(text: Column) -> Column:
-    """array<struct<start, order, end, kind>> of the base patterns, sorted."""
+def _base_matches(text: Column) -> Column:
+    """array<struct<start, order, end, kind, value, before, after>> of the base patterns, sorted."""
     found = []
     for order, (kind, pattern, quick) in enumerate(KINDS):
         spans = F.transform(
@@ -161,13 +162,45 @@ def base_spans(text: Column) -> Column:
             lambda m: F.struct(
                 m["start"].alias("start"), F.lit(order).alias("order"),
                 m["end"].alias("end"), F.lit(kind).alias("kind"),
+                m["value"].alias("value"), m["before"].alias("before"), m["after"].alias("after"),
             ),
         )
-        none = F.array().cast(f"array<{_SPAN}>")
+        none = F.array().cast(f"array<{_MATCH}>")
         found.append(F.when(text.rlike(quick), spans).otherwise(none))
     return F.array_sort(F.concat(*found))
 
 
+def _spans_of(matches: Column) -> Column:
+    return F.transform(
+        matches, lambda m: F.struct(*(m[name].alias(name) for name in ("start", "order", "end", "kind")))
+    )
+
+
+def base_spans(text: Column) -> Column:
+    """array<struct<start, order, end, kind>> of the base patterns, sorted."""
+    return _spans_of(_base_matches(text))
+
+
+def _company(value: Column, m: Column) -> tuple[Column, ...]:
+    """left2, left, right, shape: the words around a value of a match, and what it looks like."""
+    return (
+        F.lower(F.regexp_extract(m["before"], r"(\S+)\s+\S+\s+$", 1)).alias("left2"),
+        F.lower(F.regexp_extract(m["before"], r"(\S+)\s+$", 1)).alias("left"),
+        F.lower(F.regexp_extract(m["after"], r"^\s*(\S+)", 1)).alias("right"),
+        F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"\p{L}+", "a").alias("shape"),
+    )
+
+
+def _seeds(matches: Column) -> Column:
+    """As _candidates, of base matches: each is one value, with the spaces it has."""
+    return F.transform(
+        matches,
+        lambda m: F.struct(
+            m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"), *_company(m["value"], m)
+        ),
+    )
+
+
 def _candidates(text: Column) -> Column:
     """array<struct<start, end, value, left2, left, right, shape>> of possible identifiers."""
     edge = r"^[^A-Za-z0-9+]+"
@@ -176,14 +209,9 @@ def _candidates(text: Column) -> Column:
         tail = F.regexp_replace(m["value"], edge, "")
         value = F.regexp_replace(tail, r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
         start = m["start"] + F.char_length(m["value"]) - F.char_length(tail)
-        left = F.lower(F.regexp_extract(m["before"], r"(\S+)\s+$", 1))
-        left2 = F.lower(F.regexp_extract(m["before"], r"(\S+)\s+\S+\s+$", 1))
-        shape = F.regexp_replace(F.regexp_replace(value, "[0-9]", "9"), r"\p{L}+", "a")
         return F.struct(
             start.alias("start"), (start + F.char_length(value)).alias("end"), value.alias("value"),
-            left2.alias("left2"), left.alias("left"),
-            F.lower(F.regexp_extract(m["after"], r"^\s*(\S+)", 1)).alias("right"),
-            shape.alias("shape"),
+            *_company(value, m),
         )
 
     kind = (
@@ -237,14 +265,17 @@ def find_personal_data(docs: DataFrame, *keep: str) -> DataFrame:
     """The columns to keep, with ``base`` and ``spans``: sorted arrays of <start, order, end, kind>."""
     text = F.coalesce("text", F.lit(""))
     found = stored(
-        docs.select(*keep, base_spans(text).alias("base"), _candidates(text).alias("candidates"))
+        # In a struct, so that no name among the columns to keep meets another.
+        docs.select(F.struct(*keep).alias("kept"), _base_matches(text).alias("matches"), _candidates(text).alias("candidates"))
+        .select("kept", _spans_of(F.col("matches")).alias("base"), _seeds(F.col("matches")).alias("seeds"), "candidates")
         .withColumn("row", F.monotonically_increasing_id()),
         "pii-found",
     )
+    # Words of a base span are no values of their own: the whole span is.
     within = F.exists("base", lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
-    seen = (
-        found.select("row", "base", F.explode("candidates").alias("c"))
-        .select("row", "c", within.alias("seed"))
+    others = found.select("row", "base", F.explode("candidates").alias("c")).where(~within)
+    seen = others.select("row", "c", F.lit(False).alias("seed")).unionByName(
+        found.select("row", F.explode("seeds").alias("c"), F.lit(True).alias("seed"))
     )
     values = _confident_values(seen)
     more = stored(
@@ -263,10 +294,9 @@ def find_personal_data(docs: DataFrame, *keep: str) -> DataFrame:
         more = F.broadcast(more)  # its size is checked; larger ones are joined by shuffle
     none = F.array().cast(f"array<{_SPAN}>")
     return (
-        found.drop("candidates")
+        found.select("kept", "base", "row")
         .join(more, "row", "left")
-        .withColumn("spans", F.array_sort(F.concat("base", F.coalesce("more", none))))
-        .drop("row", "more")
+        .select("kept.*", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
     )
 
 

@@ -613,3 +613,17 @@ def test_licences_in_real_files(spark, monkeypatch, small):
     )
     got = {r.path: (r.licence, r.origin) for r in licenses.scan_licenses(files).collect()}
     assert got == {p: (licence, origin) for p, _, licence, origin in given}
+
+
+@pytest.mark.parametrize("small", [pii._SMALL, -1])
+def test_seeds_with_spaces(spark, monkeypatch, small):
+    """A phone number or card written with spaces is one seed, and finds what stands where it stands."""
+    monkeypatch.setattr(pii, "_SMALL", small)
+    texts = [f"please call the desk on +1 (555) 555-10{i:02} for help" for i in range(8)]
+    texts += ["please call the desk on 0800-4455 for help", "the desk on 0800-9999 of the shop", "on 1234567 x", None, ""]
+    docs = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "row long, text string, base string")
+    got = {r["row"]: pii_spelled for r in pii.find_personal_data(docs, "row").withColumn(
+        "s", pii.spelled(F.col("spans"))).collect() for pii_spelled in [r["s"]]}
+    assert got[0] == "phone:24:41"
+    assert got[8] == "found:24:33"
+    assert {got[i] for i in (10, 11, 12)} == {""}
