@@ -38,6 +38,8 @@ UNITS = (
     "h hr hour hours day days week weeks month months year years percent dollar dollars euro euros cent cents"
 ).split()
 _NAME, _NUMBER, _UNIT = "", "", ""
+#: Stands before names within sentences.
+_MARK = ""
 _DIGITS = r"[0-9]+(?:[.,:/][0-9]+)*"
 _LETTERS = r"[\p{L}\p{M}]+"
 #: Bytes up to which a checked table is sent to all executors.
@@ -49,17 +51,27 @@ def _with_units(text: Column) -> Column:
     text = F.regexp_replace(text, _DIGITS, _NUMBER)
     units = "|".join(sorted(UNITS, key=len, reverse=True))
     # The placeholder comes first in the pattern, so most characters are passed at once.
-    return F.regexp_replace(text, rf"({_NUMBER} ?)(?i:{units})(?![\p{{L}}\p{{M}}])", f"$1{_UNIT}")
+    pattern = rf"({_NUMBER} ?){_MARK}?(?i:{units})(?![\p{{L}}\p{{M}}])"
+    return F.regexp_replace(text, pattern, f"$1{_UNIT}")
 
 
-def canonical(text: Column) -> Column:
-    """Tokens with placeholders; token for token the same as ``raw_tokens``."""
-    text = F.regexp_replace(text, f"[{_NAME}-{_UNIT}]", " ")
+def _marked(text: Column) -> Column:
+    """Tokens, one space apart, with numbers and units as placeholders and names within sentences marked."""
+    text = F.regexp_replace(text, f"[{_NAME}-{_MARK}]", " ")
     text = F.regexp_replace(
-        text, r"\p{Lu}(?<=[\p{L}\p{M}0-9,;] .)\p{Ll}++(?![\p{L}\p{M}])", _NAME
+        text, r"\p{Lu}(?<=[\p{L}\p{M}0-9,;] .)\p{Ll}++(?![\p{L}\p{M}])", f"{_MARK}$0"
     )
-    text = _with_units(text)
-    return F.regexp_extract_all(F.lower(text), F.lit(rf"[{_NAME}-{_UNIT}]|{_LETTERS}"), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(rf"{_DIGITS}|{_MARK}?{_LETTERS}"), F.lit(0))
+    return _with_units(F.array_join(tokens, " "))
+
+
+def _unmarked(marked: Column) -> Column:
+    return F.replace(marked, F.lit(_MARK), F.lit(""))
+
+
+def canonical(text: Column) -> Column:
+    """Tokens with placeholders, form 1; token for token the same as ``raw_tokens``."""
+    return _lowered(F.regexp_replace(_marked(text), f"{_MARK}[^ ]++", _NAME))
 
 
 def raw_tokens(text: Column) -> Column:
@@ -73,7 +85,7 @@ def _valued(raw: Column) -> Column:
 
 
 def _lowered(spaced: Column) -> Column:
-    return F.filter(F.split(F.lower(spaced), " "), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(spaced), " "), "")  # a text without tokens has one, empty
 
 
 def _named(spaced: Column) -> Column:
@@ -84,28 +96,27 @@ def _named(spaced: Column) -> Column:
 
 
 def _forms(docs: DataFrame, *keep: str) -> DataFrame:
-    """The columns to keep, and hashes of each token in each form, equally long.
+    """The columns to keep, and the tokens in each form, equally many.
 
     Form 0 leaves names as lower-case words, so equal words in any case are equal in it;
     1 takes names within sentences, 2 every capitalised token for a name.
     """
-    hashed = lambda tokens: F.transform(tokens, lambda t: F.xxhash64(t))
-    valued = docs.select(
-        *keep, canonical(F.col("text")).alias("form1"), _valued(raw_tokens(F.col("text"))).alias("valued")
-    )
-    return valued.select(
+    # The regular expressions over the text run once for all forms.
+    marked = docs.select(*keep, _marked(F.col("text")).alias("marked"))
+    plain = marked.withColumn("plain", _unmarked(F.col("marked")))
+    return plain.select(
         *keep,
-        hashed(_lowered(F.col("valued"))).alias("form0"),
-        hashed("form1").alias("form1"),
-        hashed(_lowered(_named(F.col("valued")))).alias("form2"),
+        _lowered(F.col("plain")).alias("form0"),
+        _lowered(F.regexp_replace("marked", f"{_MARK}[^ ]++", _NAME)).alias("form1"),
+        _lowered(_named(F.col("plain"))).alias("form2"),
     )
 
 
 def _windows(forms: DataFrame, size: int, *keep: str) -> DataFrame:
     """The columns to keep, h and at: the hashes, in every form, of each window of a size.
 
-    Windows of 2, 4, 8 tokens come by doubling, others from two that overlap. Each
-    step is a projection of its own, so no array is made more than once.
+    Windows of 2, 4, 8 tokens come by doubling, from the tokens on, others from two that
+    overlap. Each step is a projection of its own, so no array is made more than once.
     """
 
     def joined(rows: DataFrame, by: int, *more: Column) -> DataFrame:
@@ -118,6 +129,8 @@ def _windows(forms: DataFrame, size: int, *keep: str) -> DataFrame:
         )
 
     width, rows = 1, forms.withColumn("n", F.greatest(F.size("form0") - size + 1, F.lit(0)))
+    if size == 1:
+        rows = rows.withColumns({f: F.transform(f, lambda t: F.xxhash64(t)) for f in _FORMS})
     while width * 2 <= size:
         rows, width = joined(rows, width), width * 2
     if width < size:
