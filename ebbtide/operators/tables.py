@@ -389,13 +389,15 @@ def merge_table(
     order: str | None = None,
     unique: bool = False,
     tidy=None,
+    pick: Callable[[Version, DataFrame, Sequence[str]], Mapping[str, Sequence[str]]] | None = None,
 ) -> Version:
     """Merge changes into a table, rewriting only the buckets they touch.
 
     ``changes`` is read twice: pass a stored table. More than one change per key
     is an error, looked for unless the caller says they are ``unique``. ``tidy``
     is applied to the rows of the rewritten buckets. For ``order`` see
-    merge_changes.
+    merge_changes. ``pick`` tells which folders of the touched buckets may hold a
+    changed key, where others are to stay (see ``keymaps``).
     """
     base = require_version(spark, path)
     if base.has_applied(source, batch_id):
@@ -409,19 +411,27 @@ def merge_table(
     most, upserts, deletes, touched = change_stats(changes, keys, base.buckets, unique, base.first)
     if most > 1:
         raise ValueError("several changes for one key: take the latest per key first")
-    target, changes = same_types(read_buckets(spark, path, base, touched), changes, widen=True)
+    picks = pick(base, changes, touched) if pick else {b: list(base.folders.get(b, {})) for b in touched}
+    target, changes = same_types(read_folders(spark, path, base, picks).drop(BUCKET), changes, widen=True)
     merged = merge_changes(target, changes, keys, order=order)
     if tidy:
         merged = tidy(merged)
-    folders = {b: some for b, some in base.folders.items() if b not in touched}
+    folders = {
+        b: {f: size for f, size in some.items() if f not in picks.get(b, ())} for b, some in base.folders.items()
+    }
     if touched:
         # Joined, not replaced: rows without key may have moved to buckets not touched.
         folders = _joined(folders, write_buckets(merged, path, base.version + 1, keys, base.buckets, base.first))
+    folders = {b: some for b, some in folders.items() if some}
     metrics = {
         "numUpserts": upserts,
         "numDeletes": deletes,
         "numBucketsRewritten": len(touched),
     }
+    if pick:
+        files = {b: sum(n for n, _ in base.folders.get(b, {}).values()) for b in touched}
+        read = sum(base.folders[b][f][0] for b, some in picks.items() for f in some)
+        metrics |= {"numFilesRead": read, "numFilesSkipped": sum(files.values()) - read}
     applied = _applied(base, source, batch_id)
     return publish(
         spark, path, base.version + 1, "MERGE", merged.schema, folders, metrics, applied,

@@ -164,6 +164,7 @@ UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, NULL, op FROM ol""",
     "table_grown_buckets": _MERGED_ORDERS,
     "merge_widened": _MERGED_ORDERS,
+    "merge_pruned_files": f"SELECT *, true AS always_skipped FROM ({_MERGED_ORDERS})",
     "version_changes": f"""
 WITH new AS ({_MERGED_ORDERS}),
 old AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,

@@ -21,6 +21,7 @@ from ebbtide.operators.changes import (
     route_schema_pair,
     schema_pairs,
 )
+from ebbtide.operators.keymaps import merge_pruned
 from ebbtide.operators.tables import (
     append_table,
     grow_table,
@@ -355,6 +356,25 @@ def merge_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
 
 
+def merge_pruned_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four merges into a table of four folders a bucket, each with the changes of one folder's keys."""
+    path = TableRef("shop", "public", "orders").path("curated", lake(spark, "pruned"))
+    orders = table(spark, sf_dir, "orders")
+    for part in range(4):
+        rows = orders.where(F.col("o_orderkey") % 4 == part)
+        if part:
+            append_table(spark, path, rows)
+        else:
+            overwrite_table(spark, path, rows, "CREATE", keys=["o_orderkey"], buckets=DEFAULT.buckets)
+    changes = stored(_order_changes(spark, sf_dir), "changes")
+    skipped = []
+    for part in range(4):
+        new = merge_pruned(spark, path, changes.where(F.col("o_orderkey") % 4 == part), ["o_orderkey"])
+        skipped.append(int(new.operationMetrics["numFilesSkipped"]))
+    rows = read_table(spark, path).select(*ORDER_COLUMNS, "o_orderpriority", "op")
+    return rows.withColumn("always_skipped", F.lit(min(skipped) > 0))
+
+
 def version_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that a merge made differ, found from the folders of two versions with a split between."""
     path = _orders_table(spark, sf_dir, "version-changes")
@@ -707,6 +727,7 @@ QUERIES: dict[str, Query] = {
     "table_merge_orders": table_merge_orders,
     "table_grown_buckets": table_grown_buckets,
     "merge_widened": merge_widened,
+    "merge_pruned_files": merge_pruned_files,
     "version_changes": version_changes,
     "table_append_orders": table_append_orders,
     "table_time_travel": table_time_travel,
