@@ -1,0 +1,124 @@
+"""Decontamination against a plain version, with both ways of joining."""
+
+import random
+
+import pytest
+import regex
+
+from ebbtide.llm import decontaminate
+
+TOKEN = regex.compile(r"[0-9]+(?:[.,:/][0-9]+)*|[\p{L}\p{M}]+")
+NAME, NUMBER, UNIT = "<name>", "<number>", "<unit>"
+
+
+def plain_tokens(text):
+    """(lower-case words, the three forms) of a text."""
+    found = list(TOKEN.finditer(text))
+    words, forms = [], ([], [], [])
+    for i, m in enumerate(found):
+        word, before = m[0], text[max(0, m.start() - 2) : m.start()]
+        words.append(word.lower())
+        if word[0].isdigit():
+            kinds = [NUMBER] * 3
+        elif i and found[i - 1][0][0].isdigit() and word.lower() in decontaminate.UNITS:
+            kinds = [UNIT] * 3
+        else:
+            within = regex.fullmatch(r"\p{Lu}\p{Ll}+", word) and regex.fullmatch(r"[\p{L}\p{M}0-9,;] ", before)
+            named = regex.fullmatch(r"\p{Lu}[\p{L}\p{M}]*?\p{Ll}[\p{L}\p{M}]*", word)
+            kinds = [word.lower(), NAME if within else word.lower(), NAME if named else word.lower()]
+        for form, kind in zip(forms, kinds):
+            form.append(kind)
+    return words, forms
+
+
+def places_of(forms, size):
+    """Window -> places, over all forms."""
+    out = {}
+    for form in forms:
+        for at in range(len(form) - size + 1):
+            out.setdefault(tuple(form[at : at + size]), set()).add(at)
+    return out
+
+
+def plain_leak(text, item, window=decontaminate.WINDOW):
+    """(windows, item_windows, slots), or None where the text does not hold the item."""
+    (words, forms), (own, own_forms) = plain_tokens(text), plain_tokens(item)
+    size = min(window, len(own))
+    if not size:
+        return None
+    total, there = len(own) - size + 1, places_of(forms, size)
+    by_shift = {}
+    for key, ats in places_of(own_forms, size).items():
+        for place in there.get(key, ()):
+            for at in ats:
+                by_shift.setdefault(place - at, set()).add(at)
+    if 2 * len(set().union(*by_shift.values())) < total:
+        return None
+    kinds, counted, slots = own_forms[2], set(), set()
+    for shift, ats in by_shift.items():
+        other = lambda i: words[i + shift] if 0 <= i + shift < len(words) else None
+        spread = lambda some: {i for at in some for i in range(at, at + size)}
+        literal = {at for at in ats if all(own[i] == other(i) for i in range(at, at + size))}
+        told = ats - literal
+        is_slot = lambda i: kinds[i] in (NAME, NUMBER, UNIT)
+        open_places = {i for i in spread(told) - spread(literal) if is_slot(i)}
+        meanings = {}
+        for i in open_places:
+            meanings.setdefault((kinds[i], own[i]), set()).add(other(i))
+        bad = {i for i in open_places if len(meanings[kinds[i], own[i]]) > 1}
+        kept = literal | {at for at in told if not bad & spread([at])}
+        counted |= kept
+        slots |= {(kinds[i], own[i]) for i in spread(kept) if is_slot(i)}
+    return (len(counted), total, len(slots)) if 2 * len(counted) >= total else None
+
+
+WORDS = "the a has gives buys apples of flour to and then how many left for each day school red bag with".split()
+NAMES = ["Tom", "Ann", "Lena", "Max", "Eve", "McKay", "Émile"]
+
+
+def sentence(rng, n):
+    out = []
+    for _ in range(n):
+        kind = rng.random()
+        if kind < 0.12:
+            out.append(rng.choice(NAMES))
+        elif kind < 0.22:
+            out.append(str(rng.randint(1, 9)) + rng.choice(["", ".5", " kg", " Hours", "km", "\nmiles"]))
+        else:
+            out.append(rng.choice(WORDS))
+    return "".join(w + rng.choice([" ", " ", " ", " ", ", ", ". ", "\n"]) for w in out).strip()
+
+
+def edited(rng, text):
+    """The text with other values, words or letters."""
+    for name in NAMES:
+        if rng.random() < 0.4:
+            text = text.replace(name, rng.choice(NAMES), rng.choice([-1, 1]))
+    if rng.random() < 0.5:
+        text = regex.sub("[0-9]", lambda m: str(rng.randint(1, 9)), text)
+    if rng.random() < 0.4:
+        words = text.split(" ")
+        words.insert(rng.randrange(len(words)), rng.choice(WORDS))
+        text = " ".join(words)
+    return rng.choice([text, text, text.lower(), text.upper()])
+
+
+@pytest.mark.parametrize("small", [16 << 20, -1])
+def test_same_leaks_as_a_plain_version(spark, monkeypatch, small):
+    monkeypatch.setattr(decontaminate, "_SMALL", small)
+    rng = random.Random(12)
+    items = {i: sentence(rng, n) for i, n in enumerate([30, 25, 18, 9, 8, 5, 3, 1])}
+    texts = [sentence(rng, 60) for _ in range(20)] + ["", "...", sentence(rng, 30_000) + " " + items[0]]
+    for _ in range(120):
+        parts = [edited(rng, rng.choice(list(items.values()))) for _ in range(rng.choice([1, 1, 2]))]
+        texts.append(" ".join([sentence(rng, rng.randint(0, 12)), *parts, sentence(rng, rng.randint(0, 12))]))
+    wanted = {
+        (d, i): leak for d, text in enumerate(texts) for i, item in items.items() if (leak := plain_leak(text, item))
+    }
+    found = decontaminate.contaminated(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"),
+        spark.createDataFrame(list(items.items()), "item_id long, text string"),
+    ).collect()
+    got = {(r.doc_id, r.item_id): (r.windows, r.item_windows, r.slots) for r in found}
+    assert len(found) == len(got) and len({i for _, i in got}) == len(items)
+    assert got == wanted
