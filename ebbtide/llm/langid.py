@@ -12,7 +12,8 @@ for each order with one column of log probabilities per language. A hash is the
 run itself, four 16-bit units packed into 64 bits, so no two runs share one, and
 the arrays grow with the distinct runs of the labelled texts.
 A text gets the language of the lowest cross-entropy per character; it counts as
-rejected where that is above what the language's own texts reach.
+rejected where that is above what the language's own labelled texts reach (mean and
+three deviations over all of them that the model gives their language).
 
 Defined results: NULL texts and texts without letters are ``und`` with score 0
 and are not learned from, nor are rows with a NULL language; without any model
@@ -35,8 +36,6 @@ from ebbtide.sources.storage import stored
 
 ORDER = 4
 UNKNOWN = "und"
-#: Texts that the limits of rejection are taken from, those that come first by a hash of their id.
-CALIBRATION_ROWS = 4_000
 _OTHER, _LETTER = regex.compile(r"[^\p{L}\p{M}]+"), regex.compile(r"\p{L}")
 _SHARP = 12.0
 
@@ -195,21 +194,13 @@ class Model:
 
 
 def train(docs: DataFrame) -> Model:
-    """A model from all rows (doc_id, text, lang), calibrated on a bounded sample of them."""
+    """A model from all rows (doc_id, text, lang), with limits of rejection from all of them."""
     # As many rows as the labelled texts have distinct runs.
     model = Model(_tables(docs).toArrow().to_pandas(categories=["kind", "lang"]))
-    sample = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-        .select(F.xxhash64("doc_id").alias("turn"), "doc_id", "lang")
-        .orderBy("turn", "doc_id")
-        .limit(CALIBRATION_ROWS)
-        .select("doc_id")
-        .distinct()
-    )
-    chosen = docs.select("doc_id", "text", "lang").join(F.broadcast(sample), "doc_id")
-    scored = score(chosen, model).join(chosen.select("doc_id", "lang"), "doc_id")
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     limits = (
-        scored.where(F.col("lang") == F.col("lang_pred"))
+        _scored(labelled, model, "lang")
+        .where(F.col("lang") == F.col("lang_pred"))
         .groupBy("lang")
         .agg((F.avg("cross_entropy") + 3 * F.stddev_pop("cross_entropy")).alias("most"))
     )
@@ -223,8 +214,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     The score is the language's share among all, by their cross-entropies.
     """
+    return _scored(docs, model, "doc_id")
+
+
+def _scored(docs: DataFrame, model: Model, label: str) -> DataFrame:
+    """As ``score``, with another column than the id."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = docs.schema[label].dataType.simpleString()
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
@@ -242,7 +238,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             limits = np.append(model.limits, -np.inf)[best]
             yield pd.DataFrame(
                 {
-                    "doc_id": batch["doc_id"],
+                    label: batch[label],
                     "lang_pred": names[best],
                     "score": share,
                     "cross_entropy": least,
@@ -250,7 +246,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 }
             )
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select(label, "text").mapInPandas(
         scored,
-        f"doc_id {kind}, lang_pred string, score double, cross_entropy double, rejected boolean",
+        f"{label} {kind}, lang_pred string, score double, cross_entropy double, rejected boolean",
     )

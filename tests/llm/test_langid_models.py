@@ -82,3 +82,16 @@ def test_ties_go_to_the_first_language(spark):
     docs = spark.createDataFrame([(1, "same words", "b"), (2, "same words", "a")], "doc_id long, text string, lang string")
     found = langid.score(docs, langid.train(docs)).collect()
     assert {r.lang_pred for r in found} == {"a"} and all(r.score == pytest.approx(0.5) for r in found)
+
+
+def test_limits_are_taken_from_all_labelled_texts(spark):
+    """More texts than any sample would take, some without id, and a language that one text of them has."""
+    rng = np.random.default_rng(9)
+    words = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, 7)) for _ in range(300)]
+    texts = [" ".join(words[int(i)] for i in rng.integers(0, 300, 1 + n % 9)) for n in range(6000)]
+    docs = [(None if i % 50 == 0 else i, t, "x") for i, t in enumerate(texts)] + [(7001, "жили были", "y")]
+    model = langid.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    costs = model.cross_entropies([*texts, "жили были"])
+    own = costs[:-1, 0][costs[:-1, 0] <= costs[:-1, 1]]
+    assert model.limits[0] == pytest.approx(own.mean() + 3 * own.std(), rel=1e-9)
+    assert model.limits[1] == pytest.approx(costs[-1, 1], rel=1e-9)
