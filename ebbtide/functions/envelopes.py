@@ -163,13 +163,14 @@ def json_schema_cut(message: Column) -> Column:
 
 
 def decode_json(message: Column, payload_type: T.DataType | None = None) -> Column:
-    """Self-describing JSON message to struct(schema, payload).
+    """Self-describing JSON message to struct(payload) or, without a payload type, struct(schema).
 
-    The schema stays text. Without a payload type only the schema is read.
+    The schema stays text. What is not asked for is skipped, not copied.
     """
-    envelope = T.StructType([T.StructField("schema", T.StringType())])
-    if payload_type is not None:
-        envelope = envelope.add("payload", payload_type)
+    if payload_type is None:
+        envelope = T.StructType([T.StructField("schema", T.StringType())])
+    else:
+        envelope = T.StructType([T.StructField("payload", payload_type)])
     return F.from_json(message.cast("string"), envelope, {"mode": "FAILFAST"})
 
 

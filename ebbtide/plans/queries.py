@@ -52,7 +52,7 @@ from ebbtide.plans.change_logs import (
     protobuf_schemas,
 )
 from ebbtide.plans.pipeline import run_table, run_tables
-from ebbtide.sources.capture import captured_messages, without_resent
+from ebbtide.sources.capture import SMALL_ROW_GROUPS, captured_messages, without_resent
 from ebbtide.sources.layers import (
     read_layer,
     read_layer_evolving,
@@ -521,6 +521,10 @@ def _capture(spark: SparkSession, settings: Settings):
     return folder, lambda ref: captured_messages(spark, folder, ref.topic, settings)
 
 
+def _captured(messages: DataFrame, folder: str) -> None:
+    messages.write.mode("append").options(**SMALL_ROW_GROUPS).parquet(folder)
+
+
 def run_products(
     spark: SparkSession, sf_dir: str, name: str, content_type: str, rounds: int
 ) -> Settings:
@@ -557,15 +561,26 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
+def _in_batches(spark: SparkSession, folder: str, settings: Settings) -> Settings:
+    """The same with a limit that lets a folder's files come in CHANGE_BATCHES micro-batches."""
+    files = len(list_names(spark, folder, r"part-[^/,}]+\.parquet"))
+    return replace(settings, max_files_per_trigger=max(1, -(-files // CHANGE_BATCHES)))
+
+
 def stream_any_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changes captured in files without order, one file for each micro-batch."""
-    settings = replace(lake(spark, "any-batches"), max_files_per_trigger=1)
-    folder, stream = _capture(spark, settings)
+    """Changes captured in files without order, a few files for each micro-batch."""
+    settings = lake(spark, "any-batches")
+    folder, _ = _capture(spark, settings)
     changes = _changes(spark, sf_dir)
     part = F.pmod(F.xxhash64("offset"), F.lit(CHANGE_BATCHES))
     for batch in range(CHANGE_BATCHES):
-        json_messages(changes.where(part == batch)).coalesce(1).write.mode("append").parquet(folder)
-    run_table(spark, PRODUCTS, "local", "json", stream, settings)
+        _captured(json_messages(changes.where(part == batch).hint("rebalance")), folder)
+    some = _in_batches(spark, folder, settings)
+    land_messages(captured_messages(spark, folder, TOPIC, some), "raw", PRODUCTS, some)
+    some = _in_batches(spark, PRODUCTS.path("raw", settings), settings)
+    raw_to_staged(spark, *TOPIC.split("."), "local", "json", some)
+    one = replace(settings, max_files_per_trigger=1)
+    staged_to_curated(spark, *TOPIC.split("."), settings=one)
     return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
 
@@ -577,7 +592,7 @@ def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     known: list[str] = []
     for days, some in ((0, parts[1::2]), (30, parts[::2])):
         for part in some:
-            json_messages(part).write.mode("append").parquet(folder)
+            _captured(json_messages(part.hint("rebalance")), folder)
         names = list_names(spark, folder, r"part-[^/,}]+\.parquet")
         for name in set(names) - set(known):
             dated = modified(spark, f"{folder}/{name}") - days * 86_400
@@ -624,7 +639,7 @@ def stream_staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _changes(spark, sf_dir)
     deletes = avro_messages(changes.filter("value.op = 'd'"))
     tombstones = deletes.withColumn("value", F.lit(None).cast("binary"))
-    avro_messages(changes).unionByName(tombstones).write.parquet(folder)
+    _captured(avro_messages(changes.hint("rebalance")).unionByName(tombstones), folder)
     land_messages(stream(PRODUCTS), "raw", PRODUCTS, settings)
     raw_to_staged(spark, *TOPIC.split("."), "local", "avro", settings)
     return _flat(read_staged(spark, PRODUCTS, settings))
@@ -634,7 +649,7 @@ def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages in raw, byte for byte."""
     settings = lake(spark, "raw")
     folder, stream = _capture(spark, settings)
-    json_messages(_changes(spark, sf_dir)).write.parquet(folder)
+    _captured(json_messages(_changes(spark, sf_dir).hint("rebalance")), folder)
     land_messages(stream(PRODUCTS), "raw", PRODUCTS, settings)
     return _landed(spark, settings)
 
@@ -657,7 +672,7 @@ def raw_landing_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _changes(spark, sf_dir)
     again = json_messages(changes.where(F.col("offset") % 3 == 0))
     for some in (json_messages(changes).unionByName(again), json_messages(changes)):
-        some.write.mode("append").parquet(folder)
+        _captured(some, folder)
         land_messages(without_resent(stream(PRODUCTS)), "raw", PRODUCTS, settings)
     return _landed(spark, settings)
 
@@ -683,7 +698,7 @@ def multi_table_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = _changes(spark, sf_dir).withColumn(
         "topic", F.concat(F.lit("dbserver1.inventory."), kind)
     )
-    json_messages(changes).write.parquet(folder)
+    _captured(json_messages(changes.hint("rebalance")), folder)
     topics = [r.topic for r in changes.select("topic").distinct().collect()]
     messages = captured_messages(spark, folder, settings=settings)
     refs = run_tables(spark, topics, "local", "json", settings=settings, shared=messages)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbtide.config import DEFAULT, Settings
+from ebbtide.config import DEFAULT, MIB, Settings
 
 # Fixed: the columns of Spark's Kafka source.
 KAFKA_SCHEMA = T.StructType(
@@ -27,6 +27,12 @@ KAFKA_SCHEMA = T.StructType(
 ANY_AGE = {"maxFileAge": "36500d"}
 
 
+#: How batch writes lay out files of messages: a task reads whole row groups, and in Spark's 128 MB
+#: there are millions of messages, since they compress so well. Spark's streaming file sink takes
+#: no such option; it writes a file for each task that reads these.
+SMALL_ROW_GROUPS = {"parquet.block.size": 4 * MIB}
+
+
 def file_limits(settings: Settings) -> dict[str, int | str]:
     """Options of file sources: any age, and a micro-batch limit; Spark takes one of the two."""
     if settings.max_files_per_trigger is not None:

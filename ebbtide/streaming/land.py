@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.address import TableRef
 from ebbtide.config import DEFAULT, Settings
-from ebbtide.sources.capture import kafka_messages
+from ebbtide.sources.capture import SMALL_ROW_GROUPS, kafka_messages
 from ebbtide.sources.layers import start_stream
 from ebbtide.sources.storage import delete_path, list_names, move_path
 from ebbtide.streaming.stage import running_stream_id
@@ -45,7 +45,7 @@ def land_topics(
         spark, run = batch.sparkSession, f"{running_stream_id(batch)}-{batch_id}"
         work = f"{control}/_work/land-{run}"
         dealt = batch.withColumn(_TOPIC, F.col("topic"))
-        dealt.write.mode("overwrite").partitionBy(_TOPIC).parquet(work)
+        dealt.write.mode("overwrite").options(**SMALL_ROW_GROUPS).partitionBy(_TOPIC).parquet(work)
         for folder in list_names(spark, work, rf"{_TOPIC}=[^/,}}]+"):
             path = TableRef.from_topic(unquote(folder.partition("=")[2])).path(output_layer, settings)
             delete_path(spark, f"{path}/{run}", within=path)

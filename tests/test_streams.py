@@ -13,8 +13,9 @@ from ebbtide.functions.frames import frame
 from ebbtide.operators.changes import current_state
 from ebbtide.operators.tables import list_versions, load_version, newest_version, read_table
 from ebbtide.operators.upkeep import read_history
-from ebbtide.plans.change_logs import AVRO_SCHEMAS, avro_messages, event_changes
+from ebbtide.plans.change_logs import AVRO_SCHEMAS, avro_messages, event_changes, json_messages
 from ebbtide.plans.pipeline import TableRunsFailed, run_table, run_tables
+from ebbtide.plans.queries import _captured
 from ebbtide.sources.capture import captured_messages, kafka_messages, tail
 from ebbtide.sources.layers import (
     read_layer,
@@ -25,7 +26,7 @@ from ebbtide.sources.layers import (
 from ebbtide.sources.records import ingest_records, read_records, synthetic_products
 from ebbtide.sources.storage import delete_path, list_names, modified, path_exists, set_modified
 from ebbtide.streaming.curate import apply_changes, finish_run, read_curated, staged_to_curated
-from ebbtide.streaming.land import kafka_to_raw, land_messages
+from ebbtide.streaming.land import kafka_to_raw, land_messages, land_topics
 from ebbtide.streaming.stage import newest_commit, raw_to_staged, read_staged, stream_commits
 from tests.helpers import REF, SAMPLE_KEY, SAMPLE_VALUE, messages, new_lake, new_path, rows, staged
 
@@ -385,3 +386,25 @@ def test_synthetic_products(spark):
 def test_frame_of_other_schema_ids(spark):
     df = spark.createDataFrame([(7, b"x")], "id int, body binary")
     assert bytes(df.select(frame(F.col("id"), F.col("body"))).first()[0]) == b"\x00\x00\x00\x00\x07x"
+
+
+def test_raw_messages_are_read_by_many_tasks(spark):
+    """Messages compress so well that a default row group, which one task reads, would hold all of these."""
+    settings = new_lake(spark)
+    ids = F.col("id")
+    made = spark.range(150_000).select(
+        ids.alias("event_id"), (ids % 1000).alias("user_id"), F.lit("view").alias("event_type"),
+        ids.cast("double").alias("value"), F.sha2(ids.cast("string"), 256).alias("props"),
+        F.timestamp_micros(ids).cast("timestamp_ntz").alias("ts"),
+    )
+    captured = json_messages(event_changes(made)).withColumn("topic", F.lit(REF.topic))
+    capture(spark, settings, captured)  # one file of one row group
+    land_topics(captured_messages(spark, settings.url("capture"), settings=settings), "raw", "all", settings)
+    landed = read_layer(spark, "raw", REF, settings=settings, recursiveFileLookup="true")
+    again = replace(settings, base=settings.base + "again/")
+    _captured(captured.coalesce(1), again.url("capture"))
+    land_messages(captured_messages(spark, again.url("capture"), REF.topic, again), "raw", REF, again)
+    for raw in (landed, read_layer(spark, "raw", REF, settings=again)):
+        found = raw.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in found) == 150_000
+        assert len(found) >= 3 and max(r["count"] for r in found) < 75_000
