@@ -535,7 +535,7 @@ def run_products(
     parts = batches(_changes(spark, sf_dir))
     for start in range(0, CHANGE_BATCHES, CHANGE_BATCHES // rounds):
         for part in parts[start : start + CHANGE_BATCHES // rounds]:
-            encode(part).write.mode("append").parquet(folder)
+            _captured(encode(part.hint("rebalance")), folder)
         run_table(spark, PRODUCTS, "local", content_type, stream, settings)
     return settings
 
