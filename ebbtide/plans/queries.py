@@ -554,9 +554,9 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages captured and run twice."""
     settings = lake(spark, "replay")
     folder, stream = _capture(spark, settings)
-    messages = json_messages(_changes(spark, sf_dir))
+    messages = json_messages(_changes(spark, sf_dir).hint("rebalance"))
     for _ in range(2):
-        messages.write.mode("append").parquet(folder)
+        _captured(messages, folder)
         run_table(spark, PRODUCTS, "local", "json", stream, settings)
     return read_curated(spark, PRODUCTS.path("curated", settings)).select(*IMAGE, "op")
 
