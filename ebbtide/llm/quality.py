@@ -27,6 +27,8 @@ from ebbtide.llm.vectors import mix, prefix_hash, slices, span_hashes, words
 BUCKETS = 1 << 18
 #: Labelled documents learned from, at most: those that come first by a hash of their id.
 TRAIN_ROWS = 24_000
+#: Characters whose n-grams are made at once.
+_CHARS = 1 << 18
 #: Models trained side by side, whose weights are averaged.
 SHARDS = 6
 _EPOCHS, _ALPHA, _BETA, _L1, _L2, _SCALE = 3, 0.3, 1.0, 0.01, 0.01, 12.0
@@ -75,7 +77,7 @@ def _features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _scores(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
     out = np.full(len(texts), float(weights[BUCKETS]))
-    for start, part in slices(texts):
+    for start, part in slices(texts, _CHARS):
         for buckets, first in _features(part):
             sums = np.concatenate(([0.0], np.cumsum(weights[buckets], dtype=np.float64)))
             counts = np.diff(first)
@@ -86,14 +88,14 @@ def _scores(texts: list[str | None], weights: np.ndarray) -> np.ndarray:
 
 def _vectors(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The sparse vector of each text: buckets and values, the bias last."""
-    for _, part in slices(texts):
+    for _, part in slices(texts, _CHARS):
         families = list(_features(part))
         for i in range(len(part)):
             found = [(b[f[i] : f[i + 1]]) for b, f in families]
             share = [np.full(len(b), _SCALE / max(len(b), 1)) for b in found]
             buckets, where = np.unique(np.concatenate(found), return_inverse=True)
             values = np.bincount(where, np.concatenate(share), len(buckets))
-            yield np.append(buckets, BUCKETS), np.append(values, 1.0)
+            yield np.append(buckets, BUCKETS).astype(np.int32), np.append(values, 1.0)
 
 
 def _follow_leader(vectors: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> np.ndarray:

@@ -51,6 +51,8 @@ WORDS, PERCENT = 5, 80
 #: Sets below this size are joined by deletions.
 _TINY = 14
 _BAND = 1.8
+#: Characters that are hashed at once, and signatures that a task holds before they travel.
+_CHARS, _HELD = 1 << 18, 1 << 17
 #: Bytes of block rows that one task gathers, and members verified with one copy of a centre.
 _PART_BYTES, _SALT = 32 << 20, 64
 #: Rounds in which a bucket's members meet one of them.
@@ -61,7 +63,7 @@ _SMALL = 16 << 20
 
 def shingle_sets(texts: list[str | None], n: int = WORDS) -> Iterator[np.ndarray]:
     """Sorted distinct hashes of each text's shingles."""
-    for _, part in slices(texts):
+    for _, part in slices(texts, _CHARS):
         data, starts, ends, first = words(part, lower=True)
         if not len(starts):
             yield from (np.zeros(0, np.uint64) for _ in part)
@@ -185,30 +187,43 @@ def _sets(docs: DataFrame) -> DataFrame:
     return keyed.mapInPandas(found, f"doc_id {kind}, {numbers}, sketch array<bigint>")
 
 
+def _cut(sigs: list[np.ndarray], keys: list[int], parts: int) -> pd.DataFrame:
+    repeated = np.repeat(np.array(keys, dtype=np.int64), [len(x) for x in sigs])
+    pairs = np.stack([np.concatenate(sigs).view(np.int64), repeated], axis=1)
+    part = (pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    pairs, limits = pairs[order], np.searchsorted(part[order], np.arange(parts + 1))
+    data = [pairs[a:b].tobytes() for a, b in zip(limits[:-1], limits[1:], strict=True)]
+    rows = pd.DataFrame({"part": range(parts), "data": data})
+    return rows[rows["data"].str.len() > 0]
+
+
+def _packed(batches: Iterator[pd.DataFrame], parts: int) -> Iterator[pd.DataFrame]:
+    """(part, data): signatures of the batches' sets, each with its set's key."""
+    seen: set[int] = set()
+    for batch in batches:
+        sigs, keys, held = [], [], 0
+        for s in shingle_sets(batch["text"].tolist()):
+            if len(s) and (key := set_key(s)) not in seen:
+                seen.add(key)
+                sigs.append(signatures(s)[0])
+                keys.append(key)
+                held += len(sigs[-1])
+                if held >= _HELD:
+                    yield _cut(sigs, keys, parts)
+                    sigs, keys, held = [], [], 0
+        if sigs:
+            yield _cut(sigs, keys, parts)
+
+
 def _shared(docs: DataFrame, parts: int) -> DataFrame:
     """(sig, k, sets): the sets of each signature that several sets have, and how many.
 
-    Signatures travel as packed arrays, one for each batch and part.
+    Signatures travel as packed arrays, one for each part and some ``_HELD`` signatures.
     """
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for batch in batches:
-            sigs, keys = [], []
-            for s in shingle_sets(batch["text"].tolist()):
-                if len(s) and (key := set_key(s)) not in seen:
-                    seen.add(key)
-                    sigs.append(signatures(s)[0])
-                    keys.append(np.full(len(sigs[-1]), key))
-            if not sigs:
-                continue
-            pairs = np.stack([np.concatenate(sigs).view(np.int64), np.concatenate(keys)], axis=1)
-            part = (pairs[:, 0].view(np.uint64) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            pairs, limits = pairs[order], np.searchsorted(part[order], np.arange(parts + 1))
-            cut = [pairs[a:b].tobytes() for a, b in zip(limits[:-1], limits[1:], strict=True)]
-            rows = pd.DataFrame({"part": range(parts), "data": cut})
-            yield rows[rows["data"].str.len() > 0]
+        return _packed(batches, parts)
 
     def joined(group: pd.DataFrame) -> pd.DataFrame:
         pairs = np.frombuffer(b"".join(group["data"]), dtype=np.int64).reshape(-1, 2)

@@ -1,6 +1,8 @@
 """The registered training-data queries over the smallest tables, and the pipeline's stages."""
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 import corpus_pipeline
@@ -74,3 +76,27 @@ def test_pipeline_stages(spark):
     empty = rows.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_signatures_travel_in_bounded_pieces():
+    """A batch of many texts is not packed at once: its signatures would be held several times over."""
+    kept = {}
+
+    class Rows:
+        select = groupBy = lambda self, *_: self
+
+        def mapInPandas(self, packed, _):
+            kept["packed"] = packed
+            return self
+
+        def applyInPandas(self, joined, _):
+            return self
+
+    setjoin._shared(Rows(), 7)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 400))) for _ in range(2500)]
+    frames = list(kept["packed"](iter([pd.DataFrame({"text": texts})])))
+    assert max(f["data"].str.len().sum() for f in frames) < 3 << 20
+    pairs = [np.frombuffer(d, np.int64).reshape(-1, 2) for f in frames for d in f["data"]]
+    expected = [(s, setjoin.set_key(h)) for h in setjoin.shingle_sets(texts) for s in setjoin.signatures(h)[0].view(np.int64)]
+    assert sorted(map(tuple, np.concatenate(pairs).tolist())) == sorted((int(a), b) for a, b in expected)
